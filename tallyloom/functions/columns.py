@@ -117,14 +117,9 @@ def scalar_of(df: DataFrame, **aggregates: Column) -> Column:
     return df.agg(F.struct(*[a.alias(n) for n, a in aggregates.items()]).alias("s")).scalar()
 
 
-def yeo_johnson(x: Column, power: float) -> Column:
-    """The Yeo-Johnson power transform for a fixed exponent."""
-    if abs(power) < 1e-12:
-        positive = F.log1p(x)
-    else:
-        positive = (F.pow(x + 1, F.lit(power)) - 1) / F.lit(power)
-    if abs(power - 2.0) < 1e-12:
-        negative = -F.log1p(-x)
-    else:
-        negative = -(F.pow(F.lit(1.0) - x, F.lit(2.0 - power)) - 1) / F.lit(2.0 - power)
+def yeo_johnson(x: Column, power: Column) -> Column:
+    """The Yeo-Johnson power transform."""
+    other = F.lit(2.0) - power
+    positive = F.when(F.abs(power) < 1e-12, F.log1p(x)).otherwise((F.pow(x + 1, power) - 1) / power)
+    negative = F.when(F.abs(other) < 1e-12, -F.log1p(-x)).otherwise(-(F.pow(F.lit(1.0) - x, other) - 1) / other)
     return F.when(x >= 0, positive).otherwise(negative)

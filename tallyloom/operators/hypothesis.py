@@ -79,18 +79,16 @@ def exact_mann_whitney_p(n1: int, n2: int, larger_u: float) -> float:
     return min(1.0, 2 * ways[math.ceil(larger_u):].sum() / ways.sum())
 
 
-def _by_group(group: str, values: dict[str, Column]) -> Column:
-    chain = None
-    for label, column in values.items():
-        chain = (F if chain is None else chain).when(F.col(group) == label, column)
-    return chain
+def _per_group(group: str, values: dict[str, Column]) -> Column:
+    """A constant per group, as one literal map."""
+    return F.create_map(*[x for g, v in values.items() for x in (F.lit(g), v)])[F.col(group)]
 
 
 def yeo_johnson_powers(df: DataFrame, value: str, group: str, labels: list[str], rounds: int = 8) -> dict[str, float]:
     """Maximum-likelihood Yeo-Johnson exponent of each labelled group.
 
-    Each round evaluates a grid of exponents for all groups in one aggregate over
-    the distinct values and their counts, then narrows the grid around the best.
+    Each round evaluates a grid of 21 exponents per group in one aggregate over the
+    distinct values and their counts, then narrows the grid around the best.
     """
     kept = df.filter(F.col(group).isin(labels) & F.col(value).isNotNull())
     x = F.col("_x")
@@ -112,17 +110,23 @@ def yeo_johnson_powers(df: DataFrame, value: str, group: str, labels: list[str],
     best = {g: 1.0 for g in found}
     for _ in range(rounds):
         grid = {g: [low[g] + (high[g] - low[g]) * i / steps for i in range(steps + 1)] for g in found}
-        sums = []
-        for i in range(steps + 1):
-            # Centred near the mean, so that the variance does not cancel.
-            y = _by_group(group, {g: yeo_johnson(x, grid[g][i]) - yeo_johnson(F.lit(base[g]["mean"]), grid[g][i]) for g in found})
-            sums += [F.sum(n * y).alias(f"s{i}"), F.sum(n * y * y).alias(f"q{i}")]
-        for row in counted.groupBy(group).agg(*sums).collect():
-            g = row[group]
+        points = {g: F.array(*[F.struct(F.lit(i).alias("i"), F.lit(p).alias("power")) for i, p in enumerate(grid[g])]) for g in found}
+        centre = _per_group(group, {g: F.lit(base[g]["mean"]) for g in found})
+        # Centred near the mean, so that the variance does not cancel.
+        y = yeo_johnson(x, F.col("power")) - yeo_johnson(F.col("_centre"), F.col("power"))
+        sums = (
+            counted.select(group, "_x", "_n", centre.alias("_centre"), F.inline(_per_group(group, points)))
+            .select(group, "i", n.alias("n"), y.alias("y"))
+            .groupBy(group, "i")
+            .agg(F.sum(F.col("n") * F.col("y")).alias("s"), F.sum(F.col("n") * F.col("y") * F.col("y")).alias("q"))
+        )
+        cells = {(r[group], r["i"]): r for r in sums.collect()}
+        for g in found:
             size = base[g]["n"]
 
             def likelihood(i: int) -> float:
-                variance = row[f"q{i}"] / size - (row[f"s{i}"] / size) ** 2
+                cell = cells[g, i]
+                variance = cell["q"] / size - (cell["s"] / size) ** 2
                 if not variance > 0:
                     return -math.inf
                 return -size / 2 * math.log(variance) + (grid[g][i] - 1) * base[g]["jacobian"]
@@ -139,7 +143,7 @@ def yeo_johnson_powers(df: DataFrame, value: str, group: str, labels: list[str],
 def yeo_johnson_transformed(df: DataFrame, value: str, group: str, powers: dict[str, float], name: str) -> DataFrame:
     """Add ``name``: the value under its group's exponent."""
     x = F.col(value).cast("double")
-    return df.withColumn(name, _by_group(group, {g: yeo_johnson(x, p) for g, p in powers.items()}))
+    return df.withColumn(name, yeo_johnson(x, _per_group(group, {g: F.lit(p) for g, p in powers.items()})))
 
 
 def shapiro_statistic(values: np.ndarray) -> tuple[float, float]:

@@ -126,6 +126,20 @@ def quantile_values(
     return {(r["column"], r["prob"]): r["value"] for r in rows}
 
 
+def indicator_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict:
+    """Exact quantiles of 0/1 columns as {(column, prob): value}, from the number of ones; one pass."""
+    ones = df.agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in columns]).first()
+    n = ones["n"]
+    at = lambda c, rank: 1.0 if rank >= n - ones[c] else 0.0
+    found = {}
+    for c in columns if n else []:
+        for p in probs:
+            position = (n - 1) * p
+            low, high = at(c, math.floor(position)), at(c, math.ceil(position))
+            found[c, p] = low + (position - math.floor(position)) * (high - low)
+    return found
+
+
 def running_totals(
     counted: DataFrame, value: str, counts: Sequence[str], rows_per_window: int = ROWS_PER_WINDOW
 ) -> DataFrame:

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.operators.order_statistics import quantile_values
+from tallyloom.operators.order_statistics import indicator_quantiles, quantile_values
 
 
 @dataclass(frozen=True)
@@ -43,9 +43,12 @@ def _scaling(columns: Sequence[str], offsets, spreads, **options) -> Scaling:
     return Scaling({c: float(o or 0.0) for c, o in zip(columns, offsets)}, scales, **options)
 
 
-def fit_robust(df: DataFrame, columns: Sequence[str]) -> Scaling:
-    """Median and interquartile range, both exact."""
-    q = quantile_values(df, columns, [0.25, 0.5, 0.75])
+def fit_robust(df: DataFrame, columns: Sequence[str], indicators: Sequence[str] = ()) -> Scaling:
+    """Median and interquartile range, both exact. ``indicators`` names the 0/1 columns, which need only be counted."""
+    probs = [0.25, 0.5, 0.75]
+    q = quantile_values(df, [c for c in columns if c not in indicators], probs)
+    if indicators:
+        q |= indicator_quantiles(df, indicators, probs)
     return _scaling(
         columns, [q.get((c, 0.5)) for c in columns],
         [q.get((c, 0.75), 0.0) - q.get((c, 0.25), 0.0) for c in columns],

@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.columns import (
     LABEL_EDGES, LABEL_NAMES, columns_with_prefix, cut, cyclic, days_between, flag_above, guarded_ratio,
-    parse_date_key, ratio, scalar_of,
+    parse_date_key, ratio, row_hash, scalar_of,
 )
 from tallyloom.operators.aggregates import group_rare, pivot_counts, sums_by
 from tallyloom.operators.encoding import dummies, fit_levels, group_statistic, merged_levels
-from tallyloom.operators.order_statistics import quantile_values
+from tallyloom.operators.order_statistics import exact_quantiles, quantile_values
+from tallyloom.operators.splits import chronological_split
 from tallyloom.session import checked_broadcast, stage
 from tallyloom.sources.star import DIMENSIONS, MEASURES, Star, denormalise
 
@@ -34,6 +35,11 @@ SHIP_MODE_CATEGORIES = [
 SHIP_MODE_NUMBERS = ["sales", "quantity", "discount", "profit", "profit_margin", "sales_per_unit"]
 
 
+def row_hash_percent(salt: str) -> F.Column:
+    """A repeatable number from 0 to 99 per row."""
+    return row_hash(F.col("row_id"), salt) % 100
+
+
 def discount_groups(star: Star) -> DataFrame:
     """Order lines labelled ``Discounted`` or ``No Discount``; unknown or negative discounts are in neither."""
     lines = star.lines.select("row_id", "quantity", "discount").filter(F.col("discount") >= 0)
@@ -125,16 +131,19 @@ def regression_base(star: Star) -> DataFrame:
 
 
 def regression_frame(
-    star: Star, merge_first_level: bool = False, fitted_on: str | None = None,
+    star: Star, merge_first_level: bool = False, train_fraction: float | None = None,
     levels: dict[str, list[str]] | None = None, top_countries: int = 10,
 ) -> DataFrame:
     """The numeric frame for predicting profit.
 
-    Encodes the mean sales of each sub-category over the whole frame, or over the
-    rows where the condition ``fitted_on`` holds. ``merge_first_level`` takes the
+    Encodes the mean sales of each sub-category over the whole frame. With
+    ``train_fraction`` the rows are cut by order date, marked ``is_train``, and the
+    means are those of the training rows. ``merge_first_level`` takes the
     sub-category from the dummy columns, in which the first level has none.
     """
     base = group_rare(regression_base(star), "country", top_countries, "country_grouped")
+    if train_fraction is not None:
+        base = chronological_split(stage(base), "row_id", "order_date_key", train_fraction)
     base = base.withColumn("order_date", parse_date_key(F.col("order_date_key")))
     levels = levels or fit_levels(base, list(DUMMY_PREFIXES))
     frame = dummies(base, levels, DUMMY_PREFIXES).withColumns(
@@ -148,7 +157,7 @@ def regression_frame(
     key = "sub_category"
     if merge_first_level:
         frame, key = merged_levels(frame, "sub_cat_", "sub_cat_merged"), "sub_cat_merged"
-    source = frame.filter(fitted_on) if fitted_on else frame
+    source = frame.filter("is_train") if train_fraction is not None else frame
     frame = group_statistic(frame, key, F.avg("sales"), "mean_sale_of_each_sub_cat", fitted_on=source)
     squared = F.col("mean_sale_of_each_sub_cat") * F.col("mean_sale_of_each_sub_cat")
     return frame.withColumn("mean_sub_cat_sale_powered", squared).drop(
@@ -260,8 +269,6 @@ def threshold_flags(star: Star) -> DataFrame:
 
 def market_median_sales(star: Star) -> DataFrame:
     """Median sales of the row's market on every line not returned."""
-    from tallyloom.operators.order_statistics import exact_quantiles
-
     wide = denormalise(star, ["market"]).filter("is_returned = 0").select("row_id", "market", "sales")
     median = exact_quantiles(wide, ["sales"], [0.5], by="market").select("market", F.col("value").alias("median_sale_of_each_market"))
     return wide.join(checked_broadcast(median), "market", "left").drop("sales")
