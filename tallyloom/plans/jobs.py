@@ -6,7 +6,9 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Model, PipelineModel
+from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -248,6 +250,26 @@ def _fitted_profit(frame: DataFrame, learner) -> dict[str, DataFrame]:
     }
 
 
+def profit_grid(
+    star: Star, depths: Sequence[int] = (2, 3, 4, 5), rates: Sequence[float] = (0.04, 0.05), rounds: int = 687,
+    folds: int = 3,
+) -> DataFrame:
+    """Cross-validated R2 of the boosted regressor over a parameter grid, on the training rows."""
+    frame = stage(models.with_folds(frames.regression_frame(star, train_fraction=0.85).filter("is_train"), "row_id", folds))
+    features = [c for c in profit_features(frame) if c != "fold"]
+    safe = {c: f"f{i}" for i, c in enumerate(features)}
+    vectors = stage(assemble(frame.withColumnsRenamed(safe), list(safe.values())).select("profit", "fold", "features"))
+    learner = models.boosted_regressor("profit", rounds)
+    grid = ParamGridBuilder().addGrid(learner.maxDepth, list(depths)).addGrid(learner.stepSize, list(rates)).build()
+    search = CrossValidator(
+        estimator=learner, estimatorParamMaps=grid, numFolds=folds, foldCol="fold", parallelism=2,
+        evaluator=RegressionEvaluator(labelCol="profit", metricName="r2"),
+    )
+    scores = search.fit(vectors).avgMetrics
+    rows = [(int(p[learner.maxDepth]), float(p[learner.stepSize]), float(s)) for p, s in zip(grid, scores)]
+    return star.lines.sparkSession.createDataFrame(rows, "max_depth int, learning_rate double, r2 double")
+
+
 # Ship mode
 
 
@@ -292,6 +314,21 @@ def ship_mode_model(
     }
 
 
+def ship_mode_rounds(star: Star, rounds: Sequence[int] = (500, 1000, 1900), folds: int = 3, depth: int = 7) -> DataFrame:
+    """Cross-validated accuracy and macro F1 per number of boosting rounds, folds drawn within each ship mode."""
+    numbers, categories, label = frames.SHIP_MODE_NUMBERS, frames.SHIP_MODE_CATEGORIES, "ship_mode_name"
+    frame = frames.ship_mode_frame(star).withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("none")) for c in categories})
+    frame = stage(models.with_folds(frame, "row_id", folds))
+    classes = fit_levels(frame, [label])[label]
+
+    def candidate(n: int):
+        learner = models.boosted_classifier(n, depth, 0.04)
+        pipeline = models.coded_classifier(numbers, categories, label, learner, classes)
+        return lambda train, held: pipeline.fit(train).transform(held).withColumn("prediction", F.col(f"predicted_{label}"))
+
+    return models.cross_validate(frame, folds, {f"rounds={n}": candidate(n) for n in rounds}, label, classes)
+
+
 # Customers
 
 

@@ -371,3 +371,63 @@ z AS (SELECT profit AS ordered, CASE WHEN abs(q) <= 0.425 THEN q * {_poly('c', n
 line("qq_points", f"{_QQ} SELECT round(theoretical, 9) AS theoretical, ordered FROM z")
 line("qq_line", f"""{_QQ} SELECT round(regr_slope(ordered, theoretical), 6) AS slope,
   round(regr_intercept(ordered, theoretical), 6) AS intercept, round(corr(ordered, theoretical), 6) AS r FROM z""")
+
+line("yeo_johnson_values", """SELECT row_id, round(CASE WHEN profit >= 0 THEN (pow(profit / 1000.0::DOUBLE + 1, 0.75) - 1) / 0.75
+  ELSE -(pow(1 - profit / 1000.0::DOUBLE, 1.25) - 1) / 1.25 END, 7) AS transformed FROM line""")
+
+# Reports
+line("global_aggregates", """, one AS (SELECT count(*)::DOUBLE AS "rows", max(sales) AS max_sales, min(sales) AS min_sales,
+  round(avg(sales), 4) AS mean_sales, round(avg((discount > 0)::INT) * 100, 0) AS discounted_percent FROM line)
+SELECT metric, value FROM (UNPIVOT one ON COLUMNS(*) INTO NAME metric VALUE value)""")
+wide("timestamp_lag", "SELECT row_id, (ship_date - order_date)::INT AS time_difference FROM wide")
+wide("order_lookup_join", "SELECT row_id, order_key, customer_key, order_date_key FROM wide")
+_RULE = """g AS (SELECT ship_mode_name AS y, CASE WHEN discount > 0.07::DOUBLE THEN 'Standard Class'
+  WHEN quantity > 35 THEN 'First Class' WHEN sales > 30000 THEN 'Same Day' ELSE 'Standard Class' END AS p FROM wide)"""
+_cells = ", ".join(f"count(*) FILTER (p = '{m}') AS \"predicted_{m}\"" for m in SHIP_MODES)
+wide("confusion_matrix", f"SELECT y AS label, {_cells} FROM g GROUP BY 1", _RULE)
+_REPORT = f"""{_RULE}, s AS (SELECT label, (SELECT count(*) FROM g WHERE y = label AND p = label)::DOUBLE AS tp,
+  (SELECT count(*) FROM g WHERE y = label)::DOUBLE AS support, (SELECT count(*) FROM g WHERE p = label)::DOUBLE AS predicted
+  FROM (SELECT unnest({SHIP_MODES}) AS label)),
+r AS (SELECT label, coalesce(tp / nullif(predicted, 0), 0) AS precision, coalesce(tp / nullif(support, 0), 0) AS recall,
+  2 * tp / (predicted + support) AS f1, support, tp FROM s)"""
+wide("classification_report", """SELECT label, round(precision, 9) AS precision, round(recall, 9) AS recall,
+  round(f1, 9) AS f1, support FROM (SELECT label, precision, recall, f1, support FROM r
+  UNION ALL SELECT 'accuracy', sum(tp) / sum(support), sum(tp) / sum(support), sum(tp) / sum(support), sum(support) FROM r
+  UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1), sum(support) FROM r
+  UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
+    sum(f1 * support) / sum(support), sum(support) FROM r)""", _REPORT)
+wide("accuracy_and_macro_f1", "SELECT round(sum(tp) / sum(support), 9) AS accuracy, round(avg(f1), 9) AS f1_macro FROM r", _REPORT)
+_ERRORS = f""", e AS (SELECT profit AS y, profit - (sales * 0.1::DOUBLE - quantity * 5) AS e, {HASH} % 100 < 80 AS t FROM line)"""
+line("regression_metrics", f"""{_ERRORS} SELECT count(*) AS n, round(1 - avg(e * e) / var_pop(y), 4) AS r2, round(avg(e * e), 4) AS mse,
+  round(sqrt(avg(e * e)), 4) AS rmse, round(avg(abs(e)), 4) AS mae FROM e""")
+line("regression_table", f"""{_ERRORS}, a AS (SELECT 1 - avg(e * e) FILTER (t) / var_pop(y) FILTER (t) AS r2_train,
+  1 - avg(e * e) FILTER (NOT t) / var_pop(y) FILTER (NOT t) AS r2_test, avg(e * e) FILTER (NOT t) AS mse_test,
+  avg(abs(e)) FILTER (NOT t) AS mae_test FROM e)
+SELECT unnest(['r2_train', 'r2_test', 'r2_gap_points', 'mse_test', 'rmse_test', 'mae_test']) AS metric,
+  unnest([round(r2_train, 4), round(r2_test, 4), round((r2_train - r2_test) * 100, 2), round(mse_test, 4),
+          round(sqrt(mse_test), 4), round(mae_test, 4)]) AS value FROM a""")
+
+# Customers in clusters
+_CUSTOMERS = f"""c AS (SELECT customer_id, {', '.join(f'sum({m}) AS {m}' for m in MEASURES)},
+  count(*) FILTER (order_year = 1995)::DOUBLE AS year_1995 FROM kept GROUP BY 1),
+k AS (SELECT *, CASE WHEN quantity > 800 THEN 2 WHEN quantity > 500 THEN 1 ELSE 0 END AS cluster FROM c)"""
+_stats = ", ".join(f"round(avg({m}), 4) AS {m}_mean, round(min({m}), 4) AS {m}_min, round(max({m}), 4) AS {m}_max" for m in MEASURES)
+wide("profile_by_rule", f"SELECT cluster, count(*) AS customers, {_stats} FROM k GROUP BY 1", _CUSTOMERS)
+_SILHOUETTE = f"""{_CUSTOMERS}, d AS (SELECT a.customer_id, a.cluster, b.cluster AS other,
+  sum(pow(a.quantity - b.quantity, 2) + pow(a.discount - b.discount, 2) + pow(a.year_1995 - b.year_1995, 2)) AS s, count(*) AS n
+  FROM k a, k b GROUP BY 1, 2, 3),
+s AS (SELECT customer_id, cluster, max(s / nullif(n - 1, 0)) FILTER (other = cluster) AS a, max(n) FILTER (other = cluster) AS n,
+  min(s / n) FILTER (other <> cluster) AS b FROM d GROUP BY 1, 2),
+v AS (SELECT customer_id, cluster, CASE WHEN n = 1 THEN 0 ELSE coalesce((b - a) / nullif(greatest(a, b), 0), 0) END AS silhouette FROM s)"""
+wide("silhouette_rows", "SELECT customer_id, cluster, round(silhouette, 8) AS silhouette FROM v", _SILHOUETTE)
+wide("cluster_quality", """SELECT round((SELECT sum(i) FROM (SELECT (var_pop(quantity) + var_pop(discount) + var_pop(year_1995)) * count(*) AS i
+  FROM k GROUP BY cluster)), 4) AS inertia, round(avg(silhouette), 4) AS silhouette FROM v""", _SILHOUETTE)
+
+# Returned orders
+_TRAIN = f"""t AS (SELECT is_returned, count(*) AS n FROM wide
+  WHERE sales > 0 AND shipping_cost > 0 AND {HASH} % 100 < 80 GROUP BY 1)"""
+wide("smote_counts", """SELECT is_returned, false AS is_synthetic, n AS rows FROM t
+  UNION ALL SELECT is_returned, true, (SELECT max(n) FROM t) - n FROM t WHERE n < (SELECT max(n) FROM t)""", _TRAIN)
+wide("smote_nc_counts", """SELECT ship_mode_name, false AS is_synthetic, n AS rows FROM t
+  UNION ALL SELECT ship_mode_name, true, (SELECT max(n) FROM t) - n FROM t WHERE n < (SELECT max(n) FROM t)""",
+  "t AS (SELECT ship_mode_name, floor(count(*) * 0.75)::BIGINT AS n FROM wide GROUP BY 1)")

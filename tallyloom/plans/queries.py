@@ -9,22 +9,26 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.columns import (
     LABEL_EDGES, LABEL_NAMES, QUARTER_NAMES, WEEKDAY_NAMES, cut, days_between, guarded_ratio, map_values,
-    parse_date_key, ratio, row_hash,
+    parse_date_key, parse_timestamp, ratio, whole_days, yeo_johnson,
 )
 from tallyloom.operators import aggregates as agg
 from tallyloom.operators import chart_data as charts
 from tallyloom.operators import encoding as enc
 from tallyloom.operators import hypothesis as hyp
-from tallyloom.operators import scaling, splits
+from tallyloom.operators import clustering, metrics, models, scaling, splits
+from tallyloom.operators.balancing import smote, smote_nc
 from tallyloom.operators.correlation import correlated_pairs, correlation_pairs
 from tallyloom.operators.order_statistics import exact_quantiles
-from tallyloom.plans import frames
+from tallyloom.plans import frames, jobs
+from tallyloom.session import stage
+from tallyloom.sources.sinks import metric_table
 from tallyloom.sources.star import (
     DIMENSIONS, MEASURES, Star, denormalise, fact_sales, load_star, star_integrity,
 )
 
 YEARS = list(range(1995, 2002))
 LABELS = ["Discounted", "No Discount"]
+SHIP_MODES = ["First Class", "Same Day", "Second Class", "Standard Class"]
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -542,3 +546,266 @@ def qq_points(star: Star) -> DataFrame:
 @query
 def qq_line(star: Star) -> DataFrame:
     return rounded(hyp.qq_line(hyp.qq_points(star.lines, "profit")), 6, "slope", "intercept", "r")
+
+
+@query
+def shapiro_wilk_raw(star: Star) -> DataFrame:
+    return hyp.shapiro_wilk(frames.discount_groups(star), "quantity", "discount_type", "row_id")
+
+
+@query
+def yeo_johnson_summary(star: Star) -> DataFrame:
+    groups = frames.discount_groups(star)
+    powers = hyp.yeo_johnson_powers(groups, "quantity", "discount_type", LABELS)
+    return jobs.yeo_johnson_summary(
+        hyp.yeo_johnson_transformed(groups, "quantity", "discount_type", powers, "transformed"), powers
+    )
+
+
+@query
+def yeo_johnson_values(star: Star) -> DataFrame:
+    """The transform of profit, which has both signs, at a given exponent."""
+    value = yeo_johnson(F.col("profit") / 1000.0, F.lit(0.75))
+    return star.lines.select("row_id", F.round(value, 7).alias("transformed"))
+
+
+@query
+def discount_qq_plot(star: Star) -> DataFrame:
+    return jobs.discount_report(star)["qq_plot"]
+
+
+@query
+def mannwhitney_summary(star: Star) -> DataFrame:
+    return jobs.mannwhitney_summary(frames.discount_groups(star))
+
+
+# Reports
+
+
+@query
+def global_aggregates(star: Star) -> DataFrame:
+    one = star.lines.agg(
+        F.count(F.lit(1)).alias("rows"), F.max("sales").alias("max_sales"), F.min("sales").alias("min_sales"),
+        F.round(F.avg("sales"), 4).alias("mean_sales"),
+        F.round(F.avg((F.col("discount") > 0).cast("double")) * 100, 0).alias("discounted_percent"),
+    )
+    return metric_table(one)
+
+
+@query
+def timestamp_lag(star: Star) -> DataFrame:
+    """Whole days between timestamps parsed from text."""
+    wide = denormalise(star, [], order_dates=True, ship_dates=True)
+    moment = lambda day: parse_timestamp(F.concat(text_date(day), F.lit(" 00:00:00.000")))
+    return wide.select("row_id", whole_days(moment("ship_date"), moment("order_date")).alias("time_difference"))
+
+
+@query
+def order_lookup_join(star: Star) -> DataFrame:
+    """Lines joined to the order table on the order key."""
+    return star.lines.join(star.headers, "order_key").select("row_id", "order_key", "customer_key", "order_date_key")
+
+
+def rule_predictions(star: Star) -> DataFrame:
+    """Ship mode guessed from the line's amounts: a fixed rule, so that the scores can be checked."""
+    rule = (
+        F.when(F.col("discount") > 0.07, "Standard Class").when(F.col("quantity") > 35, "First Class")
+        .when(F.col("sales") > 30000, "Same Day").otherwise("Standard Class")
+    )
+    return denormalise(star, ["ship_mode"]).select("row_id", "ship_mode_name", rule.alias("predicted"))
+
+
+@query
+def confusion_matrix(star: Star) -> DataFrame:
+    return metrics.confusion_matrix(rule_predictions(star), "ship_mode_name", "predicted", SHIP_MODES)
+
+
+@query
+def classification_report(star: Star) -> DataFrame:
+    report = metrics.classification_report(rule_predictions(star), "ship_mode_name", "predicted", SHIP_MODES)
+    return rounded(report, 9, "precision", "recall", "f1")
+
+
+@query
+def accuracy_and_macro_f1(star: Star) -> DataFrame:
+    scores = metrics.accuracy_and_macro_f1(rule_predictions(star), "ship_mode_name", "predicted", SHIP_MODES)
+    return rounded(scores, 9, "accuracy", "f1_macro")
+
+
+def rule_regression(star: Star) -> DataFrame:
+    guess = F.col("sales") * 0.1 - F.col("quantity") * 5
+    return hash_marked(star.lines).select("profit", guess.alias("predicted"), "is_train")
+
+
+def hash_marked(lines: DataFrame) -> DataFrame:
+    return splits.hash_split(lines, "row_id", 80)
+
+
+@query
+def regression_metrics(star: Star) -> DataFrame:
+    return rounded(metrics.regression_metrics(rule_regression(star), "profit", "predicted"), 4, "r2", "mse", "rmse", "mae")
+
+
+@query
+def regression_table(star: Star) -> DataFrame:
+    return rounded(metrics.regression_table(rule_regression(star), "profit", "predicted", "is_train"), 4, "value")
+
+
+# Customers in clusters
+
+FEATURES = [*MEASURES, *[f"year_{y}" for y in YEARS]]
+
+
+@query
+def segmented_customers(star: Star) -> DataFrame:
+    return jobs.segmented_customers(star, YEARS)
+
+
+@query
+def cluster_profile_raw(star: Star) -> DataFrame:
+    return jobs.cluster_profile(star, YEARS, 3)
+
+
+@query
+def cluster_profile_scaled(star: Star) -> DataFrame:
+    return jobs.cluster_profile(star, YEARS, 5)
+
+
+@query
+def profile_by_rule(star: Star) -> DataFrame:
+    """The cluster profile on groups made by a fixed rule."""
+    frame = frames.customer_features(star, YEARS).withColumn("cluster", _rule_cluster())
+    profile = agg.profile_by(frame, "cluster", MEASURES)
+    return rounded(profile, 4, *[c for c in profile.columns if c not in ("cluster", "customers")])
+
+
+def _rule_cluster() -> F.Column:
+    return F.when(F.col("quantity") > 800, 2).when(F.col("quantity") > 500, 1).otherwise(0)
+
+
+@query
+def choose_k_raw(star: Star) -> DataFrame:
+    """Within-cluster sums of squares and silhouettes for k from 1 to 20."""
+    return clustering.choose_k(frames.customer_features(star, YEARS), FEATURES, range(1, 21))
+
+
+@query
+def choose_k_scaled(star: Star) -> DataFrame:
+    features = frames.staged_customer_features(star, YEARS)
+    return clustering.choose_k(clustering.standardised(features, FEATURES), FEATURES, range(1, 21))
+
+
+@query
+def silhouette_rows(star: Star) -> DataFrame:
+    """Silhouette of every customer, in groups made by a fixed rule."""
+    frame = stage(frames.customer_features(star, YEARS)).withColumn("cluster", _rule_cluster())
+    scored = clustering.silhouette_rows(frame, "customer_id", ["quantity", "discount", "year_1995"], "cluster")
+    return rounded(scored, 8, "silhouette")
+
+
+@query
+def cluster_quality(star: Star) -> DataFrame:
+    frame = stage(frames.customer_features(star, YEARS)).withColumn("cluster", _rule_cluster())
+    quality = clustering.cluster_quality(frame, "customer_id", ["quantity", "discount", "year_1995"], "cluster")
+    return rounded(quality, 4, "inertia", "silhouette")
+
+
+@query
+def cluster_scatter(star: Star) -> DataFrame:
+    return clustering.cluster_scatter(jobs.segmented_customers(star, YEARS), "customer_id", FEATURES, "cluster_k3_raw")
+
+
+# Returned orders
+
+
+@query
+def smote_counts(star: Star) -> DataFrame:
+    """Rows per class after balancing, original and synthetic."""
+    train, _ = jobs.prepared_orders(star)
+    return smote(train, "row_id", "is_returned", "x").groupBy("is_returned", "is_synthetic").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query
+def smote_nc_counts(star: Star) -> DataFrame:
+    """Rows per ship mode after balancing mixed columns, original and synthetic."""
+    label, numbers = "ship_mode_name", ["sales", "quantity", "discount", "profit"]
+    categories = ["priority_name", "market", "segment", "sales_label", "discount_label"]
+    frame = frames.ship_mode_frame(star).select("row_id", label, *numbers, *categories)
+    frame = stage(splits.stratified_split(frame, "row_id", label, 0.75)).filter("is_train")
+    made = smote_nc(frame, "row_id", label, numbers, categories, enc.fit_levels(frame, categories))
+    return made.groupBy(label, "is_synthetic").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query
+def returned_predictions(star: Star) -> DataFrame:
+    return jobs.returned_classifier(star)[2]
+
+
+@query
+def returned_importances(star: Star) -> DataFrame:
+    model, train, _ = jobs.returned_classifier(star)
+    return models.importances(model, train)
+
+
+@query
+def knn_returned(star: Star) -> DataFrame:
+    return jobs.knn_returned(star)
+
+
+@query
+def grid_scores(star: Star) -> DataFrame:
+    """Scores of random forest, nearest neighbours and logistic regression over their parameters, two folds."""
+    return jobs.grid_scores(star, folds=2)
+
+
+@query
+def svc_scores(star: Star) -> DataFrame:
+    return jobs.grid_scores(star, folds=2, families=("svm",))
+
+
+# Boosting, with few rounds; the jobs default to the full numbers
+
+ROUNDS = 10
+
+
+@query
+def profit_metrics(star: Star) -> DataFrame:
+    return jobs.profit_model(star, rounds=ROUNDS)["metrics"]
+
+
+@query
+def profit_predictions(star: Star) -> DataFrame:
+    return jobs.profit_model(star, rounds=ROUNDS)["predictions"]
+
+
+@query
+def profit_importances(star: Star) -> DataFrame:
+    return jobs.profit_model(star, rounds=ROUNDS)["importances"]
+
+
+@query
+def profit_early_stop_metrics(star: Star) -> DataFrame:
+    return jobs.profit_model_early_stop(star, rounds=ROUNDS)["metrics"]
+
+
+@query
+def profit_grid(star: Star) -> DataFrame:
+    return jobs.profit_grid(star, depths=(2, 3), rates=(0.04, 0.05), rounds=3)
+
+
+@query
+def ship_mode_scores(star: Star) -> DataFrame:
+    results = jobs.ship_mode_model(star, rounds=3)
+    part = lambda name: results[f"scores_{name}"].withColumn("part", F.lit(name))
+    return part("train").unionByName(part("test"))
+
+
+@query
+def ship_mode_metadata(star: Star) -> DataFrame:
+    row = jobs.ship_mode_model(star, rounds=3)["metadata"]
+    return row.select(*[F.to_json(c).alias(c) for c in row.columns])
+
+
+@query
+def ship_mode_rounds(star: Star) -> DataFrame:
+    return jobs.ship_mode_rounds(star, rounds=(2, 4), folds=2)
