@@ -83,7 +83,7 @@ def exact_quantiles(
         rows.filter(any_inside)
         .select(*group, F.inline(F.array_compact(cells)))
         .groupBy(*group, "slot", "value")
-        .agg(F.count(F.lit(1)).alias("c"))
+        .agg(F.count(F.lit(1)).alias("_c"))
     )
     described = found.join(below, by) if by else found.withColumns(
         {name: F.lit(count) for name, count in below.first().asDict().items()}
@@ -104,11 +104,11 @@ def exact_quantiles(
     )
     ordered = W.partitionBy(*group, "slot").orderBy("value")
     position = (F.col("n") - 1) * F.col("prob")
-    reached = lambda rank: F.min(F.when(F.col("upto") > rank, F.col("value")))
+    reached = lambda rank: F.min(F.when(F.col("_upto") > rank, F.col("value")))
     hits = (
-        counts.withColumn("upto", F.sum("c").over(ordered))
+        counts.withColumn("_upto", F.sum("_c").over(ordered))
         .join(targets, [*group, "slot"])
-        .withColumn("upto", F.col("upto") + F.col("below"))
+        .withColumn("_upto", F.col("_upto") + F.col("below"))
         .groupBy(*group, "column", "prob", "n")
         .agg(reached(F.floor(position)).alias("lower"), reached(F.ceil(position)).alias("upper"))
     )
@@ -192,31 +192,31 @@ def hash_limits(
     ``bucket`` is null when every row is inside.
     """
     group = [by] if by else []
-    keys = df.select(*group, row_hash(F.col(row_id), salt).alias("h"), F.col(row_id).cast("string").alias("id"))
-    keys = keys.withColumn("bucket", F.shiftright("h", HASH_TAIL_BITS))
-    histogram = keys.groupBy(*group, "bucket").agg(F.count(F.lit(1)).alias("c"))
+    keys = df.select(*group, row_hash(F.col(row_id), salt).alias("_h"), F.col(row_id).cast("string").alias("_id"))
+    keys = keys.withColumn("bucket", F.shiftright("_h", HASH_TAIL_BITS))
+    histogram = keys.groupBy(*group, "bucket").agg(F.count(F.lit(1)).alias("_c"))
     # At most 65,536 rows per group take part in these windows.
     whole = W.partitionBy(*group)
     upto = whole.orderBy("bucket")
-    total = F.sum("c").over(whole)
+    total = F.sum("_c").over(whole)
     wanted = F.floor(F.lit(fraction) * total) if size is None else F.least(F.lit(size), total)
     cut = (
-        histogram.withColumns({"upto": F.sum("c").over(upto), "wanted": wanted})
-        .withColumn("before", F.col("upto") - F.col("c"))
+        histogram.withColumns({"_upto": F.sum("_c").over(upto), "_wanted": wanted})
+        .withColumn("_before", F.col("_upto") - F.col("_c"))
         .groupBy(*group)
         .agg(
-            F.min(F.when(F.col("upto") > F.col("wanted"), F.col("bucket"))).alias("bucket"),
-            F.min(F.when(F.col("upto") > F.col("wanted"), F.struct("bucket", (F.col("wanted") - F.col("before")).alias("need")))).alias("s"),
+            F.min(F.when(F.col("_upto") > F.col("_wanted"), F.col("bucket"))).alias("bucket"),
+            F.min(F.when(F.col("_upto") > F.col("_wanted"), F.struct("bucket", (F.col("_wanted") - F.col("_before")).alias("_need")))).alias("_s"),
         )
-        .select(*group, "bucket", F.col("s.need").alias("need"))
+        .select(*group, "bucket", F.col("_s._need").alias("_need"))
     )
     cut = checked_broadcast(cut)
-    ranked = W.partitionBy(*group, "bucket").orderBy("h", "id")
+    ranked = W.partitionBy(*group, "bucket").orderBy("_h", "_id")
     last = (
         keys.join(cut, [*group, "bucket"])
-        .withColumn("r", F.row_number().over(ranked))
-        .filter(F.col("r") == F.col("need"))
-        .select(*group, "bucket", F.col("h").alias("last_hash"), F.col("id").alias("last_id"))
+        .withColumn("_r", F.row_number().over(ranked))
+        .filter(F.col("_r") == F.col("_need"))
+        .select(*group, "bucket", F.col("_h").alias("last_hash"), F.col("_id").alias("last_id"))
     )
     return cut.select(*group, "bucket").join(last.drop("bucket") if by else last, group or ["bucket"], "left")
 

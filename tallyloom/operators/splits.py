@@ -32,18 +32,18 @@ def chronological_split(df: DataFrame, row_id: str, day: str, train_fraction: fl
     the cut falls on. Other dates are assigned whole; inside that date the rows
     are cut at an exact number by row hash. Nothing is sorted by date.
     """
-    per_day = df.groupBy(day).agg(F.count(F.lit(1)).alias("c"))
+    per_day = df.groupBy(day).agg(F.count(F.lit(1)).alias("_c"))
     # One row per calendar date takes part in this window.
     running = W.orderBy(day)
     cut = (
-        per_day.withColumns({"upto": F.sum("c").over(running), "n": F.sum("c").over(W.partitionBy())})
-        .withColumn("need", F.floor(F.lit(train_fraction) * F.col("n")) - F.col("upto") + F.col("c"))
-        .filter((F.col("need") >= 0) & (F.col("need") < F.col("c")))
-        .select(F.col(day).alias("cut_day"), "need")
+        per_day.withColumns({"_upto": F.sum("_c").over(running), "_n": F.sum("_c").over(W.partitionBy())})
+        .withColumn("_need", F.floor(F.lit(train_fraction) * F.col("_n")) - F.col("_upto") + F.col("_c"))
+        .filter((F.col("_need") >= 0) & (F.col("_need") < F.col("_c")))
+        .select(F.col(day).alias("cut_day"), "_need")
         .first()
     )
     if cut is None:
         return df.withColumn("is_train", F.lit(True))
     on_cut = F.col(day) == F.lit(cut["cut_day"])
-    inside = inside_first(df.filter(on_cut), row_id, size=cut["need"])
+    inside = inside_first(df.filter(on_cut), row_id, size=cut["_need"])
     return df.withColumn("is_train", (F.col(day) < F.lit(cut["cut_day"])) | (on_cut & inside))
