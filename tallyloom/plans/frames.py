@@ -215,7 +215,7 @@ def ship_mode_frame(star: Star, floor_one: bool = True) -> DataFrame:
 
 
 def ship_mode_frame_plain(star: Star) -> DataFrame:
-    """The notebook's form of the ship-mode frame: eleven raw features, no ratios or bins."""
+    """The short form of the ship-mode frame: eleven raw features, no ratios or bins."""
     wide = denormalise(star, ["ship_mode", "priority", "market", "customer", "geography"], order_dates=True)
     return wide.select(
         "row_id", "sales", "profit", "priority_name", "market", "segment", "city", "state",

@@ -420,6 +420,8 @@ s AS (SELECT customer_id, cluster, max(s / nullif(n - 1, 0)) FILTER (other = clu
   min(s / n) FILTER (other <> cluster) AS b FROM d GROUP BY 1, 2),
 v AS (SELECT customer_id, cluster, CASE WHEN n = 1 THEN 0 ELSE coalesce((b - a) / nullif(greatest(a, b), 0), 0) END AS silhouette FROM s)"""
 wide("silhouette_rows", "SELECT customer_id, cluster, round(silhouette, 8) AS silhouette FROM v", _SILHOUETTE)
+_EUCLIDEAN = _SILHOUETTE.replace("sum(pow(a.quantity", "sum(sqrt(pow(a.quantity").replace("b.year_1995, 2)) AS s", "b.year_1995, 2))) AS s")
+wide("silhouette_rows_euclidean", "SELECT customer_id, cluster, round(silhouette, 8) AS silhouette FROM v", _EUCLIDEAN)
 wide("cluster_quality", """SELECT round((SELECT sum(i) FROM (SELECT (var_pop(quantity) + var_pop(discount) + var_pop(year_1995)) * count(*) AS i
   FROM k GROUP BY cluster)), 4) AS inertia, round(avg(silhouette), 4) AS silhouette FROM v""", _SILHOUETTE)
 

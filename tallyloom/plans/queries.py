@@ -703,6 +703,19 @@ def silhouette_rows(star: Star) -> DataFrame:
     return rounded(scored, 8, "silhouette")
 
 
+@query
+def silhouette_rows_euclidean(star: Star) -> DataFrame:
+    frame = frames.customer_features(star, YEARS).withColumn("cluster", _rule_cluster())
+    scored = clustering.euclidean_silhouette_rows(frame, "customer_id", ["quantity", "discount", "year_1995"], "cluster")
+    return rounded(scored, 8, "silhouette")
+
+
+@query
+def choose_k_euclidean(star: Star) -> DataFrame:
+    features = clustering.standardised(frames.staged_customer_features(star, YEARS), FEATURES)
+    return clustering.choose_k(features, FEATURES, range(2, 7), max_iter=100, silhouettes="euclidean")
+
+
 @query
 def cluster_quality(star: Star) -> DataFrame:
     frame = stage(frames.customer_features(star, YEARS)).withColumn("cluster", _rule_cluster())
