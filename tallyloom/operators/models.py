@@ -97,8 +97,19 @@ def importances(model: Transformer, features: DataFrame, names: Sequence[str] |
     values = last.featureImportances.toArray().tolist()
     if names is None:
         names = vector_names(features, "features", len(values))
+    return _importance_table(features, names, values)
+
+
+def mean_importances(model: PipelineModel, df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Importances averaged over the binary models of a one-per-class pipeline."""
+    binary = next(stage for stage in model.stages if hasattr(stage, "models")).models
+    values = sum(m.featureImportances.toArray() for m in binary) / len(binary)
+    return _importance_table(df, names, values.tolist())
+
+
+def _importance_table(df: DataFrame, names: Sequence[str], values: Sequence[float]) -> DataFrame:
     rows = [(str(n), float(v), 100.0 * float(v)) for n, v in zip(names, values)]
-    table = features.sparkSession.createDataFrame(rows, "feature string, importance double, importance_percent double")
+    table = df.sparkSession.createDataFrame(rows, "feature string, importance double, importance_percent double")
     return table.orderBy(F.desc("importance"), "feature")
 
 

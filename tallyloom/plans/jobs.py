@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tallyloom.operators import aggregates as agg
 from tallyloom.operators import hypothesis as hyp
 from tallyloom.operators import models
-from tallyloom.operators.balancing import smote
+from tallyloom.operators.balancing import smote, smote_nc
 from tallyloom.operators.clustering import add_clusters, assemble
 from tallyloom.operators.encoding import feature_pipeline, fit_levels
 from tallyloom.operators.metrics import accuracy_and_macro_f1, confusion_matrix, regression_table
@@ -274,23 +274,31 @@ def profit_grid(
 
 
 def ship_mode_model(
-    star: Star, rounds: int = 1000, depth: int = 2, rate: float = 0.06, folder: str | None = None
+    star: Star, rounds: int = 1000, depth: int = 2, rate: float = 0.06, folder: str | None = None,
+    balance: bool = False,
 ) -> dict[str, DataFrame]:
     """Boosted classification of the ship mode on a stratified split.
 
-    Returns train and test scores and confusion matrices, predictions and the
-    metadata row; with ``folder`` also saves the model and the metadata there.
+    Returns train and test scores and confusion matrices, predictions,
+    importances and the metadata row; with ``folder`` also saves the model and the
+    metadata there. ``balance`` raises the smaller classes of the training rows
+    with synthetic rows, which are fitted on but not scored.
     """
     numbers, categories, label = frames.SHIP_MODE_NUMBERS, frames.SHIP_MODE_CATEGORIES, "ship_mode_name"
     frame = frames.ship_mode_frame(star).withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("none")) for c in categories})
     frame = stage(stratified_split(frame, "row_id", label, 0.75))
     classes = fit_levels(frame, [label])[label]
-    scaled = fit_robust(frame.filter("is_train"), numbers).transform(frame)
+    train = frame.filter("is_train")
+    scaling = fit_robust(train, numbers)
+    scaled = scaling.transform(frame)
+    train = scaled.filter("is_train").select("row_id", label, *numbers, *categories)
+    if balance:
+        train = smote_nc(train, "row_id", label, numbers, categories, fit_levels(train, categories))
     # Boosting stops on a part of the training rows, never on the test rows.
-    scaled = scaled.withColumn("is_validation", frames.row_hash_percent("validation") >= 80)
-    learner = models.boosted_classifier(rounds, depth, rate)
+    train = train.withColumn("is_validation", frames.row_hash_percent("validation") >= 80)
+    learner = models.boosted_classifier(rounds, depth, rate, validation="is_validation")
     model = models.fit_on(
-        scaled.filter("is_train"), models.coded_classifier(numbers, categories, label, learner, classes),
+        train, models.coded_classifier(numbers, categories, label, learner, classes),
         [*numbers, *categories, label, "is_validation"],
     )
     scored = stage(model.transform(scaled).select("row_id", "is_train", label, f"predicted_{label}"))
@@ -311,6 +319,7 @@ def ship_mode_model(
     return {
         "predictions": scored, "scores_train": scores["train"], "scores_test": scores["test"],
         "confusion_train": matrices["train"], "confusion_test": matrices["test"], "metadata": metadata,
+        "importances": models.mean_importances(model, scored, [*numbers, *categories]),
     }
 
 

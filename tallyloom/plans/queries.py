@@ -819,6 +819,17 @@ def ship_mode_metadata(star: Star) -> DataFrame:
     return row.select(*[F.to_json(c).alias(c) for c in row.columns])
 
 
+@query
+def ship_mode_importances(star: Star) -> DataFrame:
+    return jobs.ship_mode_model(star, rounds=3)["importances"]
+
+
+@query
+def ship_mode_balanced_scores(star: Star) -> DataFrame:
+    """Deeper trees on training rows balanced by synthetic rows."""
+    return jobs.ship_mode_model(star, rounds=2, depth=4, rate=0.04, balance=True)["scores_test"]
+
+
 @query
 def ship_mode_rounds(star: Star) -> DataFrame:
     return jobs.ship_mode_rounds(star, rounds=(2, 4), folds=2)

@@ -23,6 +23,8 @@ def build_session(app: str = "tallyloom", master: str | None = None, **conf: str
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Checkpointed files go when their frame is no longer referenced.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **conf,
     }
     for key, value in settings.items():

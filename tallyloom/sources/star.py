@@ -280,24 +280,28 @@ def star_integrity(star: Star) -> DataFrame:
     """Per dimension: key values that occur more than once, and fact rows whose key is absent.
 
     Zero in both columns means the dimension's join neither drops nor multiplies
-    rows. Fact keys are counted before they are looked up, so a hot key is one row.
+    rows. All fact keys are counted in one pass, before they are looked up, so a
+    hot key is one row; the outer joins keep rows whose order or customer is missing.
     """
-    fact = fact_sales(star)
-    reports = []
+    fact = star.lines
+    if star.headers is not None:
+        head = star.headers
+        if star.locations is not None:
+            head = head.join(star.locations, "customer_key", "left")
+        fact = fact.join(head, "order_key", "left")
+    keys = [F.struct(F.lit(d).alias("dimension"), F.col(_dimension_key(d)).alias("key")) for d in DIMENSIONS]
+    used = fact.select(F.inline(F.array(*keys))).groupBy("dimension", "key").agg(F.count(F.lit(1)).alias("fact_rows"))
+    known = None
     for dim in DIMENSIONS:
-        key = _dimension_key(dim)
-        per_key = getattr(star, dim).groupBy(key).agg(F.count(F.lit(1)).alias("copies"))
-        source = star.lines if key in star.lines.columns else fact
-        used = source.groupBy(key).agg(F.count(F.lit(1)).alias("fact_rows"))
-        reports.append(
-            used.join(per_key, key, "full_outer").agg(
-                F.lit(dim).alias("dimension"),
-                F.count(F.when(F.col("copies") > 1, 1)).alias("duplicate_keys"),
-                F.coalesce(F.sum(F.when(F.col("copies").isNull(), F.col("fact_rows"))), F.lit(0))
-                .cast("bigint").alias("orphan_rows"),
-            )
+        frame = getattr(star, dim).select(F.lit(dim).alias("dimension"), F.col(_dimension_key(dim)).alias("key"))
+        known = frame if known is None else known.unionByName(frame)
+    copies = known.groupBy("dimension", "key").agg(F.count(F.lit(1)).alias("copies"))
+    missing = F.when(F.col("copies").isNull(), F.col("fact_rows"))
+    return (
+        used.join(copies, ["dimension", "key"], "full_outer")
+        .groupBy("dimension")
+        .agg(
+            F.count(F.when(F.col("copies") > 1, 1)).alias("duplicate_keys"),
+            F.coalesce(F.sum(missing), F.lit(0)).cast("bigint").alias("orphan_rows"),
         )
-    result = reports[0]
-    for report in reports[1:]:
-        result = result.unionByName(report)
-    return result
+    )
