@@ -30,6 +30,40 @@ def fit_levels(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
     return levels
 
 
+def fit_level_sums(
+    df: DataFrame, columns: Sequence[str], value: str, only: Column | None = None
+) -> dict[str, dict[str, tuple[int, int, float]]]:
+    """Per column and level: rows, rows where ``only`` holds, and the sum of ``value`` over those; one pass.
+
+    Gives at once what level lists, most frequent values and group statistics
+    need. Nulls are no level; too many levels is an error.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("level")) for c in columns])
+    counted = F.lit(True) if only is None else only
+    rows = (
+        df.select(F.col(value).alias("_v"), counted.alias("_only"), F.inline(pairs))
+        .filter(F.col("level").isNotNull())
+        .groupBy("column", "level")
+        .agg(
+            F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("_only") & F.col("_v").isNotNull(), 1)).alias("m"),
+            F.coalesce(F.sum(F.when(F.col("_only"), F.col("_v"))), F.lit(0.0)).alias("total"),
+        )
+        .limit(MAX_LEVELS * len(columns) + 1)
+        .collect()
+    )
+    found = {c: {r["level"]: (r["n"], r["m"], r["total"]) for r in rows if r["column"] == c} for c in columns}
+    if any(len(levels) > MAX_LEVELS for levels in found.values()) or len(rows) > MAX_LEVELS * len(columns):
+        raise ValueError(f"more than {MAX_LEVELS} levels in one of {list(columns)}")
+    return found
+
+
+def level_values(column: str, values: dict[str, float]) -> Column:
+    """The value of the row's level, from a fitted table of levels; null for a level it lacks."""
+    if not values:
+        return F.lit(None).cast("double")
+    return F.create_map(*[x for level, v in values.items() for x in (F.lit(level), F.lit(float(v)))])[F.col(column)]
+
+
 def dummies(df: DataFrame, levels: dict[str, list[str]], prefixes: dict[str, str], drop_first: bool = True) -> DataFrame:
     """0/1 columns ``prefix_level`` for fitted levels; the first level is left out by default."""
     added: dict[str, Column] = {}

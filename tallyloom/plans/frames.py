@@ -11,8 +11,8 @@ from tallyloom.functions.columns import (
     LABEL_EDGES, LABEL_NAMES, columns_with_prefix, cut, cyclic, days_between, flag_above, guarded_ratio,
     parse_date_key, ratio, row_hash, scalar_of,
 )
-from tallyloom.operators.aggregates import group_rare, pivot_counts, sums_by
-from tallyloom.operators.encoding import dummies, fit_levels, group_statistic, merged_levels
+from tallyloom.operators.aggregates import pivot_counts, sums_by
+from tallyloom.operators.encoding import dummies, fit_level_sums, fit_levels, group_statistic, level_values
 from tallyloom.operators.order_statistics import exact_quantiles, quantile_values
 from tallyloom.operators.splits import chronological_split
 from tallyloom.session import checked_broadcast, stage
@@ -130,67 +130,97 @@ def regression_base(star: Star) -> DataFrame:
     )
 
 
+def _grouped_countries(sums: dict, k: int) -> tuple[list[str], list[str]]:
+    """The ``k`` most frequent countries, and the sorted levels once the rest are ``Other``."""
+    ranked = sorted(sums["country"], key=lambda c: (-sums["country"][c][0], c))
+    kept = ranked[:k]
+    return kept, sorted({*kept, *(["Other"] if len(ranked) > k else [])})
+
+
+def _with_dummies(base: DataFrame, sums: dict, top_countries: int) -> DataFrame:
+    """Group the rarer countries and add the dummies of all six categories, from fitted levels."""
+    kept, country_levels = _grouped_countries(sums, top_countries)
+    grouped = F.when(F.col("country").isin(kept), F.col("country")).otherwise("Other")
+    levels = {c: country_levels if c == "country_grouped" else sorted(sums[c]) for c in DUMMY_PREFIXES}
+    return dummies(base.withColumn("country_grouped", grouped), levels, DUMMY_PREFIXES)
+
+
+def _merged_first(sums: dict[str, tuple], merge: bool) -> dict[str, tuple]:
+    """Sums per level, the first two levels taken together if ``merge``."""
+    if not merge or len(sums) < 2:
+        return sums
+    first, second = sorted(sums)[:2]
+    both = tuple(a + b for a, b in zip(sums[first], sums[second]))
+    return {**sums, first: both, second: both}
+
+
+REGRESSION_CATEGORIES = ["priority_name", "sub_category", "ship_mode_name", "market", "segment", "country"]
+
+
 def regression_frame(
-    star: Star, merge_first_level: bool = False, train_fraction: float | None = None,
-    levels: dict[str, list[str]] | None = None, top_countries: int = 10,
+    star: Star, merge_first_level: bool = False, train_fraction: float | None = None, top_countries: int = 10
 ) -> DataFrame:
     """The numeric frame for predicting profit.
 
     Encodes the mean sales of each sub-category over the whole frame. With
     ``train_fraction`` the rows are cut by order date, marked ``is_train``, and the
-    means are those of the training rows. ``merge_first_level`` takes the
-    sub-category from the dummy columns, in which the first level has none.
+    means are those of the training rows. ``merge_first_level`` gives the first two
+    sub-categories one mean, as reading the level back from dummies without a first
+    level does. One pass fits levels, frequent countries and means; the rows are
+    then made without a further shuffle.
     """
-    base = group_rare(regression_base(star), "country", top_countries, "country_grouped")
+    base = regression_base(star)
+    only = None
     if train_fraction is not None:
         base = chronological_split(stage(base), "row_id", "order_date_key", train_fraction)
-    base = base.withColumn("order_date", parse_date_key(F.col("order_date_key")))
-    levels = levels or fit_levels(base, list(DUMMY_PREFIXES))
-    frame = dummies(base, levels, DUMMY_PREFIXES).withColumns(
-        {
-            "price_per_unit": ratio(F.col("sales"), F.col("quantity")),
-            "discount_amount": F.col("sales") * F.col("discount"),
-            "order_month": F.month("order_date"),
-            "powered_discount": F.col("discount") * F.col("discount"),
-        }
-    )
-    key = "sub_category"
-    if merge_first_level:
-        frame, key = merged_levels(frame, "sub_cat_", "sub_cat_merged"), "sub_cat_merged"
-    source = frame.filter("is_train") if train_fraction is not None else frame
-    frame = group_statistic(frame, key, F.avg("sales"), "mean_sale_of_each_sub_cat", fitted_on=source)
-    squared = F.col("mean_sale_of_each_sub_cat") * F.col("mean_sale_of_each_sub_cat")
-    return frame.withColumn("mean_sub_cat_sale_powered", squared).drop(
-        "market_US", "market_EMEA", "smn_Second Class", "shipping_cost", "segment", "market", "ship_mode_name",
-        "sub_category", "sub_cat_merged", "year", "priority_name", "country_grouped", "country", "region",
-        "day_of_week", "quarter", "ship_date_key", "order_date",
+        only = F.col("is_train")
+    sums = fit_level_sums(base, REGRESSION_CATEGORIES, "sales", only)
+    per_level = _merged_first(sums["sub_category"], merge_first_level)
+    mean = level_values("sub_category", {v: total / m for v, (_, m, total) in per_level.items() if m})
+    order_date = parse_date_key(F.col("order_date_key"))
+    return (
+        _with_dummies(base, sums, top_countries)
+        .withColumns(
+            {
+                "price_per_unit": ratio(F.col("sales"), F.col("quantity")),
+                "discount_amount": F.col("sales") * F.col("discount"),
+                "order_month": F.month(order_date),
+                "powered_discount": F.col("discount") * F.col("discount"),
+                "mean_sale_of_each_sub_cat": mean,
+            }
+        )
+        .withColumn("mean_sub_cat_sale_powered", F.col("mean_sale_of_each_sub_cat") * F.col("mean_sale_of_each_sub_cat"))
+        .drop(
+            "market_US", "market_EMEA", "smn_Second Class", "shipping_cost", "segment", "market", "ship_mode_name",
+            "sub_category", "year", "priority_name", "country_grouped", "country", "region", "day_of_week",
+            "quarter", "ship_date_key",
+        )
     )
 
 
-def regression_frame_thresholds(
-    star: Star, merge_first_level: bool = False, levels: dict[str, list[str]] | None = None
-) -> DataFrame:
+def regression_frame_thresholds(star: Star, merge_first_level: bool = False) -> DataFrame:
     """The earlier profit frame: years since the first, threshold flags, market sales totals."""
-    base = group_rare(regression_base(star), "country", 10, "country_grouped")
-    levels = levels or fit_levels(base, list(DUMMY_PREFIXES))
+    base = regression_base(star)
+    sums = fit_level_sums(base, REGRESSION_CATEGORIES, "sales")
+    per_level = _merged_first(sums["market"], merge_first_level)
     first = scalar_of(base, year=F.min("year"))["year"]
     limits = quantile_values(base, ["sales", "discount"], {"sales": [0.6], "discount": [0.65]})
-    frame = dummies(base, levels, DUMMY_PREFIXES).withColumns(
-        {
-            "years_since_start": F.col("year") - first,
-            "is_high_value_order": flag_above(F.col("sales"), F.lit(limits["sales", 0.6])),
-            "is_high_discount": flag_above(F.col("discount"), F.lit(limits["discount", 0.65])),
-            "powered_discount": F.col("discount") * F.col("discount"),
-        }
-    )
-    key = "market"
-    if merge_first_level:
-        frame, key = merged_levels(frame, "market_", "market_merged"), "market_merged"
-    frame = group_statistic(frame, key, F.sum("sales"), "sum_sale_of_each_market")
-    return frame.drop(
-        "market_US", "market_EMEA", "smn_Second Class", "discount", "priority_name", "sub_category", "ship_mode_name",
-        "market", "segment", "country", "country_grouped", "region", "year", "quarter", "day_of_week",
-        "order_date_key", "ship_date_key", "market_merged",
+    return (
+        _with_dummies(base, sums, 10)
+        .withColumns(
+            {
+                "years_since_start": F.col("year") - first,
+                "is_high_value_order": flag_above(F.col("sales"), F.lit(limits["sales", 0.6])),
+                "is_high_discount": flag_above(F.col("discount"), F.lit(limits["discount", 0.65])),
+                "powered_discount": F.col("discount") * F.col("discount"),
+                "sum_sale_of_each_market": level_values("market", {v: total for v, (_, _, total) in per_level.items()}),
+            }
+        )
+        .drop(
+            "market_US", "market_EMEA", "smn_Second Class", "discount", "priority_name", "sub_category",
+            "ship_mode_name", "market", "segment", "country", "country_grouped", "region", "year", "quarter",
+            "day_of_week", "order_date_key", "ship_date_key",
+        )
     )
 
 

@@ -208,3 +208,24 @@ def test_maximum_is_in_the_last_bin(spark):
 def test_map_values_unknown_is_null(spark):
     df = spark.createDataFrame([(1,), (9,)], "q int")
     assert values(df.orderBy("q").select(c.map_values(F.col("q"), c.QUARTER_NAMES).alias("n")), "n") == ["Q1", None]
+
+
+def test_merged_first_level_shares_its_mean(star):
+    plain = frames.regression_frame(star).select("row_id", "mean_sale_of_each_sub_cat", "`sub_cat_Brand#10`", "sales")
+    merged = frames.regression_frame(star, merge_first_level=True)
+    names = [n for n in merged.columns if n.startswith("sub_cat_")]
+    rows = merged.withColumn("first", sum(F.col(f"`{n}`") for n in names) == 0)
+    both = rows.filter(F.col("first") | (F.col("`sub_cat_Brand#10`") == 1))
+    means = {round(r[0], 6) for r in both.select("mean_sale_of_each_sub_cat").distinct().collect()}
+    assert means == {round(both.agg(F.avg("sales")).first()[0], 6)}
+    assert plain.select(F.round("mean_sale_of_each_sub_cat", 6)).distinct().count() == len(names) + 1
+
+
+def test_means_of_training_rows_only(star):
+    frame = frames.regression_frame(star, train_fraction=0.85)
+    second = frame.filter(F.col("`sub_cat_Brand#10`") == 1)
+    assert second.filter("is_train").agg(F.avg("sales")).first()[0] == pytest.approx(
+        second.select("mean_sale_of_each_sub_cat").first()[0]
+    )
+    n, train = frame.count(), frame.filter("is_train").count()
+    assert train == int(0.85 * n)
