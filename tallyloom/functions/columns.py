@@ -61,8 +61,8 @@ def parse_date_key(key: Column) -> Column:
 
 
 def parse_timestamp(text: Column) -> Column:
-    """A timestamp from ``yyyy-MM-dd HH:mm:ss.SSS`` text."""
-    return F.to_timestamp(text, "yyyy-MM-dd HH:mm:ss.SSS")
+    """A timestamp without time zone from ``yyyy-MM-dd HH:mm:ss.SSS`` text."""
+    return F.to_timestamp_ntz(text, F.lit("yyyy-MM-dd HH:mm:ss.SSS"))
 
 
 def days_between(later: Column, earlier: Column) -> Column:
@@ -71,8 +71,9 @@ def days_between(later: Column, earlier: Column) -> Column:
 
 
 def whole_days(later: Column, earlier: Column) -> Column:
-    """Whole days between two timestamps, rounded down (also when negative)."""
-    return F.floor((F.unix_micros(later) - F.unix_micros(earlier)) / F.lit(86_400_000_000)).cast("int")
+    """Whole days between two timestamps without time zone, rounded down (also when negative)."""
+    clock = lambda moment: moment - moment.cast("date").cast("timestamp_ntz")
+    return F.datediff(later, earlier) - (clock(later) < clock(earlier)).cast("int")
 
 
 def saturday_first_weekday(day: Column) -> Column:

@@ -128,7 +128,7 @@ def calendar(spark: SparkSession) -> DataFrame:
     """A date dimension of fixed size: every day of 1970 to 2069. ``day_of_week`` 0 is Saturday."""
     day = F.expr("date_add(date'1970-01-01', cast(id as int))")
     return spark.range(0, 36525, 1, 1).select(
-        F.date_format(day, "yyyyMMdd").cast("bigint").alias("date_key"),
+        date_key(day).alias("date_key"),
         day.alias("date"),
         F.year(day).alias("year"),
         F.quarter(day).alias("quarter"),

@@ -1,6 +1,8 @@
 """Run queries in Spark and their SQL in DuckDB on the same files and compare the rows.
 
-    python tests/compare.py FOLDER [NAME...]
+    python tests/compare.py FOLDER [--sql] [NAME...]
+
+``--sql`` leaves out the queries without SQL.
 """
 
 from __future__ import annotations
@@ -53,13 +55,14 @@ def main() -> None:
     from __spark_entry__ import oracle_sql, queries
     from tallyloom.session import build_session
 
-    folder, wanted = sys.argv[1], sys.argv[2:]
+    folder, only_sql = sys.argv[1], "--sql" in sys.argv
+    wanted = [a for a in sys.argv[2:] if a != "--sql"]
     spark = build_session("compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "16g"})
     spark.sparkContext.setLogLevel("ERROR")
     connection = connect(folder)
     sql, bad = oracle_sql(), 0
     for name, build in queries().items():
-        if wanted and name not in wanted:
+        if (wanted and name not in wanted) or (only_sql and name not in sql):
             continue
         start = time.time()
         try:
