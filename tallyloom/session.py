@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,21 +31,19 @@ def build_session(app: str = "tallyloom", master: str | None = None, **conf: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the shared checkpoint folder the cluster names; only a local test session makes its own."""
+    """Use the shared folder named in ``spark.checkpoint.dir``; where it is unset, one below the warehouse."""
     context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        context.setCheckpointDir(configured)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
-    else:
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(shared_root(spark))
     return context.getCheckpointDir()
 
 
+def shared_root(spark: SparkSession) -> str:
+    """The folder that the driver and all executors see."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staged"
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and go on from there.
 
