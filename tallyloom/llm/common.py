@@ -13,10 +13,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.session import shared_root
+from tallyloom.session import checked_broadcast, shared_root
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
+#: A column name that no table is expected to have.
+KEY = "__corpus_key__"
+#: Ids are broadcast up to this number (8 MB of ids), and joined by a shuffle beyond it.
+MOST_BROADCAST_IDS = 1_000_000
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -31,6 +36,12 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def without_ids(df: DataFrame, id_column: str, ids: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose id (null included) is not among those of the one-column frame ``ids``, all columns as they are."""
+    some = checked_broadcast(ids.toDF(KEY).distinct(), MOST_BROADCAST_IDS)
+    return df.join(some, F.col(id_column).eqNullSafe(F.col(KEY)), "left_anti")
+
+
 # --- files in the shared folder -----------------------------------------------------------
 
 

@@ -2,13 +2,22 @@
 
 from __future__ import annotations
 
+from tallyloom.llm import exact_copies, warc
+from tallyloom.llm.exact_copies import op5_golomb_exact_dedup
 from tallyloom.llm.packing import op3_bound_certified_packing
 from tallyloom.llm.prefix_counts import op6_prefix_token_counts
+from tallyloom.llm.scaled_sketch import op7_scaled_sketch_fingerprints
 from tallyloom.llm.simple8b import op8_simple8b_token_ids
+from tallyloom.llm.toxicity import op4_factorization_toxicity
+from tallyloom.llm.warc import op2_warc_capture_index
 
 QUERIES = {
+    "op2_warc_capture_index": op2_warc_capture_index,
     "op3_bound_certified_packing": op3_bound_certified_packing,
+    "op4_factorization_toxicity": op4_factorization_toxicity,
+    "op5_golomb_exact_dedup": op5_golomb_exact_dedup,
     "op6_prefix_token_counts": op6_prefix_token_counts,
+    "op7_scaled_sketch_fingerprints": op7_scaled_sketch_fingerprints,
     "op8_simple8b_token_ids": op8_simple8b_token_ids,
 }
-SQL: dict[str, str] = {}
+SQL = {"op2_warc_capture_index": warc.SQL, "op5_golomb_exact_dedup": exact_copies.SQL}
