@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tallyloom.llm import exact_copies, warc
 from tallyloom.llm.exact_copies import op5_golomb_exact_dedup
+from tallyloom.llm.mixing import op9_soft_membership_mixing
 from tallyloom.llm.packing import op3_bound_certified_packing
 from tallyloom.llm.prefix_counts import op6_prefix_token_counts
 from tallyloom.llm.scaled_sketch import op7_scaled_sketch_fingerprints
@@ -19,5 +20,6 @@ QUERIES = {
     "op6_prefix_token_counts": op6_prefix_token_counts,
     "op7_scaled_sketch_fingerprints": op7_scaled_sketch_fingerprints,
     "op8_simple8b_token_ids": op8_simple8b_token_ids,
+    "op9_soft_membership_mixing": op9_soft_membership_mixing,
 }
 SQL = {"op2_warc_capture_index": warc.SQL, "op5_golomb_exact_dedup": exact_copies.SQL}
