@@ -5,6 +5,7 @@ from __future__ import annotations
 from tallyloom.llm import exact_copies, warc
 from tallyloom.llm.exact_copies import op5_golomb_exact_dedup
 from tallyloom.llm.mixing import op9_soft_membership_mixing
+from tallyloom.llm.order_minhash import op1_order_minhash_near_dedup
 from tallyloom.llm.packing import op3_bound_certified_packing
 from tallyloom.llm.prefix_counts import op6_prefix_token_counts
 from tallyloom.llm.scaled_sketch import op7_scaled_sketch_fingerprints
@@ -13,6 +14,7 @@ from tallyloom.llm.toxicity import op4_factorization_toxicity
 from tallyloom.llm.warc import op2_warc_capture_index
 
 QUERIES = {
+    "op1_order_minhash_near_dedup": op1_order_minhash_near_dedup,
     "op2_warc_capture_index": op2_warc_capture_index,
     "op3_bound_certified_packing": op3_bound_certified_packing,
     "op4_factorization_toxicity": op4_factorization_toxicity,
