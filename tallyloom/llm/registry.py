@@ -8,6 +8,7 @@ from tallyloom.llm.mixing import op9_soft_membership_mixing
 from tallyloom.llm.order_minhash import op1_order_minhash_near_dedup
 from tallyloom.llm.packing import op3_bound_certified_packing
 from tallyloom.llm.prefix_counts import op6_prefix_token_counts
+from tallyloom.llm.repeated_passages import op10_suffix_sorted_passages
 from tallyloom.llm.scaled_sketch import op7_scaled_sketch_fingerprints
 from tallyloom.llm.simple8b import op8_simple8b_token_ids
 from tallyloom.llm.toxicity import op4_factorization_toxicity
@@ -23,5 +24,6 @@ QUERIES = {
     "op7_scaled_sketch_fingerprints": op7_scaled_sketch_fingerprints,
     "op8_simple8b_token_ids": op8_simple8b_token_ids,
     "op9_soft_membership_mixing": op9_soft_membership_mixing,
+    "op10_suffix_sorted_passages": op10_suffix_sorted_passages,
 }
 SQL = {"op2_warc_capture_index": warc.SQL, "op5_golomb_exact_dedup": exact_copies.SQL}
