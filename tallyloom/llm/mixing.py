@@ -52,7 +52,7 @@ class Classifier:
         flat, owner = np.concatenate([np.zeros(0, np.int64), *terms]), np.repeat(np.arange(len(terms)), [len(t) for t in terms])
         n, classes = len(self.buckets), self.weights.shape[1]
         margin = np.stack([np.bincount(owner, self.weights[flat, k], len(terms)) for k in range(classes)], 1)
-        margin += measured @ self.weights[n : n + 2] + self.weights[n + 2]
+        margin = margin + measured @ self.weights[n : n + 2] + self.weights[n + 2]
         margin = np.exp(margin - margin.max(axis=1, keepdims=True)) if len(margin) else margin
         return margin / margin.sum(axis=1, keepdims=True)
 
@@ -124,7 +124,10 @@ def fit(df: DataFrame, domains: DataFrame, classes: int, id_column: str = "doc_i
             })
 
     def learn(batches):
-        table = pa.Table.from_batches(list(batches)).to_pandas().sort_values(["mark", "words", "different", "domain"])
+        found = list(batches)
+        if not found:
+            return
+        table = pa.Table.from_batches(found).to_pandas().sort_values(["mark", "words", "different", "domain"])
         terms = [np.frombuffer(t, "<u4") for t in table["terms"]]
         model = fit_classifier(terms, table[["words", "different"]].to_numpy(float), table["domain"].to_numpy(), classes)
         yield pa.record_batch({"buckets": pa.array([model.buckets.astype("<i8").tobytes()]), "weights": pa.array([model.weights.tobytes()])})
@@ -188,11 +191,11 @@ def sums(described: DataFrame, weigh, width: int) -> np.ndarray:
 
 
 def fit_rates(described: DataFrame, targets: np.ndarray) -> Rates:
-    """Nonnegative rates whose expected domain totals come nearest to the targets' shares of all tokens.
+    """Nonnegative rates whose expected domain totals come nearest to the targets.
 
     Least squares of the relative errors plus a weak pull of each rate to 1, by projected
     gradient descent with momentum; a step is one aggregation of as many sums as there
-    are domains. ``targets`` are positive and add up to 1.
+    are domains. ``targets`` are positive, in parts of all tokens.
     """
     k = len(targets)
     total = sums(described, lambda t, p: np.array([t.sum()]), 1)[0]
@@ -241,11 +244,23 @@ class Mixture:
     names: tuple[str, ...]
 
 
-def fit_mixture(df: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, names: tuple[str, ...] = DOMAINS) -> Mixture:
-    model = fit(df, label_domains(labels), len(names))
-    described = stage(describe(df, model, names))
+def fit_mixture(
+    df: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, names: tuple[str, ...] = DOMAINS, grow: bool = False,
+    id_column: str = "doc_id", text_column: str = "text",
+) -> Mixture:
+    """Fit the classifier on the labelled rows of the named domains, and the rates on all rows.
+
+    The domains' tokens are to have the targets' shares of as many tokens as there are;
+    with ``grow`` of as many more as let no domain shrink, so that rates stay near 1 or above.
+    """
+    model = fit(df, label_domains(labels).where(F.col("domain") < len(names)), len(names), id_column, text_column)
+    described = stage(describe(df, model, names, id_column, text_column))
     shares = np.array([targets[n] for n in names])
-    return Mixture(model, fit_rates(described, shares / shares.sum()), names)
+    shares = shares / shares.sum()
+    if grow:
+        now = sums(described, lambda t, p: (p * t[:, None]).sum(axis=0), len(names))
+        shares = shares * max(1.0, float((now / max(now.sum(), 1e-300) / shares).max()))
+    return Mixture(model, fit_rates(described, shares), names)
 
 
 def mixture_table(df: DataFrame, mixture: Mixture, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

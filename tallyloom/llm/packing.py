@@ -173,8 +173,8 @@ def certificate(packed: DataFrame, capacity: int = 4096) -> DataFrame:
     counts = packed.groupBy("length").count()
 
     def bound(batches):
-        rows = pd.concat(list(batches))
-        yield pd.DataFrame({"bound": [bin_bound(rows["length"].to_numpy(), capacity, rows["count"].to_numpy())]})
+        rows = pd.concat([pd.DataFrame({"length": [], "count": []}), *batches])
+        yield pd.DataFrame({"bound": [bin_bound(rows["length"].to_numpy(np.int64), capacity, rows["count"].to_numpy(np.int64))]})
 
     return packed.agg(F.countDistinct("sequence_id").alias("sequences")).crossJoin(counts.coalesce(1).mapInPandas(bound, "bound long"))
 

@@ -144,7 +144,10 @@ def fit(df: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column
             })
 
     def learn(batches):
-        table = pa.Table.from_batches(list(batches)).to_pandas().sort_values(["digest", "label"])
+        found = list(batches)
+        if not found:
+            return
+        table = pa.Table.from_batches(found).to_pandas().sort_values(["digest", "label"])
         table = table.groupby("digest", as_index=False).agg(terms=("terms", "first"), label=("label", "mean"))
         model = fit_machine([np.frombuffer(t, "<u4") for t in table["terms"]], (table["label"] >= 0.5).to_numpy(np.float64))
         yield pa.record_batch({
