@@ -33,22 +33,27 @@ DATE = "1970-01-01T00:00:00Z"
 URN = "urn:page:"
 
 
+def written_url(url: str) -> str:
+    """The URL with white space, controls and other characters that a header can't hold percent-encoded."""
+    return quote(url.strip(), safe="!#$%&()*+,/:;=?@[]~'", errors="surrogatepass")
+
+
 def url_key(url: str | None) -> str:
     """``com,example,www)/path?query``: host labels reversed and lower-cased, without scheme, port 80 or 443, and fragment.
 
     What isn't a URL with a host is its own key; none is the empty key.
     """
+    url = written_url(url or "")
     try:
-        parts = urlsplit((url or "").strip())
+        parts = urlsplit(url)
         host, port = parts.hostname, parts.port
     except ValueError:
         host = port = None
     if not host:
-        return " ".join((url or "").split())
+        return url
     labels = ",".join(reversed(host.rstrip(".").split(".")))
     at = f":{port}" if port not in (None, 80, 443) else ""
-    key = f"{labels}{at}){parts.path or '/'}" + (f"?{parts.query}" if parts.query else "")
-    return " ".join(key.split())
+    return f"{labels}{at}){parts.path or '/'}" + (f"?{parts.query}" if parts.query else "")
 
 
 def compressed(data: bytes) -> bytes:
@@ -62,7 +67,7 @@ def record(page: int | None, url: str | None, payload: bytes, digest: str, refer
     block = http + (payload if refers_to is None else b"")
     head = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: <{URN}{'' if page is None else page}>", f"WARC-Date: {DATE}"]
     if url is not None:
-        head.append(f"WARC-Target-URI: {quote(url, safe='!#$%&()*+,/:;=?@[]~' + chr(39))}")
+        head.append(f"WARC-Target-URI: {written_url(url)}")
     head.append(f"WARC-Payload-Digest: sha1:{digest}")
     if refers_to is not None:
         head += [f"WARC-Refers-To: <{URN}{refers_to}>", f"WARC-Profile: {PROFILE}"]
