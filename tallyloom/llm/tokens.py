@@ -30,11 +30,17 @@ LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 #: Characters whose class is the same in every Unicode version; the apostrophe has rules of its own.
 PLAIN = re.compile(rf"[\n !-&(-~{LETTERS}]*\Z").match
 LETTERS_ONLY = re.compile(rf" ?[{LETTERS}]+\Z").match
+#: A mark at the end of a word is a piece of its own.
+ENDINGS = tuple(".,;:!?")
 TWO_SPACES = re.compile(r"[ \n][ \n]").search
 BYTE_PIECES = re.compile(rf" ?[{LETTERS}]+| ?[0-9]+| ?[^\s{LETTERS}0-9]+|\s+(?!\S)|\s+")
 WORD_PIECES = re.compile(rf"[{LETTERS}]+|[0-9]|[^\s{LETTERS}0-9]+")
 #: A run of three or more white spaces, or of two at the end: cutting inside it could change the pieces.
 UNSAFE_RUN = re.compile(r"\s\s(?:\s|\Z)").search
+TWO_BLANKS = re.compile(r"\s\s").search
+#: Controls that count as white space here but not in every rule set.
+SEPARATORS = re.compile("[\x1c-\x1f]").search
+BLANKS_AND_WORD = re.compile(r"\s*\S+|\s+\Z")
 RUNS = regex.compile(r"\s+|\S+")
 #: Contractions of more than two characters in the split rule below (fixed values).
 CONTRACTIONS = ("'ll", "'ve", "'re")
@@ -93,6 +99,12 @@ class TextEncoder:
         return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
+        word = chunk[1:] if chunk[:1] == " " else chunk
+        if word.isascii():
+            if word.isalpha():
+                return self._piece(chunk)
+            if word[-1:] in ENDINGS and word[:-1].isalpha():
+                return self.known[chunk[:-1]] + self.known[word[-1]]
         if LETTERS_ONLY(chunk):
             return self._piece(chunk)
         if PLAIN(chunk):
@@ -101,6 +113,11 @@ class TextEncoder:
         return self._library(chunk)
 
     def _word(self, chunk: str) -> bytes:
+        if chunk.isascii():
+            if chunk.isalpha():
+                return self._piece(chunk.lower())
+            if chunk[-1:] in ENDINGS and chunk[:-1].isalpha():
+                return self.known[chunk[:-1]] + self.known[chunk[-1]]
         if LETTERS_ONLY(chunk):
             return self._piece(chunk.lower())
         if PLAIN(chunk):
@@ -115,27 +132,28 @@ class TextEncoder:
         return self.kind == "bytes" and UNSAFE_RUN(text) is not None
 
     def encode_all(self, texts: pa.Array) -> Iterator[bytes]:
-        return by_chunk(self, texts, self.known, self._library)
+        return by_chunk(self.kind, texts, self.known, self.stays_whole, self._library)
 
 
-def by_chunk(text: TextEncoder, texts: pa.Array, known: BoundedMemo, whole) -> Iterator[bytes]:
+def by_chunk(kind: str, texts: pa.Array, known: BoundedMemo, stays_whole, whole, in_order: bool = False) -> Iterator[bytes]:
     """For each text the looked-up values of its chunks one after another; ``whole`` gives those of uncut texts.
 
-    Each distinct chunk of the batch is looked up once, in sorted order.
+    Each distinct chunk of the batch is looked up once, ``in_order`` if that helps the look-up.
     """
-    alone = {i: t for i, t in enumerate(texts.to_pylist()) if text.stays_whole(t)}
-    if text.kind == "words":
+    alone = {i: t for i, t in enumerate(texts.to_pylist()) if stays_whole(t)}
+    if kind == "words":
         texts = pc.replace_substring(texts, "\n", "\0")
         marked = pc.replace_substring(texts, " ", "\0")
     else:
-        marked = pc.replace_substring(texts, " ", "\0 ")
+        marked = pc.replace_substring(pc.replace_substring(texts, " ", "\0 "), "\n", "\0\n")
     cut = pc.split_pattern(marked, "\0")
     coded = cut.flatten().dictionary_encode()
     distinct = coded.dictionary.to_pylist()
     values: list[bytes] = [b""] * len(distinct)
     if alone:  # chunks of uncut texts are not needed
         wanted = set(chain.from_iterable(cut[i].as_py() for i in range(len(cut)) if i not in alone))
-    for i in sorted(range(len(distinct)), key=distinct.__getitem__):
+    order = sorted(range(len(distinct)), key=distinct.__getitem__) if in_order else range(len(distinct))
+    for i in order:
         if not alone or distinct[i] in wanted:
             values[i] = known[distinct[i]]
     places, starts = coded.indices.to_numpy(zero_copy_only=False), cut.offsets.to_numpy() - cut.offsets[0].as_py()
@@ -259,6 +277,9 @@ class PrefixCounter:
         return [counts[e] for e in ends]
 
     def _steps(self, chunk: str) -> bytes:
+        word = chunk[1:] if chunk[:1] == " " else chunk
+        if word.isascii() and word[-1:] in ENDINGS and word[:-1].isalpha():
+            return self.known[chunk[:-1]] + self.known[word[-1]]
         if LETTERS_ONLY(chunk):
             return as_steps(self._run(chunk))
         if PLAIN(chunk) and not TWO_SPACES(chunk):  # the pieces of every prefix are those of the chunk, the last one cut
@@ -288,9 +309,18 @@ class PrefixCounter:
             return [self._encoded(text[: i + 1]) for i in range(len(text))]
         return out
 
+    def stays_whole(self, text: str) -> bool:
+        """Also where two white spaces meet: a prefix that ends between them and one that ends after them differ in pieces."""
+        return TWO_BLANKS(text) is not None or self.text.stays_whole(text)
+
+    def _whole(self, text: str) -> bytes:
+        if SEPARATORS(text) or "\0" in text or any(x in text for x in self.text.special):
+            return as_steps(self.prefix_counts(text))
+        return b"".join(map(self.known.__getitem__, BLANKS_AND_WORD.findall(text)))
+
     def steps_all(self, texts: pa.Array) -> Iterator[bytes]:
         """For each text the change of the count at each code point, as little-endian 16-bit integers."""
-        return by_chunk(self.text, texts, self.known, lambda text: as_steps(self.prefix_counts(text)))
+        return by_chunk("bytes", texts, self.known, self.stays_whole, self._whole, in_order=True)
 
 
 def as_steps(counts: list[int]) -> bytes:
