@@ -103,12 +103,6 @@ def columns_with_prefix(df: DataFrame, prefix: str) -> list[str]:
     return [c for c in df.columns if c.startswith(prefix)]
 
 
-def numeric_columns(df: DataFrame) -> list[str]:
-    """Columns of numeric type, in order."""
-    numeric = {"tinyint", "smallint", "int", "bigint", "float", "double"}
-    return [c for c, t in df.dtypes if t in numeric or t.startswith("decimal")]
-
-
 def scalar_of(df: DataFrame, **aggregates: Column) -> Column:
     """All-row aggregates of ``df`` as one struct-valued scalar subquery.
 

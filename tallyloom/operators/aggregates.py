@@ -47,8 +47,14 @@ def frequencies(df: DataFrame, columns: Sequence[str], hue: str | None = None) -
     return long.groupBy("column", "value", *(["hue"] if hue else [])).agg(F.count(F.lit(1)).alias("count"))
 
 
-def crosstab(df: DataFrame, row: str, column: str, values: Sequence[str]) -> DataFrame:
-    """Contingency table with one column per listed value."""
+def levels_of(df: DataFrame, column: str) -> list:
+    """The different values of a label column in order, nulls left out; as many as become columns."""
+    return [r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column).collect()]
+
+
+def crosstab(df: DataFrame, row: str, column: str, values: Sequence[str] | None = None) -> DataFrame:
+    """Contingency table with one column per value, listed or found in the data."""
+    values = levels_of(df, column) if values is None else values
     return df.groupBy(row).agg(*[F.count(F.when(F.col(column) == v, 1)).alias(str(v)) for v in values])
 
 

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.operators.order_statistics import exact_quantiles
-from tallyloom.operators.splits import sample_rows
 from tallyloom.session import checked_broadcast
 
 
@@ -99,9 +98,9 @@ def box_stats(df: DataFrame, columns: Sequence[str], by: str | None = None) -> D
     )
 
 
-def scatter_points(df: DataFrame, row_id: str, x: str, y: str, points: int = 5000) -> DataFrame:
-    """Points for a scatter chart: a repeatable sample of an exact size, as the picture needs."""
-    return sample_rows(df.select(row_id, x, y), row_id, points).select(row_id, F.col(x).alias("x"), F.col(y).alias("y"))
+def scatter_points(df: DataFrame, row_id: str, columns: Sequence[str]) -> DataFrame:
+    """Every point of a scatter matrix: a row per point, of which each pair of columns is one chart."""
+    return df.select(row_id, *columns)
 
 
 def midpoint_outlier_filter(df: DataFrame, column: str) -> DataFrame:

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -18,9 +16,6 @@ from tallyloom.operators.scaling import fit_standard
 from tallyloom.session import stage
 
 
-# Points sent to every task for silhouettes on plain distances: at most this many.
-MAX_EUCLIDEAN_ROWS = 50_000
-
 
 def assemble(df: DataFrame, columns: Sequence[str], output: str = "features") -> DataFrame:
     """The listed columns as one vector column."""
@@ -58,14 +53,12 @@ def add_clusters(
 
 def choose_k(
     df: DataFrame, columns: Sequence[str], ks: Sequence[int], max_iter: int = 1000, seed: int = 0,
-    silhouettes: str | None = "squared",
+    silhouettes: bool = True,
 ) -> DataFrame:
     """Rows (k, wcss, silhouette) for each k, over features assembled and staged once.
 
-    ``silhouettes`` is ``squared`` (squared Euclidean distances, whose cluster sums
-    have a closed form, so that the work is linear in the rows), ``euclidean``
-    (see :func:`euclidean_silhouette_rows` for its limit) or None. The
-    silhouette is null for k = 1.
+    Silhouettes are on squared Euclidean distances, whose cluster sums have a closed
+    form, so that the work is linear in the rows. The silhouette is null for k = 1.
     """
     features = stage(assemble(df, columns).select(*columns, "features"))
     spark, rows = df.sparkSession, []
@@ -78,11 +71,8 @@ def choose_k(
             continue
         model = KMeans(k=k, maxIter=max_iter, seed=seed).fit(features)
         clustered, score = model.transform(features), None
-        if silhouettes == "squared":
+        if silhouettes:
             score = evaluator.evaluate(clustered)
-        elif silhouettes == "euclidean":
-            keyed = clustered.drop("features").withColumn("_row", F.monotonically_increasing_id())
-            score = euclidean_silhouette_rows(keyed, "_row", columns, "prediction").agg(F.avg("silhouette")).first()[0]
         rows.append((int(k), float(model.summary.trainingCost), score))
     return spark.createDataFrame(rows, "k int, wcss double, silhouette double")
 
@@ -129,50 +119,6 @@ def silhouette_rows(df: DataFrame, row_id: str, columns: Sequence[str], cluster:
     return rows.select(row_id, cluster, score.alias("silhouette"))
 
 
-def euclidean_silhouette_rows(
-    df: DataFrame, row_id: str, columns: Sequence[str], cluster: str, max_rows: int = MAX_EUCLIDEAN_ROWS
-) -> DataFrame:
-    """Silhouette of every row on plain Euclidean distances: (row_id, cluster, silhouette).
-
-    These distances have no closed form per cluster: every row meets every other.
-    The points are sent to all tasks, so more than ``max_rows`` of them is an
-    error; :func:`silhouette_rows` has no such limit.
-    """
-    staged = stage(df.select(row_id, cluster, *[F.col(c).cast("double").alias(c) for c in columns]))
-    n = staged.count()
-    if n > max_rows:
-        raise ValueError(f"{n} rows exceed {max_rows}; use squared distances")
-    table = staged.select(cluster, *columns).toPandas()
-    labels = sorted(table[cluster].unique())
-    member = (table[cluster].to_numpy()[:, None] == np.array(labels)[None, :]).astype(float)
-    points = staged.sparkSession.sparkContext.broadcast((table[list(columns)].to_numpy(dtype=float), member, labels))
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        others, member, labels = points.value
-        sizes = member.sum(axis=0)
-        for batch in batches:
-            scores = []
-            for i in range(0, len(batch), 256):
-                part = batch.iloc[i:i + 256]
-                x = part[list(columns)].to_numpy(dtype=float)
-                distance = np.zeros((len(x), len(others)))
-                for j in range(x.shape[1]):
-                    distance += (x[:, j][:, None] - others[:, j][None, :]) ** 2
-                totals = np.sqrt(distance) @ member
-                own = (part[cluster].to_numpy()[:, None] == np.array(labels)[None, :])
-                size = (own * sizes).sum(axis=1)
-                a = (totals * own).sum(axis=1) / np.maximum(size - 1, 1)
-                b = np.where(own, np.inf, totals / sizes).min(axis=1)
-                top = np.maximum(a, b)
-                value = np.where((size > 1) & np.isfinite(b) & (top > 0), (b - a) / np.where(top > 0, top, 1), 0.0)
-                scores.append(value)
-            yield batch[[row_id, cluster]].assign(silhouette=np.concatenate(scores) if scores else [])
-
-    types = dict(staged.dtypes)
-    schema = f"`{row_id}` {types[row_id]}, `{cluster}` {types[cluster]}, silhouette double"
-    return staged.mapInPandas(score, schema)
-
-
 def cluster_quality(df: DataFrame, row_id: str, columns: Sequence[str], cluster: str) -> DataFrame:
     """One row: inertia and mean silhouette of a clustering, on the features only."""
     silhouette = silhouette_rows(df, row_id, columns, cluster).agg(F.avg("silhouette")).scalar()

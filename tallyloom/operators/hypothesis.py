@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
@@ -14,7 +15,6 @@ from statistics import NormalDist
 from tallyloom.functions.columns import yeo_johnson
 from tallyloom.functions.normal import normal_quantile, plotting_position, upper_tail
 from tallyloom.operators.order_statistics import running_totals
-from tallyloom.operators.splits import sample_rows
 from tallyloom.session import stage
 
 EXACT_SIZE = 8
@@ -146,36 +146,32 @@ def yeo_johnson_transformed(df: DataFrame, value: str, group: str, powers: dict[
     return df.withColumn(name, yeo_johnson(x, _per_group(group, {g: F.lit(p) for g, p in powers.items()})))
 
 
-def shapiro_statistic(values: np.ndarray) -> tuple[float, float]:
-    """W and p of the Shapiro-Wilk test (Royston 1995) for 3 to 5,000 values."""
-    x = np.sort(np.asarray(values, dtype=float))
-    n = len(x)
-    spread = ((x - x.mean()) ** 2).sum()
+def shapiro_from_sums(n: int, spread: float, mm: float, mx: float, ends: Sequence[tuple[float, float]]) -> tuple[float, float]:
+    """W and p of the Shapiro-Wilk test (Royston 1995).
+
+    ``mm`` and ``mx`` sum the squared normal scores and the scores times the ordered
+    values; ``ends`` holds score and value of the second and first from the top and,
+    negated, of the second and first from the bottom. Above 5,000 values p is an extrapolation.
+    """
     if n < 3:
         return float("nan"), float("nan")
     if spread == 0:
         return 1.0, 1.0
-    quantile = NormalDist().inv_cdf
-    m = np.array([quantile((i - 0.375) / (n + 0.25)) for i in range(1, n + 1)])
-    mm = (m * m).sum()
-    a = np.zeros(n)
+    (next_m, next_x), (last_m, last_x) = ((m, top + bottom) for (m, top), (_, bottom) in zip(ends[:2], ends[2:]))
     if n == 3:
-        a[0], a[2] = -math.sqrt(0.5), math.sqrt(0.5)
+        total = math.sqrt(0.5) * last_x
     else:
         u = 1 / math.sqrt(n)
-        c = m / math.sqrt(mm)
         # Royston's polynomial coefficients.
-        last = c[-1] + np.polyval([-2.706056, 4.434685, -2.071190, -0.147981, 0.221157, 0.0], u)
+        last = last_m / math.sqrt(mm) + np.polyval([-2.706056, 4.434685, -2.071190, -0.147981, 0.221157, 0.0], u)
         if n > 5:
-            before = c[-2] + np.polyval([-3.582633, 5.682633, -1.752461, -0.293762, 0.042981, 0.0], u)
-            phi = (mm - 2 * m[-1] ** 2 - 2 * m[-2] ** 2) / (1 - 2 * last**2 - 2 * before**2)
-            a = m / math.sqrt(phi)
-            a[-2], a[1] = before, -before
+            before = next_m / math.sqrt(mm) + np.polyval([-3.582633, 5.682633, -1.752461, -0.293762, 0.042981, 0.0], u)
+            phi = (mm - 2 * last_m**2 - 2 * next_m**2) / (1 - 2 * last**2 - 2 * before**2)
+            total = (mx - last_m * last_x - next_m * next_x) / math.sqrt(phi) + last * last_x + before * next_x
         else:
-            phi = (mm - 2 * m[-1] ** 2) / (1 - 2 * last**2)
-            a = m / math.sqrt(phi)
-        a[-1], a[0] = last, -last
-    w = min((a * x).sum() ** 2 / spread, 1.0)
+            phi = (mm - 2 * last_m**2) / (1 - 2 * last**2)
+            total = (mx - last_m * last_x) / math.sqrt(phi) + last * last_x
+    w = min(total**2 / spread, 1.0)
     if n == 3:
         p = 6 / math.pi * (math.asin(math.sqrt(w)) - math.asin(math.sqrt(0.75)))
         return w, max(p, 0.0)
@@ -193,21 +189,49 @@ def shapiro_statistic(values: np.ndarray) -> tuple[float, float]:
     return w, upper_tail((y - mean) / deviation)
 
 
-def shapiro_wilk(df: DataFrame, value: str, group: str, row_id: str, size: int = 5000, salt: str = "") -> DataFrame:
-    """Shapiro-Wilk test per group: (group, n, shapiro_statistic, shapiro_p_value).
+def shapiro_statistic(values: np.ndarray) -> tuple[float, float]:
+    """W and p of the Shapiro-Wilk test for an array."""
+    x = np.sort(np.asarray(values, dtype=float))
+    n = len(x)
+    m = np.array([NormalDist().inv_cdf((i - 0.375) / (n + 0.25)) for i in range(1, n + 1)])
+    ends = [] if n < 2 else [(m[-2], x[-2]), (m[-1], x[-1]), (m[-2], -x[1]), (m[-1], -x[0])]
+    return shapiro_from_sums(n, ((x - x.mean()) ** 2).sum() if n else 0.0, (m * m).sum(), (m * x).sum(), ends)
 
-    The test is defined for at most 5,000 values; a larger group is tested on an
-    exact-size repeatable sample, so no task holds more than ``size`` values.
-    """
-    named = df.select(row_id, group, F.col(value).cast("double").alias("_v")).filter("_v is not null")
-    sample = sample_rows(named, row_id, size, by=group, salt=salt)
 
-    def test(pdf: pd.DataFrame) -> pd.DataFrame:
-        w, p = shapiro_statistic(pdf["_v"].to_numpy())
-        return pd.DataFrame({group: [pdf[group].iloc[0]], "n": [len(pdf)], "shapiro_statistic": [w], "shapiro_p_value": [p]})
+def shapiro_wilk(df: DataFrame, value: str, group: str) -> DataFrame:
+    """Shapiro-Wilk test per group on all its values: (group, n, shapiro_statistic, shapiro_p_value).
 
-    schema = f"`{group}` string, n bigint, shapiro_statistic double, shapiro_p_value double"
-    return sample.select(group, "_v").groupBy(group).applyInPandas(test, schema)
+    Ranks come from running counts over the distinct values and the statistic from sums
+    over the ranks, so no task holds a group. The groups are labels, few by their nature;
+    each takes a pass.
+    """
+    named = stage(df.select(group, F.col(value).cast("double").alias("_v")).filter(f"_v is not null AND `{group}` IS NOT NULL"))
+    rows = []
+    for label in [r[0] for r in named.select(group).distinct().orderBy(group).collect()]:
+        counted = named.filter(F.col(group) == label).groupBy(F.col("_v").alias("ordered")).agg(F.count(F.lit(1)).alias("c"))
+        ranked = running_totals(counted, "ordered", ["c"])
+        about = ranked.agg(F.sum("c").alias("n"), (F.sum(F.col("c") * F.col("ordered")) / F.sum("c")).alias("mean")).first()
+        n = about["n"]
+        m, x, r = normal_quantile((F.col("r") - 0.375) / F.lit(n + 0.25)), F.col("ordered"), F.col("r")
+        at = lambda rank: F.max(F.when(r == rank, x))  # noqa: E731, B023
+        score = lambda rank: F.max(F.when(r == rank, F.col("m")))  # noqa: E731, B023
+        sums = ranked_rows(ranked, n).withColumn("m", m).agg(
+            F.sum((x - F.lit(about["mean"])) ** 2).alias("spread"), F.sum(F.col("m") ** 2).alias("mm"), F.sum(F.col("m") * x).alias("mx"),
+            score(n - 1).alias("m1"), score(n).alias("m0"), at(n - 1).alias("x1"), at(n).alias("x0"), at(2).alias("y1"), at(1).alias("y0"),
+        ).first()
+        ends = [(sums["m1"], sums["x1"]), (sums["m0"], sums["x0"]), (sums["m1"], -(sums["y1"] or 0.0)), (sums["m0"], -sums["y0"])]
+        rows.append((label, n, *map(float, shapiro_from_sums(n, sums["spread"], sums["mm"], sums["mx"], ends))))
+    return df.sparkSession.createDataFrame(rows, f"`{group}` string, n bigint, shapiro_statistic double, shapiro_p_value double")
+
+
+def ranked_rows(ranked: DataFrame, n: int) -> DataFrame:
+    """A row (``ordered``, rank ``r``) for each of the ``c`` occurrences of a value, made in pieces so that a hot value's are made by many tasks."""
+    piece = 100_000
+    pieces = ranked.withColumn("start", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("c") - 1, F.lit(piece).cast("bigint"))))
+    if n > piece:
+        pieces = pieces.repartition(math.ceil(n / (10 * piece)) + 1, "ordered", "start")
+    rank = F.explode(F.sequence(F.col("start") + 1, F.least(F.col("start") + piece, F.col("c"))))
+    return pieces.select("ordered", "before_c", rank.alias("_r")).select("ordered", (F.col("before_c") + F.col("_r")).alias("r"))
 
 
 def qq_points(df: DataFrame, value: str, label: str | None = None) -> DataFrame:
@@ -217,18 +241,11 @@ def qq_points(df: DataFrame, value: str, label: str | None = None) -> DataFrame:
     c times is expanded to its c ranks at the very end, in pieces, so that a hot
     value's points are made by many tasks.
     """
-    counted = df.filter(F.col(value).isNotNull()).groupBy(F.col(value).alias("ordered")).agg(F.count(F.lit(1)).alias("c"))
+    counted = stage(df.filter(F.col(value).isNotNull()).groupBy(F.col(value).alias("ordered")).agg(F.count(F.lit(1)).alias("c")))
     ranked = running_totals(counted, "ordered", ["c"])
-    n = ranked.agg(F.sum("c")).first()[0] or 0
-    piece = 100_000
-    pieces = (
-        ranked.withColumn("start", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("c") - 1, F.lit(piece).cast("bigint"))))
-    )
-    if n > piece:
-        pieces = pieces.repartition(math.ceil(n / (10 * piece)) + 1, "ordered", "start")
-    rank = F.explode(F.sequence(F.col("start") + 1, F.least(F.col("start") + piece, F.col("c"))))
-    points = pieces.select("ordered", "before_c", rank.alias("r"))
-    position = plotting_position(F.col("before_c") + F.col("r"), F.lit(float(n)))
+    n = counted.agg(F.sum("c")).first()[0] or 0
+    points = ranked_rows(ranked, n)
+    position = plotting_position(F.col("r"), F.lit(float(n)))
     columns = [normal_quantile(F.col("p")).alias("theoretical"), F.col("ordered")]
     if label is not None:
         columns.append(F.lit(label).alias("discount_type"))

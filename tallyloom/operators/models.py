@@ -11,6 +11,7 @@ from pyspark.ml.classification import (
 from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.columns import row_hash
@@ -120,9 +121,20 @@ def vector_names(df: DataFrame, column: str, size: int) -> list[str]:
     return [names.get(i, f"{column}_{i}") for i in range(size)]
 
 
-def with_folds(df: DataFrame, row_id: str, folds: int, salt: str = "fold") -> DataFrame:
-    """Add ``fold`` by row hash: the same on any partitioning."""
-    return df.withColumn("fold", (row_hash(F.col(row_id), salt) % folds).cast("int"))
+def with_folds(df: DataFrame, row_id: str, folds: int, salt: str = "fold", by: str | None = None) -> DataFrame:
+    """Add ``fold`` by row hash: the same on any partitioning.
+
+    With ``by`` each of its classes has the same share in every fold, up to one row for
+    each block of hashes: a class is dealt out in the order of its rows' hashes, block by block.
+    """
+    mark = row_hash(F.col(row_id), salt)
+    if by is None:
+        return df.withColumn("fold", (mark % folds).cast("int"))
+    # Blocks grow in number with the rows, so that no task ranks more than a few thousand.
+    blocks = max(1, df.count() // 5000)
+    keyed = df.withColumns({"_mark": mark, "_block": F.xxhash64(row_id) % blocks})
+    turn = F.row_number().over(Window.partitionBy(by, "_block").orderBy("_mark", row_id)) + F.abs(F.col("_block"))
+    return keyed.withColumn("fold", (turn % folds).cast("int")).drop("_mark", "_block")
 
 
 def cross_validate(

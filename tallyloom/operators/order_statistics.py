@@ -26,6 +26,7 @@ def exact_quantiles(
     by: str | None = None,
     interpolation: str = "linear",
     accuracy: int = 10_000,
+    margin: float | None = None,
 ) -> DataFrame:
     """Exact quantiles as rows ([by,] column, prob, n, value). Nulls are ignored.
 
@@ -33,8 +34,8 @@ def exact_quantiles(
 
     No pass shuffles or sorts the data. First the mergeable quantile sketch of
     ``percentile_approx``, whose rank error is at most n / accuracy, yields for
-    each quantile two values that must enclose it. Then the values below each
-    bracket are counted, and the distinct values inside it, about 4n / accuracy
+    each quantile two values that must enclose it. Then the values below and in each
+    bracket are counted in one pass (if one misses its ranks, wider ones are tried), and the distinct values inside it, about 4n / accuracy
     rows at most, are gathered with their counts and ranked exactly. Raise
     ``accuracy`` with n to keep the brackets small.
 
@@ -43,7 +44,7 @@ def exact_quantiles(
     group = [by] if by else []
     wanted = probs if isinstance(probs, dict) else {c: probs for c in columns}
     slots = [(i, c, p) for i, (c, p) in enumerate((c, p) for c in columns for p in wanted[c])]
-    margin = 2.0 / accuracy
+    margin = 2.0 / accuracy if margin is None else margin
     base = df.select(*group, *[F.col(c).cast("double").alias(c) for c in columns])
 
     stats: list[Column] = []
@@ -73,8 +74,18 @@ def exact_quantiles(
     inside = {i: value[i].between(edge(f"low_{i}"), edge(f"high_{i}")) for i, _, _ in slots}
 
     below = rows.groupBy(*group).agg(
-        *[F.count(F.when(value[i] < edge(f"low_{i}"), 1)).alias(f"below_{i}") for i, _, _ in slots]
+        *[F.count(F.when(value[i] < edge(f"low_{i}"), 1)).alias(f"below_{i}") for i, _, _ in slots],
+        *[F.count(F.when(inside[i], 1)).alias(f"inside_{i}") for i, _, _ in slots],
     )
+    # A bracket that doesn't hold the wanted ranks is found out here and widened.
+    below = stage(found.join(below, by)) if by else stage(below.withColumns({f"n_{i}": F.lit(literals[f"n_{i}"]) for i, _, _ in slots}))
+    missed = F.lit(False)
+    for i, _, p in slots:
+        position = (F.col(f"n_{i}") - 1) * p
+        holds = (F.col(f"below_{i}") <= F.floor(position)) & (F.ceil(position) < F.col(f"below_{i}") + F.col(f"inside_{i}"))
+        missed = missed | (~holds & (F.col(f"n_{i}") > 0))
+    if margin < 1 and not below.where(missed).isEmpty():
+        return exact_quantiles(df, columns, probs, by, interpolation, accuracy, 8 * margin)
     any_inside = inside[0]
     for i in list(inside)[1:]:
         any_inside = any_inside | inside[i]
@@ -85,9 +96,7 @@ def exact_quantiles(
         .groupBy(*group, "slot", "value")
         .agg(F.count(F.lit(1)).alias("_c"))
     )
-    described = found.join(below, by) if by else found.withColumns(
-        {name: F.lit(count) for name, count in below.first().asDict().items()}
-    )
+    described = below
     targets = described.select(
         *group,
         F.inline(

@@ -16,7 +16,7 @@ from tallyloom.operators.encoding import dummies, fit_level_sums, fit_levels, gr
 from tallyloom.operators.order_statistics import exact_quantiles, quantile_values
 from tallyloom.operators.splits import chronological_split
 from tallyloom.session import checked_broadcast, stage
-from tallyloom.sources.star import DIMENSIONS, MEASURES, Star, denormalise
+from tallyloom.sources.star import DIMENSIONS, MEASURES, Star, denormalise, with_dates
 
 ORDER_NUMBERS = ["sales", "quantity", "discount", "profit", "shipping_cost", "time_difference"]
 ORDER_CATEGORIES = [
@@ -74,7 +74,7 @@ def customer_features(
     for dim, key in (("priority", "priority_key"), ("market", "market_key"), ("geography", "geo_key")):
         if dim in dims:
             head = head.join(getattr(star, dim), key)
-    head = head.join(star.date.select(F.col("date_key").alias("order_date_key"), "year"), "order_date_key")
+    head = with_dates(star, head, "order").withColumnRenamed("order_year", "year")
     per_key = (
         per_order.join(head.select("order_key", "customer_key", "year"), "order_key")
         .groupBy("customer_key")
@@ -322,3 +322,10 @@ def optional_dummies(star: Star) -> DataFrame:
 def staged_customer_features(star: Star, years: Sequence[int]) -> DataFrame:
     """Customer features written once to the checkpoint folder, for the iterations that follow."""
     return stage(customer_features(star, years))
+
+
+def order_years(star: Star) -> list[int]:
+    """The years in which orders were placed, from the order keys alone."""
+    keys = (star.lines if star.headers is None else star.headers).select("order_date_key").where("order_date_key IS NOT NULL")
+    years = keys.select(F.floor(F.col("order_date_key") / 10000).cast("int").alias("year")).distinct().collect()
+    return sorted(r["year"] for r in years)

@@ -64,7 +64,7 @@ def discount_report(star: Star) -> dict[str, DataFrame]:
 
 def yeo_johnson_summary(transformed: DataFrame, powers: dict[str, float]) -> DataFrame:
     """Exponent, Shapiro-Wilk statistic and p-value per group, on transformed values."""
-    tested = hyp.shapiro_wilk(transformed, "transformed", "discount_type", "row_id")
+    tested = hyp.shapiro_wilk(transformed, "transformed", "discount_type")
     entries = [x for g, p in powers.items() for x in (F.lit(g), F.lit(p))]
     return tested.select(
         "discount_type", F.create_map(*entries)[F.col("discount_type")].alias("yeojohnson_lambda"),
@@ -100,9 +100,8 @@ class OrderFeatures:
         )
 
 
-def usable_orders(orders: DataFrame) -> DataFrame:
-    """Rows the logarithm is defined on."""
-    return orders.filter((F.col("sales") > 0) & (F.col("shipping_cost") > 0))
+#: Added to sales and shipping cost before the logarithm, which a cost of 0 has none of; so every row gets a score.
+LOG_SHIFT = 1.0
 
 
 def fit_order_features(train: DataFrame) -> OrderFeatures:
@@ -110,7 +109,7 @@ def fit_order_features(train: DataFrame) -> OrderFeatures:
     categories = frames.ORDER_CATEGORIES
     text = train.withColumns({c: F.col(c).cast("string") for c in categories})
     return OrderFeatures(
-        fit_log_minmax(train, frames.LOGGED),
+        fit_log_minmax(train, frames.LOGGED, LOG_SHIFT),
         fit_minmax(train, ["quantity", "discount", "time_difference"]),
         fit_standard(train, ["profit"]),
         feature_pipeline(frames.ORDER_NUMBERS, categories).fit(text.select(*frames.ORDER_NUMBERS, *categories)),
@@ -119,7 +118,7 @@ def fit_order_features(train: DataFrame) -> OrderFeatures:
 
 def split_orders(star: Star) -> tuple[DataFrame, DataFrame]:
     """Training and test rows of the order frame, 80 to 20, both staged."""
-    orders = stage(hash_split(usable_orders(frames.order_features(star)), "row_id", 80))
+    orders = stage(hash_split(frames.order_features(star), "row_id", 80))
     return orders.filter("is_train").drop("is_train"), orders.filter("NOT is_train").drop("is_train")
 
 
@@ -327,7 +326,7 @@ def ship_mode_rounds(star: Star, rounds: Sequence[int] = (500, 1000, 1900), fold
     """Cross-validated accuracy and macro F1 per number of boosting rounds, folds drawn within each ship mode."""
     numbers, categories, label = frames.SHIP_MODE_NUMBERS, frames.SHIP_MODE_CATEGORIES, "ship_mode_name"
     frame = frames.ship_mode_frame(star).withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("none")) for c in categories})
-    frame = stage(models.with_folds(frame, "row_id", folds))
+    frame = stage(models.with_folds(frame, "row_id", folds, by=label))
     classes = fit_levels(frame, [label])[label]
 
     def candidate(n: int):

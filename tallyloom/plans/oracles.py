@@ -28,8 +28,9 @@ def _parts(role: str) -> str:
     )
 
 
-LINE = """line AS (
-  SELECT concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber) AS row_id, l_orderkey AS order_key,
+LINE = f"""line AS (
+  SELECT concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber, {_key('l_shipdate')},
+                   round(l_extendedprice * 100)::BIGINT) AS row_id, l_orderkey AS order_key,
          l_partkey AS product_key, 1 + l_linenumber % 4 AS ship_mode_key, l_shipdate::DATE AS ship_date,
          l_extendedprice AS sales, l_quantity AS quantity, l_discount AS discount,
          l_extendedprice * (0.25::DOUBLE - 3.0::DOUBLE * l_discount) AS profit,
@@ -310,7 +311,7 @@ x AS (SELECT point, lo - 3 * h + point * ((hi + 3 * h - (lo - 3 * h)) / 99) AS x
 SELECT point, round(x, 4) AS x,
   round(sum(c * exp(-0.5 * pow((x - (lo + (bin + 0.5) * ((hi - lo) / 200))) / h, 2))) / (n * h * 2.5066282746310002), 12) AS density
 FROM x, b GROUP BY point, x, n, h""")
-line("scatter_sample", f"SELECT row_id, sales AS x, profit AS y FROM line ORDER BY {HASH}, row_id LIMIT 5000")
+line("scatter_points", f"SELECT row_id, {', '.join(MEASURES)} FROM line")
 line("profit_within_fences", """, k AS (SELECT row_id, profit FROM line WHERE is_returned = 0),
 o AS (SELECT profit, row_number() OVER (ORDER BY profit) - 1 AS i, count(*) OVER () AS n FROM k),
 q AS (SELECT (max(profit) FILTER (i = floor((n - 1) * 0.25)) + max(profit) FILTER (i = ceil((n - 1) * 0.25))) / 2 AS q1,
@@ -420,16 +421,15 @@ s AS (SELECT customer_id, cluster, max(s / nullif(n - 1, 0)) FILTER (other = clu
   min(s / n) FILTER (other <> cluster) AS b FROM d GROUP BY 1, 2),
 v AS (SELECT customer_id, cluster, CASE WHEN n = 1 THEN 0 ELSE coalesce((b - a) / nullif(greatest(a, b), 0), 0) END AS silhouette FROM s)"""
 wide("silhouette_rows", "SELECT customer_id, cluster, round(silhouette, 8) AS silhouette FROM v", _SILHOUETTE)
-_EUCLIDEAN = _SILHOUETTE.replace("sum(pow(a.quantity", "sum(sqrt(pow(a.quantity").replace("b.year_1995, 2)) AS s", "b.year_1995, 2))) AS s")
-wide("silhouette_rows_euclidean", "SELECT customer_id, cluster, round(silhouette, 8) AS silhouette FROM v", _EUCLIDEAN)
 wide("cluster_quality", """SELECT round((SELECT sum(i) FROM (SELECT (var_pop(quantity) + var_pop(discount) + var_pop(year_1995)) * count(*) AS i
   FROM k GROUP BY cluster)), 4) AS inertia, round(avg(silhouette), 4) AS silhouette FROM v""", _SILHOUETTE)
 
 # Returned orders
 _TRAIN = f"""t AS (SELECT is_returned, count(*) AS n FROM wide
-  WHERE sales > 0 AND shipping_cost > 0 AND {HASH} % 100 < 80 GROUP BY 1)"""
+  WHERE {HASH} % 100 < 80 GROUP BY 1)"""
 wide("smote_counts", """SELECT is_returned, false AS is_synthetic, n AS rows FROM t
   UNION ALL SELECT is_returned, true, (SELECT max(n) FROM t) - n FROM t WHERE n < (SELECT max(n) FROM t)""", _TRAIN)
 wide("smote_nc_counts", """SELECT ship_mode_name, false AS is_synthetic, n AS rows FROM t
   UNION ALL SELECT ship_mode_name, true, (SELECT max(n) FROM t) - n FROM t WHERE n < (SELECT max(n) FROM t)""",
   "t AS (SELECT ship_mode_name, floor(count(*) * 0.75)::BIGINT AS n FROM wide GROUP BY 1)")
+wide("returned_prediction_ids", f"SELECT row_id, is_returned AS true_label FROM wide WHERE {HASH} % 100 >= 80")

@@ -26,10 +26,7 @@ from tallyloom.sources.star import (
     DIMENSIONS, MEASURES, Star, denormalise, fact_sales, load_star, star_integrity,
 )
 
-YEARS = list(range(1995, 2002))
 LABELS = ["Discounted", "No Discount"]
-SHIP_MODES = ["First Class", "Same Day", "Second Class", "Standard Class"]
-SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -102,19 +99,19 @@ def customer_metrics(star: Star) -> DataFrame:
 
 @query
 def customer_year_pivot(star: Star) -> DataFrame:
-    return frames.customer_year_pivot(star, YEARS)
+    return frames.customer_year_pivot(star, frames.order_years(star))
 
 
 @query
 def customer_features(star: Star) -> DataFrame:
-    return rounded(frames.customer_features(star, YEARS), 4, *MEASURES)
+    return rounded(frames.customer_features(star, frames.order_years(star)), 4, *MEASURES)
 
 
 @query
 def customer_features_trusted_keys(star: Star) -> DataFrame:
     """As ``customer_features``, without the joins ``star_key_integrity`` shows to be neutral."""
     skip = ["product", "ship_mode", "priority", "market", "geography"]
-    return rounded(frames.customer_features(star, YEARS, skip=skip), 4, *MEASURES)
+    return rounded(frames.customer_features(star, frames.order_years(star), skip=skip), 4, *MEASURES)
 
 
 @query
@@ -387,7 +384,7 @@ def regression_frame_thresholds(star: Star) -> DataFrame:
 
 @query
 def segment_crosstab(star: Star) -> DataFrame:
-    return agg.crosstab(denormalise(star, ["customer"]), "is_returned", "segment", SEGMENTS)
+    return agg.crosstab(denormalise(star, ["customer"]), "is_returned", "segment")
 
 
 @query
@@ -449,8 +446,8 @@ def kde_grid(star: Star) -> DataFrame:
 
 
 @query
-def scatter_sample(star: Star) -> DataFrame:
-    return charts.scatter_points(star.lines, "row_id", "sales", "profit", 5000)
+def scatter_points(star: Star) -> DataFrame:
+    return charts.scatter_points(star.lines, "row_id", MEASURES)
 
 
 @query
@@ -550,7 +547,7 @@ def qq_line(star: Star) -> DataFrame:
 
 @query
 def shapiro_wilk_raw(star: Star) -> DataFrame:
-    return hyp.shapiro_wilk(frames.discount_groups(star), "quantity", "discount_type", "row_id")
+    return hyp.shapiro_wilk(frames.discount_groups(star), "quantity", "discount_type")
 
 
 @query
@@ -617,18 +614,18 @@ def rule_predictions(star: Star) -> DataFrame:
 
 @query
 def confusion_matrix(star: Star) -> DataFrame:
-    return metrics.confusion_matrix(rule_predictions(star), "ship_mode_name", "predicted", SHIP_MODES)
+    return metrics.confusion_matrix(rule_predictions(star), "ship_mode_name", "predicted", ship_mode_names(star))
 
 
 @query
 def classification_report(star: Star) -> DataFrame:
-    report = metrics.classification_report(rule_predictions(star), "ship_mode_name", "predicted", SHIP_MODES)
+    report = metrics.classification_report(rule_predictions(star), "ship_mode_name", "predicted", ship_mode_names(star))
     return rounded(report, 9, "precision", "recall", "f1")
 
 
 @query
 def accuracy_and_macro_f1(star: Star) -> DataFrame:
-    scores = metrics.accuracy_and_macro_f1(rule_predictions(star), "ship_mode_name", "predicted", SHIP_MODES)
+    scores = metrics.accuracy_and_macro_f1(rule_predictions(star), "ship_mode_name", "predicted", ship_mode_names(star))
     return rounded(scores, 9, "accuracy", "f1_macro")
 
 
@@ -653,28 +650,33 @@ def regression_table(star: Star) -> DataFrame:
 
 # Customers in clusters
 
-FEATURES = [*MEASURES, *[f"year_{y}" for y in YEARS]]
+def customer_columns(star: Star) -> list[str]:
+    return [*MEASURES, *[f"year_{y}" for y in frames.order_years(star)]]
+
+
+def ship_mode_names(star: Star) -> list[str]:
+    return agg.levels_of(star.ship_mode, "ship_mode_name")
 
 
 @query
 def segmented_customers(star: Star) -> DataFrame:
-    return jobs.segmented_customers(star, YEARS)
+    return jobs.segmented_customers(star, frames.order_years(star))
 
 
 @query
 def cluster_profile_raw(star: Star) -> DataFrame:
-    return jobs.cluster_profile(star, YEARS, 3)
+    return jobs.cluster_profile(star, frames.order_years(star), 3)
 
 
 @query
 def cluster_profile_scaled(star: Star) -> DataFrame:
-    return jobs.cluster_profile(star, YEARS, 5)
+    return jobs.cluster_profile(star, frames.order_years(star), 5)
 
 
 @query
 def profile_by_rule(star: Star) -> DataFrame:
     """The cluster profile on groups made by a fixed rule."""
-    frame = frames.customer_features(star, YEARS).withColumn("cluster", _rule_cluster())
+    frame = frames.customer_features(star, frames.order_years(star)).withColumn("cluster", _rule_cluster())
     profile = agg.profile_by(frame, "cluster", MEASURES)
     return rounded(profile, 4, *[c for c in profile.columns if c not in ("cluster", "customers")])
 
@@ -686,46 +688,33 @@ def _rule_cluster() -> F.Column:
 @query
 def choose_k_raw(star: Star) -> DataFrame:
     """Within-cluster sums of squares and silhouettes for k from 1 to 20."""
-    return clustering.choose_k(frames.customer_features(star, YEARS), FEATURES, range(1, 21))
+    return clustering.choose_k(frames.customer_features(star, frames.order_years(star)), customer_columns(star), range(1, 21))
 
 
 @query
 def choose_k_scaled(star: Star) -> DataFrame:
-    features = frames.staged_customer_features(star, YEARS)
-    return clustering.choose_k(clustering.standardised(features, FEATURES), FEATURES, range(1, 21))
+    features = frames.staged_customer_features(star, frames.order_years(star))
+    return clustering.choose_k(clustering.standardised(features, customer_columns(star)), customer_columns(star), range(1, 21))
 
 
 @query
 def silhouette_rows(star: Star) -> DataFrame:
     """Silhouette of every customer, in groups made by a fixed rule."""
-    frame = stage(frames.customer_features(star, YEARS)).withColumn("cluster", _rule_cluster())
+    frame = stage(frames.customer_features(star, frames.order_years(star))).withColumn("cluster", _rule_cluster())
     scored = clustering.silhouette_rows(frame, "customer_id", ["quantity", "discount", "year_1995"], "cluster")
     return rounded(scored, 8, "silhouette")
 
 
-@query
-def silhouette_rows_euclidean(star: Star) -> DataFrame:
-    frame = frames.customer_features(star, YEARS).withColumn("cluster", _rule_cluster())
-    scored = clustering.euclidean_silhouette_rows(frame, "customer_id", ["quantity", "discount", "year_1995"], "cluster")
-    return rounded(scored, 8, "silhouette")
-
-
-@query
-def choose_k_euclidean(star: Star) -> DataFrame:
-    features = clustering.standardised(frames.staged_customer_features(star, YEARS), FEATURES)
-    return clustering.choose_k(features, FEATURES, range(2, 7), max_iter=100, silhouettes="euclidean")
-
-
 @query
 def cluster_quality(star: Star) -> DataFrame:
-    frame = stage(frames.customer_features(star, YEARS)).withColumn("cluster", _rule_cluster())
+    frame = stage(frames.customer_features(star, frames.order_years(star))).withColumn("cluster", _rule_cluster())
     quality = clustering.cluster_quality(frame, "customer_id", ["quantity", "discount", "year_1995"], "cluster")
     return rounded(quality, 4, "inertia", "silhouette")
 
 
 @query
 def cluster_scatter(star: Star) -> DataFrame:
-    return clustering.cluster_scatter(jobs.segmented_customers(star, YEARS), "customer_id", FEATURES, "cluster_k3_raw")
+    return clustering.cluster_scatter(jobs.segmented_customers(star, frames.order_years(star)), "customer_id", customer_columns(star), "cluster_k3_raw")
 
 
 # Returned orders
@@ -754,6 +743,12 @@ def returned_predictions(star: Star) -> DataFrame:
     return jobs.returned_classifier(star)[2]
 
 
+@query
+def returned_prediction_ids(star: Star) -> DataFrame:
+    """Every test row, scored or not, with its true label: what the predictions must cover."""
+    return jobs.returned_classifier(star)[2].select("row_id", "true_label")
+
+
 @query
 def returned_importances(star: Star) -> DataFrame:
     model, train, _ = jobs.returned_classifier(star)
@@ -771,6 +766,12 @@ def grid_scores(star: Star) -> DataFrame:
     return jobs.grid_scores(star, folds=2)
 
 
+@query
+def best_candidates(star: Star) -> DataFrame:
+    """The best candidate of each family over two folds."""
+    return models.best_per_family(jobs.grid_scores(star, folds=2))
+
+
 @query
 def svc_scores(star: Star) -> DataFrame:
     return jobs.grid_scores(star, folds=2, families=("svm",))

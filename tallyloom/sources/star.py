@@ -70,6 +70,11 @@ class Star:
     date: DataFrame
     headers: DataFrame | None = None
     locations: DataFrame | None = None
+    #: The source has no date table, so date columns are worked out from the keys and no date is left out.
+    dates_from_keys: bool = False
+
+
+NO_DIMENSIONS = ("lines", "headers", "locations", "dates_from_keys")
 
 
 def snake(name: str) -> str:
@@ -106,7 +111,7 @@ def star_from_csv(spark: SparkSession, folder: str) -> Star:
 def star_from_views(spark: SparkSession) -> Star:
     """The star from tables or temp views named ``fact_sales`` and ``dim_*`` (see :func:`register_views`)."""
     dims = {
-        f.name: spark.table(f"dim_{f.name}") for f in fields(Star) if f.name not in ("lines", "headers", "locations")
+        f.name: spark.table(f"dim_{f.name}") for f in fields(Star) if f.name not in NO_DIMENSIONS
     }
     return Star(lines=spark.table("fact_sales"), **dims)
 
@@ -115,7 +120,7 @@ def register_views(star: Star) -> list[str]:
     """Register the star as temp views ``fact_sales`` and ``dim_*``; returns their names."""
     names = []
     for f in fields(Star):
-        if f.name in ("headers", "locations"):
+        if f.name in ("headers", "locations", "dates_from_keys"):
             continue
         name = "fact_sales" if f.name == "lines" else f"dim_{f.name}"
         frame = fact_sales(star) if f.name == "lines" else getattr(star, f.name)
@@ -124,18 +129,23 @@ def register_views(star: Star) -> list[str]:
     return names
 
 
-def calendar(spark: SparkSession) -> DataFrame:
-    """A date dimension of fixed size: every day of 1970 to 2069. ``day_of_week`` 0 is Saturday."""
-    day = F.expr("date_add(date'1970-01-01', cast(id as int))")
-    return spark.range(0, 36525, 1, 1).select(
-        date_key(day).alias("date_key"),
-        day.alias("date"),
-        F.year(day).alias("year"),
-        F.quarter(day).alias("quarter"),
-        F.month(day).alias("month"),
-        F.dayofmonth(day).alias("day"),
-        ((F.weekday(day) + 2) % 7).alias("day_of_week"),
-    )
+def date_parts(day) -> dict[str, F.Column]:
+    """The columns of the date dimension for a date. ``day_of_week`` 0 is Saturday."""
+    return {
+        "date": day, "year": F.year(day), "quarter": F.quarter(day), "month": F.month(day), "day": F.dayofmonth(day),
+        "day_of_week": (F.weekday(day) + 2) % 7,
+    }
+
+
+def calendar(*days: DataFrame) -> DataFrame:
+    """A date dimension of every day from the first to the last in one-column frames of dates."""
+    ends = [d.toDF("day").agg(F.min(F.to_date("day")).alias("first"), F.max(F.to_date("day")).alias("last")) for d in days]
+    both = ends[0]
+    for other in ends[1:]:
+        both = both.unionByName(other)
+    both = both.agg(F.min("first").alias("first"), F.max("last").alias("last")).where("first IS NOT NULL")
+    day = both.select(F.explode(F.sequence("first", "last")).alias("_day"))
+    return day.select(date_key(F.col("_day")).alias("date_key"), *[c.alias(n) for n, c in date_parts(F.col("_day")).items()])
 
 
 def small_table(spark: SparkSession, rows: list[tuple[str, int]], name: str, key: str) -> DataFrame:
@@ -149,6 +159,12 @@ def date_key(day) -> F.Column:
     return (F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)).cast("bigint")
 
 
+def line_id() -> F.Column:
+    """A line's id: its keys, its date and its price in cents, as the keys alone occur more than once."""
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    return F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", date_key("l_shipdate"), cents)
+
+
 def load_star(spark: SparkSession, folder: str) -> Star:
     """Map the order tables in ``folder`` (Parquet) onto the sales star.
 
@@ -160,7 +176,7 @@ def load_star(spark: SparkSession, folder: str) -> Star:
 
     price, discount = F.col("l_extendedprice"), F.col("l_discount")
     lines = item.select(
-        F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").alias("row_id"),
+        line_id().alias("row_id"),
         F.col("l_orderkey").alias("order_key"),
         F.col("l_partkey").alias("product_key"),
         (F.lit(1) + F.col("l_linenumber") % 4).cast("bigint").alias("ship_mode_key"),
@@ -216,7 +232,8 @@ def load_star(spark: SparkSession, folder: str) -> Star:
         ),
         priority=small_table(spark, PRIORITIES, "priority_name", "priority_key"),
         ship_mode=small_table(spark, SHIP_MODES, "ship_mode_name", "ship_mode_key"),
-        date=calendar(spark),
+        date=calendar(orders.select("o_orderdate"), item.select("l_shipdate")),
+        dates_from_keys=True,
     )
 
 
@@ -224,9 +241,14 @@ def _dimension_key(dimension: str) -> str:
     return "geo_key" if dimension == "geography" else f"{dimension}_key"
 
 
-def role_dates(star: Star, role: str) -> DataFrame:
-    """The date dimension under a role: its columns renamed ``order_*`` or ``ship_*``."""
-    return star.date.select(*[F.col(c).alias(f"{role}_{c}") for c in star.date.columns])
+def with_dates(star: Star, frame: DataFrame, role: str) -> DataFrame:
+    """``frame`` with the date dimension's columns under a role, ``order_*`` or ``ship_*``; rows without a known date go."""
+    key = f"{role}_date_key"
+    if star.dates_from_keys:
+        # A key is yyyymmdd; the join with a complete calendar would keep the rows that have one.
+        day = F.make_date(F.floor(F.col(key) / 10000).cast("int"), F.floor(F.col(key) / 100).cast("int") % 100, (F.col(key) % 100).cast("int"))
+        return frame.where(F.col(key).isNotNull()).withColumns({f"{role}_{n}": c for n, c in date_parts(day).items()})
+    return frame.join(star.date.select(*[F.col(c).alias(f"{role}_{c}") for c in star.date.columns]), key)
 
 
 def denormalise(
@@ -256,15 +278,15 @@ def denormalise(
             if dim not in LINE_DIMENSIONS:
                 head = head.join(getattr(star, dim), _dimension_key(dim))
         if order_dates:
-            head = head.join(role_dates(star, "order"), "order_date_key")
+            head = with_dates(star, head, "order")
         frame = frame.join(head, "order_key")
         wanted = [d for d in wanted if d in LINE_DIMENSIONS]
     for dim in wanted:
         frame = frame.join(getattr(star, dim), _dimension_key(dim))
     if order_dates and head is None:
-        frame = frame.join(role_dates(star, "order"), "order_date_key")
+        frame = with_dates(star, frame, "order")
     if ship_dates:
-        frame = frame.join(role_dates(star, "ship"), "ship_date_key")
+        frame = with_dates(star, frame, "ship")
     return frame
 
 

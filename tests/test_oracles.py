@@ -6,8 +6,8 @@ from __spark_entry__ import entry, oracle_sql, queries
 from compare import connect, differences
 from conftest import MIDDLE, SMALL
 
-# Their dummy columns are named after the countries of that folder, or their row ids must be unique.
-ON_MIDDLE = {"regression_frame", "regression_frame_thresholds", "smote_counts", "smote_nc_counts"}
+# Their dummy columns are named after the countries of that folder.
+ON_MIDDLE = {"regression_frame", "regression_frame_thresholds"}
 
 
 @pytest.fixture(scope="module")

@@ -1,5 +1,6 @@
 """Properties that hold whatever the data, and models within tolerances."""
 
+import dataclasses
 import math
 import random
 from statistics import NormalDist
@@ -13,6 +14,7 @@ from tallyloom.functions.columns import yeo_johnson
 from tallyloom.functions.normal import normal_quantile
 from tallyloom.operators import clustering, hypothesis, models, splits
 from tallyloom.operators import neighbours as near
+from tallyloom.operators.order_statistics import exact_quantiles
 from tallyloom.operators.balancing import smote, smote_nc
 from tallyloom.plans import frames, jobs
 from tallyloom.sources import sinks
@@ -171,6 +173,40 @@ def test_smote_nc_takes_known_categories(spark):
     assert all(min(xs) - 1e-12 <= r["x"] <= max(xs) + 1e-12 for r in made)
 
 
+def test_shapiro_on_whole_groups(spark):
+    rng = np.random.default_rng(5)
+    groups = {"a": rng.normal(size=4000), "b": rng.integers(0, 9, 7000).astype(float), "c": rng.normal(size=4), "d": np.array([1.0, 2.0, 4.0]), "e": np.full(9, 2.0)}
+    rows = [(g, float(v)) for g, values in groups.items() for v in values] + [("a", None)]
+    found = hypothesis.shapiro_wilk(spark.createDataFrame(rows, "g string, v double"), "v", "g").collect()
+    for r in found:
+        w, p = hypothesis.shapiro_statistic(groups[r["g"]])
+        assert r["n"] == len(groups[r["g"]]) and r["shapiro_statistic"] == pytest.approx(w, rel=1e-6) and r["shapiro_p_value"] == pytest.approx(p, rel=1e-3, abs=1e-12)
+    assert len(found) == len(groups)
+
+
+def test_brackets_that_miss_are_widened(spark):
+    values = [float(i * i % 7919) for i in range(50_000)]
+    df = spark.createDataFrame([(i % 3, v) for i, v in enumerate(values)], "g int, v double")
+    exact = {p: float(np.quantile(values, p)) for p in (0.1, 0.5, 0.93)}
+    narrow = exact_quantiles(df, ["v"], list(exact), accuracy=100, margin=0.0)
+    assert {r["prob"]: r["value"] for r in narrow.collect()} == pytest.approx(exact)
+    by_group = exact_quantiles(df, ["v"], [0.5], by="g", accuracy=100, margin=0.0).collect()
+    assert {r["g"]: r["value"] for r in by_group} == pytest.approx({g: float(np.quantile(values[g::3], 0.5)) for g in range(3)})
+
+
+def test_folds_have_equal_class_shares(spark):
+    df = spark.range(9000).select(F.col("id").cast("string").alias("row_id"), F.when(F.col("id") % 10 == 0, "rare").otherwise("common").alias("c"))
+    sizes = models.with_folds(df, "row_id", 3, by="c").groupBy("c", "fold").count().collect()
+    assert {(r["c"], r["fold"]): r["count"] for r in sizes} == {("rare", f): 300 for f in range(3)} | {("common", f): 2700 for f in range(3)}
+
+
+def test_every_date_is_kept(spark, star):
+    odd = star.lines.limit(5).withColumn("ship_date_key", F.lit(25001231).cast("bigint"))
+    changed = dataclasses.replace(star, lines=odd)
+    rows = denormalise(changed, ["product"], ship_dates=True).collect()
+    assert len(rows) == 5 and all(r["ship_year"] == 2500 and r["ship_quarter"] == 4 for r in rows)
+
+
 def test_returned_classifier_and_importances(spark, star):
     model, train, scored = jobs.returned_classifier(star, trees=3, depth=5)
     assert scored.count() > 0 and {r[0] for r in scored.select("predicted_label").distinct().collect()} <= {0, 1}
