@@ -119,8 +119,7 @@ def brute_force(queries, candidates, k, skip_self):
 
 
 @pytest.mark.parametrize("dimensions,n,copies", [(2, 300, 0), (6, 400, 130)])
-def test_neighbours_equal_brute_force(spark, monkeypatch, dimensions, n, copies):
-    monkeypatch.setattr(near, "BLOCK_POINTS", 32)
+def test_neighbours_equal_brute_force(spark, dimensions, n, copies):
     rng = np.random.default_rng(dimensions)
     x = rng.normal(size=(n, dimensions))
     x[:copies] = x[0]
