@@ -8,14 +8,13 @@ from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (
     GBTClassifier, LinearSVC, LogisticRegression, OneVsRest, RandomForestClassifier,
 )
-from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
+from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.columns import row_hash
-from tallyloom.operators.encoding import label_pipeline
 from tallyloom.operators.metrics import accuracy_and_macro_f1
 from tallyloom.session import ensure_checkpoint_dir, stage
 
@@ -69,13 +68,21 @@ def coded_classifier(
 ) -> Pipeline:
     """Codes, vector, learner and class names in one pipeline; the classes are in sorted order.
 
-    A level not seen at fit time gets a code of its own, so later data can be scored.
+    A category's code is the rank of its level by frequency, a plain number, so that a
+    column may have any number of levels. A level not seen at fit time comes after all
+    others, so later data can be scored.
     """
+    codes = StringIndexer(
+        inputCols=list(categories), outputCols=[f"{c}_code" for c in categories], stringOrderType="frequencyDesc", handleInvalid="keep"
+    )
+    # Without the metadata of nominal columns, of which trees allow as many levels as bins.
+    plain = SQLTransformer(statement="SELECT *, " + ", ".join(f"`{c}_code` + 0.0D AS `{c}_rank`" for c in categories) + " FROM __THIS__")
     return Pipeline(
         stages=[
-            *label_pipeline(categories, invalid="keep"),
+            codes,
+            plain,
             StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc"),
-            VectorAssembler(inputCols=[*numbers, *[f"{c}_code" for c in categories]], outputCol="features"),
+            VectorAssembler(inputCols=[*numbers, *[f"{c}_rank" for c in categories]], outputCol="features"),
             learner,
             IndexToString(inputCol="prediction", outputCol=f"predicted_{label}", labels=list(classes)),
         ]

@@ -199,6 +199,14 @@ def test_folds_have_equal_class_shares(spark):
     assert {(r["c"], r["fold"]): r["count"] for r in sizes} == {("rare", f): 300 for f in range(3)} | {("common", f): 2700 for f in range(3)}
 
 
+def test_a_column_of_many_levels(spark):
+    rows = [(float(i % 7), f"city {i % 5000}", "x" if i % 7 > 3 else "y") for i in range(10_000)]
+    df = spark.createDataFrame(rows, "n double, city string, label_name string")
+    pipeline = models.coded_classifier(["n"], ["city"], "label_name", models.boosted_classifier(2, 2, 0.3), ["x", "y"])
+    scored = pipeline.fit(df).transform(df.withColumn("city", F.concat("city", F.lit("!"))))
+    assert scored.where("predicted_label_name = label_name").count() == len(rows)
+
+
 def test_every_date_is_kept(spark, star):
     odd = star.lines.limit(5).withColumn("ship_date_key", F.lit(25001231).cast("bigint"))
     changed = dataclasses.replace(star, lines=odd)
