@@ -14,7 +14,7 @@ from tallyloom.functions.columns import (
 from tallyloom.operators.aggregates import pivot_counts, sums_by
 from tallyloom.operators.encoding import dummies, fit_level_sums, fit_levels, group_statistic, level_values
 from tallyloom.operators.order_statistics import exact_quantiles, quantile_values
-from tallyloom.operators.splits import chronological_split
+from tallyloom.operators.splits import chronological_split, hash_split
 from tallyloom.session import checked_broadcast, stage
 from tallyloom.sources.star import DIMENSIONS, MEASURES, Star, denormalise, with_dates
 
@@ -163,18 +163,17 @@ def regression_frame(
     """The numeric frame for predicting profit.
 
     Encodes the mean sales of each sub-category over the whole frame. With
-    ``train_fraction`` the rows are cut by order date, marked ``is_train``, and the
-    means are those of the training rows. ``merge_first_level`` gives the first two
+    ``train_fraction`` the rows are cut by order date, marked ``is_train``, and levels,
+    frequent countries and means are those of the training rows. ``merge_first_level`` gives the first two
     sub-categories one mean, as reading the level back from dummies without a first
     level does. One pass fits levels, frequent countries and means; the rows are
     then made without a further shuffle.
     """
-    base = regression_base(star)
-    only = None
+    base = fitted = regression_base(star)
     if train_fraction is not None:
         base = chronological_split(stage(base), "row_id", "order_date_key", train_fraction)
-        only = F.col("is_train")
-    sums = fit_level_sums(base, REGRESSION_CATEGORIES, "sales", only)
+        fitted = base.filter("is_train")
+    sums = fit_level_sums(fitted, REGRESSION_CATEGORIES, "sales")
     per_level = _merged_first(sums["sub_category"], merge_first_level)
     mean = level_values("sub_category", {v: total / m for v, (_, m, total) in per_level.items() if m})
     order_date = parse_date_key(F.col("order_date_key"))
@@ -198,13 +197,20 @@ def regression_frame(
     )
 
 
-def regression_frame_thresholds(star: Star, merge_first_level: bool = False) -> DataFrame:
-    """The earlier profit frame: years since the first, threshold flags, market sales totals."""
-    base = regression_base(star)
-    sums = fit_level_sums(base, REGRESSION_CATEGORIES, "sales")
+def regression_frame_thresholds(star: Star, merge_first_level: bool = False, train_percent: int | None = None) -> DataFrame:
+    """The earlier profit frame: years since the first, threshold flags, market sales totals.
+
+    With ``train_percent`` rows are marked ``is_train`` by their hash, and everything is
+    fitted on those.
+    """
+    base = fitted = regression_base(star)
+    if train_percent is not None:
+        base = stage(hash_split(base, "row_id", train_percent))
+        fitted = base.filter("is_train")
+    sums = fit_level_sums(fitted, REGRESSION_CATEGORIES, "sales")
     per_level = _merged_first(sums["market"], merge_first_level)
-    first = scalar_of(base, year=F.min("year"))["year"]
-    limits = quantile_values(base, ["sales", "discount"], {"sales": [0.6], "discount": [0.65]})
+    first = scalar_of(fitted, year=F.min("year"))["year"]
+    limits = quantile_values(fitted, ["sales", "discount"], {"sales": [0.6], "discount": [0.65]})
     return (
         _with_dummies(base, sums, 10)
         .withColumns(

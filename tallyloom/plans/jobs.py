@@ -218,7 +218,7 @@ def profit_model_early_stop(
     star: Star, rounds: int = 1000, depth: int = 4, rate: float = 0.05, tolerance: float = 0.01
 ) -> dict[str, DataFrame]:
     """The earlier profit model on a random split; boosting stops on a validation part of the training rows."""
-    frame = hash_split(frames.regression_frame_thresholds(star), "row_id", 75)
+    frame = frames.regression_frame_thresholds(star, train_percent=75)
     held = F.col("is_train") & (frames.row_hash_percent("validation") >= 80)
     frame = stage(frame.withColumn("is_validation", held))
     learner = models.boosted_regressor(

@@ -207,6 +207,13 @@ def test_a_column_of_many_levels(spark):
     assert scored.where("predicted_label_name = label_name").count() == len(rows)
 
 
+def test_statistics_of_the_profit_frame_come_from_training_rows(spark, star):
+    lines = star.lines.withColumn("test", F.expr("conv(substring(md5(row_id), 1, 8), 16, 10) % 100 >= 75"))
+    changed = dataclasses.replace(star, lines=lines.withColumn("sales", F.when(F.col("test"), F.col("sales") * 9).otherwise(F.col("sales"))).drop("test"))
+    train = [frames.regression_frame_thresholds(s, train_percent=75).filter("is_train").select("row_id", "is_high_value_order", "sum_sale_of_each_market") for s in (star, changed)]
+    assert train[0].count() > 0 and sorted(map(tuple, train[0].collect())) == sorted(map(tuple, train[1].collect()))
+
+
 def test_every_date_is_kept(spark, star):
     odd = star.lines.limit(5).withColumn("ship_date_key", F.lit(25001231).cast("bigint"))
     changed = dataclasses.replace(star, lines=odd)
