@@ -103,7 +103,8 @@ def test_packing_of_odd_rows(spark, make_documents, monkeypatch):
     whole = packing.sequences(packed).collect()
     assert all(len(r["ids"]) // 4 == sum(r["lengths"]) <= 64 for r in whole)
     assert sum(len(r["ids"]) // 4 for r in whole) == sum(len(library.encode(t or "", add_special_tokens=False).ids) + 1 for _, t in rows)
-    assert packing.pack(packing.token_pieces(make_documents([]), WORDS)).count() == 0
+    nothing = packing.pack(packing.token_pieces(make_documents([]), WORDS))
+    assert nothing.count() == 0 and tuple(packing.certificate(nothing).first()) == (0, 0)
     twice = packing.pack(packing.token_pieces(make_documents([(1, "same"), (1, "same"), (None, "x")]), WORDS)).collect()
     assert len(twice) == 3 and len({r["sequence_id"] for r in twice}) == 1
 
