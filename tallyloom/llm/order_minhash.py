@@ -186,10 +186,12 @@ def unsettled(compared: DataFrame) -> DataFrame:
     linked = F.col("d") <= share * (F.col("n_a") + F.col("n_b"))
     away = F.when(~linked, F.col("d") - share * F.col("n_b"))
     reach = compared.groupBy("a").agg(F.min(away).alias("far"), F.count(away).alias("out"))
-    open_rows = compared.join(reach.where("out > 0"), "a").where(~linked | (F.col("d") + share * F.col("n_b") >= F.col("far")))
+    # One row a star; broadcast while they are few, so that a large star's texts stay spread.
+    open_rows = compared.join(checked_broadcast(reach.where("out > 0"), MOST_BROADCAST_IDS), "a").where(~linked | (F.col("d") + share * F.col("n_b") >= F.col("far")))
     many = open_rows.groupBy("a").agg(F.count("*").alias("size"), F.sum("n_b").alias("shingles")).where("size > 1")
     blocks = F.ceil(F.greatest(F.col("size") / BLOCK_TEXTS, F.col("shingles") / BLOCK_SHINGLES))
-    return open_rows.select("a", "b", linked.alias("near")).join(many.select("a", blocks.cast("int").alias("blocks")), "a")
+    blocks = checked_broadcast(many.select("a", blocks.cast("int").alias("blocks")), MOST_BROADCAST_IDS)
+    return open_rows.select("a", "b", linked.alias("near")).join(blocks, "a")
 
 
 def links_among(rows: DataFrame, seqs: DataFrame) -> DataFrame:
