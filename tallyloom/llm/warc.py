@@ -98,12 +98,14 @@ def parse(data: bytes) -> tuple[dict, bytes | None]:
 
 def members(data: bytes):
     """Start, length and content of each gzip member."""
-    at = 0
+    at, view = 0, memoryview(data)
     while at < len(data):
-        open_member = zlib.decompressobj(31)
-        content = open_member.decompress(memoryview(data)[at:])
-        length = len(data) - at - len(open_member.unused_data)
-        yield at, length, content
+        open_member, parts, stop = zlib.decompressobj(31), [], at
+        while not open_member.eof and stop < len(data):  # in pieces, so that little is left over after a member
+            parts.append(open_member.decompress(view[stop : stop + 16_384]))
+            stop = min(stop + 16_384, len(data))
+        length = stop - at - len(open_member.unused_data)
+        yield at, length, b"".join(parts)
         at += length
 
 
@@ -164,7 +166,8 @@ def read_archives(archives: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_pylist(found, CAPTURE)
 
     spread = archives.select("uri").repartition(4 * archives.sparkSession.sparkContext.defaultParallelism, "uri")
-    return spread.mapInArrow(read, CAPTURE_COLUMNS)
+    # Staged, as sorting by ranges reads its input twice.
+    return stage(spread.mapInArrow(read, CAPTURE_COLUMNS))
 
 
 def write_index(captures: DataFrame, folder: str) -> DataFrame:
