@@ -21,7 +21,8 @@ EPOCHS, BATCH, RATE, DECAY = 30, 256, 0.2, 1e-4
 #: Domains are the labelled classes; their shares of all tokens after mixing.
 DOMAINS = ("good", "plain", "toxic")
 TARGETS = {"good": 0.85, "plain": 0.14, "toxic": 0.01}
-PULL, MOST_STEPS, TOLERANCE = 1e-4, 60, 1e-5
+#: Steps end when every domain is within this share of its target; the pull to 1 keeps them about as far from it.
+PULL, MOST_STEPS, TOLERANCE = 1e-4, 60, 5e-4
 
 
 @dataclass
@@ -151,12 +152,13 @@ class Rates:
     """
 
     step: float
+    momentum: float
     residuals: list[np.ndarray]
 
     def of(self, posteriors: np.ndarray) -> np.ndarray:
         rate = before = np.ones(len(posteriors))
-        for i, residual in enumerate(self.residuals):
-            ahead = self.ahead(rate, before, i)
+        for residual in self.residuals:
+            ahead = rate + self.momentum * (rate - before)
             before, rate = rate, np.maximum(0, ahead - self.step * (posteriors @ residual + PULL * (ahead - 1)))
         return rate
 
@@ -165,12 +167,8 @@ class Rates:
         if not self.residuals:
             return np.ones(len(posteriors))
         rate = self.of(posteriors)
-        before = Rates(self.step, self.residuals[:-1]).of(posteriors)
-        return self.ahead(rate, before, len(self.residuals))
-
-    @staticmethod
-    def ahead(rate, before, i):
-        return rate + (i / (i + 3)) * (rate - before)
+        before = Rates(self.step, self.momentum, self.residuals[:-1]).of(posteriors)
+        return rate + self.momentum * (rate - before)
 
 
 def sums(described: DataFrame, weigh, width: int) -> np.ndarray:
@@ -200,12 +198,15 @@ def fit_rates(described: DataFrame, targets: np.ndarray) -> Rates:
     k = len(targets)
     total = sums(described, lambda t, p: np.array([t.sum()]), 1)[0]
     if total <= 0:
-        return Rates(1.0, [])
+        return Rates(1.0, 0.0, [])
     joint = sums(described, lambda t, p: ((p * t[:, None]).T @ p).ravel(), k * k).reshape(k, k) / total
     scale = 1 / np.sqrt(targets)
-    rates = Rates(1 / (float(np.linalg.eigvalsh(scale[:, None] * joint * scale)[-1]) + PULL), [])
+    # The least and the largest curvature give the step and the momentum.
+    curves = np.linalg.eigvalsh(scale[:, None] * joint * scale) + PULL
+    root = float(np.sqrt(max(curves[0], PULL) / curves[-1]))
+    rates = Rates(1 / float(curves[-1]), (1 - root) / (1 + root), [])
     for _ in range(MOST_STEPS):
-        here = Rates(rates.step, list(rates.residuals))
+        here = Rates(rates.step, rates.momentum, list(rates.residuals))
         reached = sums(described, lambda t, p, here=here: (p * (t * here.look_ahead(p))[:, None]).sum(axis=0), k) / total
         rates.residuals.append((reached - targets) / targets)
         if np.abs(rates.residuals[-1]).max() < TOLERANCE:
@@ -239,9 +240,11 @@ def copies(rates: np.ndarray, ids: list) -> np.ndarray:
 
 @dataclass
 class Mixture:
+    """What was fitted, and the staged rows of :func:`describe` it was fitted on."""
+
     model: Classifier
     rates: Rates
-    names: tuple[str, ...]
+    described: DataFrame
 
 
 def fit_mixture(
@@ -260,16 +263,16 @@ def fit_mixture(
     if grow:
         now = sums(described, lambda t, p: (p * t[:, None]).sum(axis=0), len(names))
         shares = shares * max(1.0, float((now / max(now.sum(), 1e-300) / shares).max()))
-    return Mixture(model, fit_rates(described, shares), names)
+    return Mixture(model, fit_rates(described, shares), described)
 
 
-def mixture_table(df: DataFrame, mixture: Mixture, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``doc_id, n_tokens, p_<domain>, rate, copies`` of every row; an empty table gives no rows."""
-    described = describe(df, mixture.model, mixture.names, id_column, text_column)
+def mixture_table(mixture: Mixture) -> DataFrame:
+    """``doc_id, n_tokens, p_<domain>, rate, copies`` of every row that the mixture was fitted on; an empty table gives no rows."""
+    described, rates = mixture.described, mixture.rates
 
     def rate(batches):
         for batch in batches:
-            found = mixture.rates.of(np.stack([batch.column(i).to_numpy() for i in range(2, batch.num_columns)], 1))
+            found = rates.of(np.stack([batch.column(i).to_numpy() for i in range(2, batch.num_columns)], 1))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(found), pa.array(copies(found, batch.column(0).to_pylist()))], names=[*batch.schema.names, "rate", "copies"]
             )
@@ -281,11 +284,12 @@ def mixture_table(df: DataFrame, mixture: Mixture, id_column: str = "doc_id", te
 def mix(df: DataFrame, mixture: Mixture, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Each row as often as its whole copies, all columns as they are."""
     id_at, text_at = df.columns.index(id_column), df.columns.index(text_column)
+    model, rates = mixture.model, mixture.rates
 
     def repeat(batches):
         for batch in batches:
-            terms, measured, _ = mixture.model.describe([t or "" for t in batch.column(text_at).to_pylist()])
-            times = copies(mixture.rates.of(mixture.model.posteriors(terms, measured)), batch.column(id_at).to_pylist())
+            terms, measured, _ = model.describe([t or "" for t in batch.column(text_at).to_pylist()])
+            times = copies(rates.of(model.posteriors(terms, measured)), batch.column(id_at).to_pylist())
             for start in range(0, len(times), 500):
                 yield batch.take(pa.array(np.repeat(np.arange(start, min(start + 500, len(times))), times[start : start + 500])))
 
@@ -294,4 +298,4 @@ def mix(df: DataFrame, mixture: Mixture, id_column: str = "doc_id", text_column:
 
 def op9_soft_membership_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    return mixture_table(docs, fit_mixture(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    return mixture_table(fit_mixture(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))

@@ -78,10 +78,10 @@ def test_mixing_of_odd_rows(spark, make_documents):
     df = make_documents(rows).withColumn("rate", F.lit(1)).withColumn("n_tokens", F.lit(2))
     for labels in ([], [(1, 0, 0), (2, 1, 0), (3, 1, 1), (None, 1, 1), (5, None, 0)]):
         mixture = mixing.fit_mixture(df, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
-        table = mixing.mixture_table(df, mixture).collect()
+        table = mixing.mixture_table(mixture).collect()
         out = mixing.mix(df, mixture)
         assert len(table) == len(rows) and out.columns == df.columns and out.count() == sum(r["copies"] for r in table)
-    assert mixing.mixture_table(make_documents([]), mixing.fit_mixture(make_documents([]), spark.createDataFrame([], "doc_id long, quality int, toxic int"))).count() == 0
+    assert mixing.mixture_table(mixing.fit_mixture(make_documents([]), spark.createDataFrame([], "doc_id long, quality int, toxic int"))).count() == 0
 
 
 def test_op7_on_all_documents(spark, small):
