@@ -25,7 +25,7 @@ from tokenizers import Tokenizer
 
 from tallyloom.llm.common import BoundedMemo, process_memo
 
-MEMO_ENTRIES = 600_000
+MEMO_ENTRIES = 900_000
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 #: Characters whose class is the same in every Unicode version; the apostrophe has rules of its own.
 PLAIN = re.compile(rf"[\n !-&(-~{LETTERS}]*\Z").match
