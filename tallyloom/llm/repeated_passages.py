@@ -27,6 +27,8 @@ ROWS_PER_BLOCK = 8_000
 #: Frames are broadcast up to these sizes and joined by a shuffle beyond.
 MOST_BROADCAST_ROWS, MOST_BROADCAST_BYTES = 1_000_000, 64_000_000
 CHUNK_BYTES = 200_000
+#: Bytes of text that a task holds at a time, and that Spark hands it at once.
+SLICE_BYTES, BATCH_BYTES = 4_000_000, 8_000_000
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 
@@ -111,7 +113,7 @@ def repeated_strings(texts: DataFrame) -> DataFrame:
 
     def hashes(batches):
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", SLICE_BYTES):
                 found = [anchors(some)[2:] for _, some in in_chunks(bytes_of(batch))]
                 g, c = (np.concatenate([f[i] for f in found]).view(np.int64) for i in (0, 1))
                 yield pa.record_batch({"g": pa.array(g), "c": pa.array(c)})
@@ -139,7 +141,7 @@ def places(texts: DataFrame, repeated: DataFrame) -> DataFrame:
 
     def found(batches):
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", SLICE_BYTES):
                 data = bytes_of(batch)
                 marks = np.array([xxhash.xxh3_128_digest(t) for t in data], object)
                 for first, some in in_chunks(data):
@@ -147,10 +149,10 @@ def places(texts: DataFrame, repeated: DataFrame) -> DataFrame:
                     if len(g):
                         yield pa.record_batch({"mark": pa.array(marks[first + text], pa.binary()), "place": pa.array(place), "g": pa.array(g.view(np.int64))})
 
-    rows = texts.mapInArrow(found, "mark binary, place long, g long").join(small_or_not(repeated), "g")
     kind = F.when(~F.col("differ"), 0).when(F.col("n") <= MOST_IN_BUCKET, 1).otherwise(2)
+    rows = texts.mapInArrow(found, "mark binary, place long, g long").join(small_or_not(repeated.select("g", kind.alias("kind"))), "g")
     # Copies of a text give the same numbers, so a text's set is no longer than the text.
-    return rows.groupBy("mark").agg(F.collect_set(F.col("place") * 4 + kind).alias("all"))
+    return rows.groupBy("mark").agg(F.collect_set(F.col("place") * 4 + F.col("kind")).alias("all"))
 
 
 def packed_places(rows: DataFrame) -> DataFrame:
@@ -166,7 +168,7 @@ def marked(texts: DataFrame, columns: str) -> DataFrame:
 
     def mark(batches):
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", SLICE_BYTES):
                 data = bytes_of(batch)
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([xxhash.xxh3_128_digest(t) for t in data], pa.binary())], names=[*batch.schema.names, "mark"])
 
@@ -356,6 +358,8 @@ def repeated_passages(df: DataFrame, id_column: str = "doc_id", text_column: str
     in the same text or another; overlaps count. Rows with equal texts repeat each other.
     A null text counts as empty; ids may be null or repeated.
     """
+    # Each pass holds texts in Spark, in Arrow and in Python; smaller batches keep that low.
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     texts = df.select(text_or_empty(text_column).alias("text"))
     repeated = stage(repeated_strings(texts))
     known = small_or_not(packed_places(places(texts, repeated)), "places")
@@ -371,7 +375,7 @@ def repeated_passages(df: DataFrame, id_column: str = "doc_id", text_column: str
 
     def remove(batches):
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", SLICE_BYTES):
                 runs, kept, data = [], [], bytes_of(batch)
                 for text, packed, starts, stops in zip(data, *(batch.column(c).to_pylist() for c in ("places", "starts", "stops"))):
                     spans = np.array([starts or [], stops or []], np.int64).T
