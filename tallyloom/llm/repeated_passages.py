@@ -150,7 +150,8 @@ def places(texts: DataFrame, repeated: DataFrame) -> DataFrame:
                         yield pa.record_batch({"mark": pa.array(marks[first + text], pa.binary()), "place": pa.array(place), "g": pa.array(g.view(np.int64))})
 
     kind = F.when(~F.col("differ"), 0).when(F.col("n") <= MOST_IN_BUCKET, 1).otherwise(2)
-    rows = texts.mapInArrow(found, "mark binary, place long, g long").join(small_or_not(repeated.select("g", kind.alias("kind"))), "g")
+    # Joined by a shuffle at every size: the repeated strings grow with the texts.
+    rows = texts.mapInArrow(found, "mark binary, place long, g long").join(repeated.select("g", kind.alias("kind")), "g")
     # Copies of a text give the same numbers, so a text's set is no longer than the text.
     return rows.groupBy("mark").agg(F.collect_set(F.col("place") * 4 + F.col("kind")).alias("all"))
 
