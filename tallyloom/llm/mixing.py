@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import KEY, BoundedMemo, documents, mixed, slices, text_or_empty
+from tallyloom.llm.tokens import encoder
 from tallyloom.llm.toxicity import BUCKETS, likelihood_ratio, term_buckets
 from tallyloom.session import stage
 
@@ -18,6 +19,8 @@ from tallyloom.session import stage
 MOST_LABELLED = 20_000
 FEATURES, LEAST_DOCUMENTS = 2048, 5
 EPOCHS, BATCH, RATE, DECAY = 30, 256, 0.2, 1e-4
+#: Tokens are the ids of a text in this tokenizer, which packing uses as well.
+TOKENIZER = "word_bpe_49k.json"
 #: Domains are the labelled classes; their shares of all tokens after mixing.
 DOMAINS = ("good", "plain", "toxic")
 TARGETS = {"good": 0.85, "plain": 0.14, "toxic": 0.01}
@@ -36,8 +39,8 @@ class Classifier:
     def __getstate__(self):
         return {"buckets": self.buckets, "weights": self.weights, "memo": None}
 
-    def describe(self, texts: list[str]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-        """Term places, measures and words of each text."""
+    def describe(self, texts: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
+        """Term places and measures of each text."""
         if self.memo is None:
             place = {int(b): i for i, b in enumerate(self.buckets)}
             self.memo = BoundedMemo(lambda token: [place[b] for b in term_buckets(token) if b in place], 400_000)
@@ -47,7 +50,7 @@ class Classifier:
             different = set(words)
             terms.append(np.array(sorted({k for found in map(look, different) for k in found}), np.int64))
             sizes[i] = len(words), len(different)
-        return terms, measures(sizes), sizes[:, 0].astype(np.int64)
+        return terms, measures(sizes)
 
     def posteriors(self, terms: list[np.ndarray], measured: np.ndarray) -> np.ndarray:
         flat, owner = np.concatenate([np.zeros(0, np.int64), *terms]), np.repeat(np.arange(len(terms)), [len(t) for t in terms])
@@ -214,18 +217,20 @@ def fit_rates(described: DataFrame, targets: np.ndarray) -> Rates:
     return rates
 
 
-def describe(df: DataFrame, model: Classifier, names: tuple[str, ...], id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``doc_id, n_tokens`` (words) and the posterior ``p_<domain>`` of every row; a null text counts as empty."""
+def describe(
+    df: DataFrame, model: Classifier, names: tuple[str, ...], tokenizer: str, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """``doc_id, n_tokens`` (ids of the tokenizer) and the posterior ``p_<domain>`` of every row; a null text counts as empty."""
     rows = df.select(F.col(id_column).alias("doc_id"), text_or_empty(text_column).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def predict(batches):
         for whole in batches:
             for batch in slices(whole, "text"):
-                terms, measured, words = model.describe(batch.column("text").to_pylist())
-                chances = model.posteriors(terms, measured)
+                tokens = encoder(tokenizer).count_all(batch.column("text"))
+                chances = model.posteriors(*model.describe(batch.column("text").to_pylist()))
                 yield pa.record_batch(
-                    {"doc_id": batch.column("doc_id"), "n_tokens": pa.array(words, pa.int64())} | {f"p_{n}": pa.array(chances[:, i]) for i, n in enumerate(names)}
+                    {"doc_id": batch.column("doc_id"), "n_tokens": pa.array(tokens, pa.int64())} | {f"p_{n}": pa.array(chances[:, i]) for i, n in enumerate(names)}
                 )
 
     return rows.mapInArrow(predict, f"doc_id {kind}, n_tokens long, " + ", ".join(f"p_{n} double" for n in names))
@@ -249,15 +254,19 @@ class Mixture:
 
 def fit_mixture(
     df: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, names: tuple[str, ...] = DOMAINS, grow: bool = False,
-    id_column: str = "doc_id", text_column: str = "text",
+    id_column: str = "doc_id", text_column: str = "text", tokenizer: str | None = None,
 ) -> Mixture:
     """Fit the classifier on the labelled rows of the named domains, and the rates on all rows.
 
     The domains' tokens are to have the targets' shares of as many tokens as there are;
     with ``grow`` of as many more as let no domain shrink, so that rates stay near 1 or above.
+    Tokens are those of the tokenizer file, ``TOKENIZER`` if none is given.
     """
+    import public_tokenizers
+
+    tokenizer = tokenizer or public_tokenizers.path(TOKENIZER)
     model = fit(df, label_domains(labels).where(F.col("domain") < len(names)), len(names), id_column, text_column)
-    described = stage(describe(df, model, names, id_column, text_column))
+    described = stage(describe(df, model, names, tokenizer, id_column, text_column))
     shares = np.array([targets[n] for n in names])
     shares = shares / shares.sum()
     if grow:
@@ -288,8 +297,8 @@ def mix(df: DataFrame, mixture: Mixture, id_column: str = "doc_id", text_column:
 
     def repeat(batches):
         for batch in batches:
-            terms, measured, _ = model.describe([t or "" for t in batch.column(text_at).to_pylist()])
-            times = copies(rates.of(model.posteriors(terms, measured)), batch.column(id_at).to_pylist())
+            described = model.describe([t or "" for t in batch.column(text_at).to_pylist()])
+            times = copies(rates.of(model.posteriors(*described)), batch.column(id_at).to_pylist())
             for start in range(0, len(times), 500):
                 yield batch.take(pa.array(np.repeat(np.arange(start, min(start + 500, len(times))), times[start : start + 500])))
 

@@ -134,12 +134,31 @@ class TextEncoder:
     def encode_all(self, texts: pa.Array) -> Iterator[bytes]:
         return by_chunk(self.kind, texts, self.known, self.stays_whole, self._library)
 
+    def count_all(self, texts: pa.Array) -> np.ndarray:
+        """The number of ids of each text."""
+        alone, values, places, starts = looked_up(self.kind, texts, self.known, self.stays_whole)
+        sums = np.concatenate([[0], np.cumsum(np.array([len(v) for v in values], np.int64)[places] // 4)])
+        counts = sums[starts[1:]] - sums[starts[:-1]]
+        for i, text in alone.items():
+            counts[i] = len(self._library(text)) // 4
+        return counts
+
 
 def by_chunk(kind: str, texts: pa.Array, known: BoundedMemo, stays_whole, whole, in_order: bool = False) -> Iterator[bytes]:
     """For each text the looked-up values of its chunks one after another; ``whole`` gives those of uncut texts.
 
     Each distinct chunk of the batch is looked up once, ``in_order`` if that helps the look-up.
     """
+    alone, values, places, starts = looked_up(kind, texts, known, stays_whole, in_order)
+    for i in range(len(starts) - 1):
+        if i in alone:
+            yield whole(alone[i])
+        else:
+            yield b"".join([values[k] for k in places[starts[i] : starts[i + 1]].tolist()])
+
+
+def looked_up(kind: str, texts: pa.Array, known: BoundedMemo, stays_whole, in_order: bool = False) -> tuple[dict[int, str], list[bytes], np.ndarray, np.ndarray]:
+    """The uncut texts by place, the distinct chunks' values, the value's place of every chunk, and where each text's chunks start."""
     alone = {i: t for i, t in enumerate(texts.to_pylist()) if stays_whole(t)}
     if kind == "words":
         texts = pc.replace_substring(texts, "\n", "\0")
@@ -156,12 +175,7 @@ def by_chunk(kind: str, texts: pa.Array, known: BoundedMemo, stays_whole, whole,
     for i in order:
         if not alone or distinct[i] in wanted:
             values[i] = known[distinct[i]]
-    places, starts = coded.indices.to_numpy(zero_copy_only=False), cut.offsets.to_numpy() - cut.offsets[0].as_py()
-    for i in range(len(cut)):
-        if i in alone:
-            yield whole(alone[i])
-        else:
-            yield b"".join([values[k] for k in places[starts[i] : starts[i + 1]].tolist()])
+    return alone, values, coded.indices.to_numpy(zero_copy_only=False), cut.offsets.to_numpy() - cut.offsets[0].as_py()
 
 
 def encoder(path: str) -> TextEncoder:
