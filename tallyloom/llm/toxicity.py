@@ -16,8 +16,10 @@ from tallyloom.llm.common import KEY, BoundedMemo, documents, slices, text_or_em
 BUCKETS = 1 << 20
 #: Labelled documents that are used for fitting, at most: those with the smallest hashes of their ids.
 MOST_LABELLED = 20_000
-FEATURES, FACTORS, LEAST_DOCUMENTS = 1024, 8, 5
+FACTORS, LEAST_DOCUMENTS = 8, 5
 EPOCHS, BATCH, RATE, DECAY = 40, 256, 0.3, 1e-5
+#: Terms that are fitted before all are; the later steps start from this squared slope, so that texts of many terms don't overshoot.
+FIRST, LATE_START, LATE_DECAY = 1024, 1e-1, 1e-4
 THRESHOLD = 0.3
 TERMS = re.compile(r"[^\W\d_]+")
 
@@ -73,8 +75,10 @@ def likelihood_ratio(with_term: np.ndarray, positive_with: np.ndarray, n: int, p
 def fit_machine(rows: list[np.ndarray], labels: np.ndarray) -> Machine:
     """Fit on documents given as arrays of their distinct term buckets.
 
-    Of the terms that occur more in toxic texts, those that tell the classes apart best
-    by their likelihood ratio become features. Without both classes the machine knows their share only.
+    All terms of at least ``LEAST_DOCUMENTS`` documents have factors, whatever they tell
+    alone. Those that tell the classes apart best alone are fitted first; then all are, by
+    small steps, and the others take up what is left, as a pair of which one side is as
+    common in clean texts. Without both classes the machine knows their share only.
     """
     n, positive = len(labels), int(labels.sum())
     share = (positive + 1) / (n + 2)
@@ -84,36 +88,51 @@ def fit_machine(rows: list[np.ndarray], labels: np.ndarray) -> Machine:
     flat, owner = np.concatenate(rows).astype(np.int64), np.repeat(np.arange(n), [len(r) for r in rows])
     seen = np.bincount(flat, minlength=BUCKETS)
     both = np.bincount(flat, weights=labels[owner], minlength=BUCKETS)
-    # Words of one language only would count against toxic texts in another, so terms of clean texts are no features.
-    known = np.flatnonzero((seen >= LEAST_DOCUMENTS) & (both * n > seen * positive))
-    ratio = likelihood_ratio(seen[known], both[known], n, positive)
-    buckets = np.sort(known[np.argsort(-ratio, kind="stable")[:FEATURES]])
+    buckets = np.flatnonzero(seen >= LEAST_DOCUMENTS)
+    # Words of one language only would count against toxic texts in another, so terms of clean texts have no weight of their own.
+    weighed = (both * n > seen * positive)[buckets]
+    ratio = np.where(weighed, likelihood_ratio(seen[buckets], both[buckets], n, positive), -1)
+    first = np.argsort(-ratio, kind="stable")[: min(FIRST, int(weighed.sum()))]
     place = np.full(BUCKETS, -1)
     place[buckets] = np.arange(len(buckets))
     rows = [np.sort(place[r][place[r] >= 0]) for r in rows]
     random = np.random.default_rng(11)
-    model = Machine(empty.bias, buckets, np.zeros(len(buckets)), random.normal(0, 0.01, (len(buckets), FACTORS)))
-    sums = [np.full(1, 1e-6), np.full(len(buckets), 1e-6), np.full((len(buckets), FACTORS), 1e-6)]
+    model = Machine(empty.bias, buckets, np.zeros(len(buckets)), np.zeros((len(buckets), FACTORS)))
+    model.factors[np.sort(first)] = random.normal(0, 0.01, (len(first), FACTORS))
+    early = np.isin(np.arange(len(buckets)), first)
+    train(model, [r[early[r]] for r in rows], labels, weighed, 1e-6, DECAY, random)
+    train(model, rows, labels, weighed, LATE_START, LATE_DECAY, random)
+    return model
+
+
+def train(model: Machine, rows: list[np.ndarray], labels: np.ndarray, weighed: np.ndarray, start: float, decay: float, random: np.random.Generator) -> None:
+    """Steps over all documents in batches, each scaled by the root of the squared slopes so far, which are ``start`` at first."""
+    n = len(labels)
+    sums = [np.full(1, start), np.full(len(weighed), start), np.full(model.factors.shape, start)]
     for _ in range(EPOCHS):
         order = random.permutation(n)
-        for start in range(0, n, BATCH):
-            some = order[start : start + BATCH]
+        for at in range(0, n, BATCH):
+            some = order[at : at + BATCH]
             held = [rows[i] for i in some]
-            flat, owner = np.concatenate(held), np.repeat(np.arange(len(some)), [len(r) for r in held])
-            # Documents without a feature tell only the bias.
+            # Only terms of the batch are updated. Documents without a feature tell only the bias.
+            terms, flat = np.unique(np.concatenate(held), return_inverse=True)
+            owner = np.repeat(np.arange(len(some)), [len(r) for r in held])
+            factors = model.factors[terms]
             error = 1 / (1 + np.exp(-np.clip(model.margin(held), -30, 30))) - labels[some]
             per = error[owner]
-            total = np.stack([np.bincount(owner, model.factors[flat, f], len(some)) for f in range(FACTORS)], 1)
-            slope_w = np.bincount(flat, per, len(buckets)) / len(some) + DECAY * model.weights
-            inner = per[:, None] * (total[owner] - model.factors[flat])
-            slope_v = np.stack([np.bincount(flat, inner[:, f], len(buckets)) for f in range(FACTORS)], 1) / len(some) + DECAY * model.factors
+            times = np.bincount(flat, per, len(terms)) / len(some)
+            slope_w = (times + decay * model.weights[terms]) * weighed[terms]
+            slope_v = (decay - times)[:, None] * factors
+            for f in range(FACTORS):
+                total = np.bincount(owner, factors[flat, f], len(some))
+                slope_v[:, f] += np.bincount(flat, per * total[owner], len(terms)) / len(some)
             slope_b = np.array([error.mean()])
-            for held_sum, slope in zip(sums, (slope_b, slope_w, slope_v)):
-                held_sum += slope * slope
+            sums[0] += slope_b * slope_b
+            sums[1][terms] += slope_w * slope_w
+            sums[2][terms] += slope_v * slope_v
             model.bias -= float(RATE * slope_b[0] / np.sqrt(sums[0][0]))
-            model.weights -= RATE * slope_w / np.sqrt(sums[1])
-            model.factors -= RATE * slope_v / np.sqrt(sums[2])
-    return model
+            model.weights[terms] -= RATE * slope_w / np.sqrt(sums[1][terms])
+            model.factors[terms] -= RATE * slope_v / np.sqrt(sums[2][terms])
 
 
 def in_fold(id_column: str = "doc_id"):
