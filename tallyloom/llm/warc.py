@@ -150,7 +150,10 @@ CAPTURE = pa.schema([
     ("key", pa.string()), ("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
     ("record_type", pa.string()), ("refers_to", pa.int64()), ("archive", pa.string()), ("start", pa.int64()), ("length", pa.int64()),
 ])
+#: A line of the index also says where the payload of a revisit is; null for a response.
+LINE = pa.schema([*CAPTURE, ("payload_archive", pa.string()), ("payload_start", pa.int64()), ("payload_length", pa.int64())])
 CAPTURE_COLUMNS = "key string, page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, archive string, start long, length long"
+LINE_COLUMNS = f"{CAPTURE_COLUMNS}, payload_archive string, payload_start long, payload_length long"
 
 
 def read_archives(archives: DataFrame) -> DataFrame:
@@ -170,9 +173,23 @@ def read_archives(archives: DataFrame) -> DataFrame:
     return stage(spread.mapInArrow(read, CAPTURE_COLUMNS))
 
 
+def with_payload_places(captures: DataFrame) -> DataFrame:
+    """The captures, a revisit with the archive, start and length of a response of its payload.
+
+    The captures don't move, unless there are too many groups of equal payloads to broadcast.
+    """
+    groups = captures.where("record_type = 'revisit'").select("payload_digest").distinct()
+    responses = captures.where("record_type = 'response'").join(checked_broadcast(groups, MOST_BROADCAST_GROUPS), "payload_digest", "left_semi")
+    place = F.struct("archive", "start", "length")
+    places = responses.groupBy("payload_digest").agg(F.min(place).alias("_place")).withColumnRenamed("payload_digest", "_digest")
+    same = (F.col("record_type") == "revisit") & (F.col("payload_digest") == F.col("_digest"))
+    joined = captures.join(checked_broadcast(places, MOST_BROADCAST_GROUPS), same, "left")
+    return joined.select(*captures.columns, *[F.col(f"_place.{c}").alias(f"payload_{c}") for c in ("archive", "start", "length")])
+
+
 def write_index(captures: DataFrame, folder: str) -> DataFrame:
     """Sort the captures by key into compressed blocks; return the directory: ``first_key, last_key, uri, start, length, lines``, a row a block."""
-    ordered = captures.repartitionByRange("key", "page_id").sortWithinPartitions("key", "page_id", "archive", "start")
+    ordered = with_payload_places(captures).repartitionByRange("key", "page_id").sortWithinPartitions("key", "page_id", "archive", "start")
 
     def write(batches):
         part, number, lines, keys, blocks, rows, size = TaskContext.get().partitionId(), 0, [], [], [], [], 0
@@ -216,17 +233,17 @@ def scan_index(directory: DataFrame) -> DataFrame:
     def scan(batches):
         for batch in batches:
             for uri, start, length in zip(*(batch.column(c).to_pylist() for c in ("uri", "start", "length"))):
-                yield pa.RecordBatch.from_pylist([json.loads(text) | {"key": key} for key, text in block_lines(uri, start, length)], CAPTURE)
+                yield pa.RecordBatch.from_pylist([json.loads(text) | {"key": key} for key, text in block_lines(uri, start, length)], LINE)
 
     spread = directory.select("uri", "start", "length").repartition(4 * directory.sparkSession.sparkContext.defaultParallelism, "uri", "start")
-    return spread.mapInArrow(scan, CAPTURE_COLUMNS)
+    return spread.mapInArrow(scan, LINE_COLUMNS)
 
 
 def lookup(directory: DataFrame, urls: list[str]) -> list[dict]:
     """The captures of each URL, with their payloads; a revisit has that of its response.
 
     The directory is searched for the blocks that may hold a key, each block is read and
-    searched, and each record is read, by ranges. Of a directory too long for the driver
+    searched, and each record that holds a payload is read, by ranges. Of a directory too long for the driver
     only the rows of wanted keys are taken.
     """
     keys = sorted({url_key(u) for u in urls})
@@ -244,8 +261,8 @@ def lookup(directory: DataFrame, urls: list[str]) -> list[dict]:
             held = [k for k, _ in lines]
             out += [json.loads(text) | {"key": key} for _, text in lines[bisect_left(held, key) : bisect_right(held, key)]]
     for row in out:
-        found, payload = parse(zlib.decompress(read_range(row["archive"], row["start"], row["length"]), 31))
-        row["payload"] = payload
+        place = ("archive", "start", "length") if row["payload_archive"] is None else ("payload_archive", "payload_start", "payload_length")
+        _, row["payload"] = parse(zlib.decompress(read_range(*(row[c] for c in place)), 31))
     return out
 
 
