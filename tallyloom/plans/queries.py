@@ -762,75 +762,73 @@ def knn_returned(star: Star) -> DataFrame:
 
 @query
 def grid_scores(star: Star) -> DataFrame:
-    """Scores of random forest, nearest neighbours and logistic regression over their parameters, two folds."""
-    return jobs.grid_scores(star, folds=2)
+    """Scores of random forest, nearest neighbours and logistic regression over their parameters."""
+    return jobs.grid_scores(star)
 
 
 @query
 def best_candidates(star: Star) -> DataFrame:
-    """The best candidate of each family over two folds."""
-    return models.best_per_family(jobs.grid_scores(star, folds=2))
+    """The best candidate of each family."""
+    return models.best_per_family(jobs.grid_scores(star))
 
 
 @query
 def svc_scores(star: Star) -> DataFrame:
-    return jobs.grid_scores(star, folds=2, families=("svm",))
+    return jobs.grid_scores(star, families=("svm",))
 
 
-# Boosting, with few rounds; the jobs default to the full numbers
-
-ROUNDS = 10
+# Boosting, at the jobs' full settings
 
 
 @query
 def profit_metrics(star: Star) -> DataFrame:
-    return jobs.profit_model(star, rounds=ROUNDS)["metrics"]
+    return jobs.profit_model(star)["metrics"]
 
 
 @query
 def profit_predictions(star: Star) -> DataFrame:
-    return jobs.profit_model(star, rounds=ROUNDS)["predictions"]
+    return jobs.profit_model(star)["predictions"]
 
 
 @query
 def profit_importances(star: Star) -> DataFrame:
-    return jobs.profit_model(star, rounds=ROUNDS)["importances"]
+    return jobs.profit_model(star)["importances"]
 
 
 @query
 def profit_early_stop_metrics(star: Star) -> DataFrame:
-    return jobs.profit_model_early_stop(star, rounds=ROUNDS)["metrics"]
+    return jobs.profit_model_early_stop(star)["metrics"]
 
 
 @query
 def profit_grid(star: Star) -> DataFrame:
-    return jobs.profit_grid(star, depths=(2, 3), rates=(0.04, 0.05), rounds=3)
+    return jobs.profit_grid(star)
 
 
 @query
 def ship_mode_scores(star: Star) -> DataFrame:
-    results = jobs.ship_mode_model(star, rounds=3)
+    results = jobs.ship_mode_model(star)
     part = lambda name: results[f"scores_{name}"].withColumn("part", F.lit(name))
     return part("train").unionByName(part("test"))
 
 
 @query
 def ship_mode_metadata(star: Star) -> DataFrame:
-    row = jobs.ship_mode_model(star, rounds=3)["metadata"]
+    row = jobs.ship_mode_model(star)["metadata"]
     return row.select(*[F.to_json(c).alias(c) for c in row.columns])
 
 
 @query
 def ship_mode_importances(star: Star) -> DataFrame:
-    return jobs.ship_mode_model(star, rounds=3)["importances"]
+    return jobs.ship_mode_model(star)["importances"]
 
 
 @query
 def ship_mode_balanced_scores(star: Star) -> DataFrame:
     """Deeper trees on training rows balanced by synthetic rows."""
-    return jobs.ship_mode_model(star, rounds=2, depth=4, rate=0.04, balance=True)["scores_test"]
+    return jobs.ship_mode_model(star, rounds=1900, depth=7, rate=0.04, balance=True)["scores_test"]
 
 
 @query
 def ship_mode_rounds(star: Star) -> DataFrame:
-    return jobs.ship_mode_rounds(star, rounds=(2, 4), folds=2)
+    return jobs.ship_mode_rounds(star)
