@@ -26,8 +26,8 @@ def mann_whitney(df: DataFrame, value: str, group: str, first: str, second: str)
     Columns: n1, n2, u_statistic (of the first sample), z, p_value. Rows are
     reduced to one per distinct value before they are ranked; tied values take
     their average rank. The p-value uses the normal approximation with tie and
-    continuity corrections, or the exact distribution when there is no tie and
-    a sample has at most eight values.
+    continuity corrections, or the exact distribution when there is no tie, a
+    sample has at most eight values, and n1 * n2 is at most 100,000.
     """
     in_group = df.filter(F.col(group).isin(first, second) & F.col(value).isNotNull())
     counted = in_group.groupBy(value).agg(
