@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tallyloom.llm import exact_copies, warc
+from tallyloom.llm.byte_merges import op13_byte_level_bpe
 from tallyloom.llm.exact_copies import op5_golomb_exact_dedup
 from tallyloom.llm.mixing import op9_soft_membership_mixing
 from tallyloom.llm.order_minhash import op1_order_minhash_near_dedup
@@ -25,5 +26,6 @@ QUERIES = {
     "op8_simple8b_token_ids": op8_simple8b_token_ids,
     "op9_soft_membership_mixing": op9_soft_membership_mixing,
     "op10_suffix_sorted_passages": op10_suffix_sorted_passages,
+    "op13_byte_level_bpe": op13_byte_level_bpe,
 }
 SQL = {"op2_warc_capture_index": warc.SQL, "op5_golomb_exact_dedup": exact_copies.SQL}
