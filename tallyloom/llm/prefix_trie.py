@@ -52,7 +52,10 @@ def conversation_turns(
 
 
 def rebuilt(convs: DataFrame, every: int = 20, most: int = 4) -> DataFrame:
-    """Conversations whose first h turns are those of conversation ``c - c % every``, h = crc32(c) % ``most``."""
+    """Conversations whose first h turns are those of conversation ``c - c % every``, h = crc32(c) % ``most``.
+
+    ``%`` is Spark's, so a negative number's remainder is negative.
+    """
     base = convs.where(F.col("conv_id") % every == 0).select(F.col("conv_id").alias("_base"), F.slice("turns", 1, most - 1).alias("_first"))
     h = (F.crc32(F.encode(F.col("conv_id").cast("string"), "UTF-8")) % most).cast("int")
     own = F.slice(F.col("turns"), h + 1, F.lit(REST))

@@ -1,6 +1,7 @@
 """The conversation trie against plain dictionaries of prefixes, with shards of a few rows."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -21,7 +22,7 @@ def plain_rebuilt(rows):
             own.setdefault(conv, []).append((turn is not None, turn or 0, role or "", text or ""))
     own = {c: [t[2:] for t in sorted(turns)] for c, turns in own.items()}
     heads = {c: zlib.crc32(str(c).encode()) % 4 for c in own}
-    return {c: own.get(c - c % 20, [])[: heads[c]] + turns[heads[c] :] for c, turns in own.items()}
+    return {c: own.get(c - int(math.fmod(c, 20)), [])[: heads[c]] + turns[heads[c] :] for c, turns in own.items()}
 
 
 def plain_trie(convs):
