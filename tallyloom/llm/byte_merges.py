@@ -29,7 +29,7 @@ from tallyloom.session import stage
 #: Words whose ids go into the literal map, their longest length in characters, and the
 #: rows (about) they are learned from. They decide what is looked up and what is folded,
 #: never the ids.
-MOST_WORDS = 300_000
+MOST_WORDS = 120_000
 LONGEST_WORD = 48
 WORD_ROWS = 50_000
 #: Bytes of a block of a long word.
@@ -231,30 +231,36 @@ class ByteMerges:
         self.whole = {}
         for token, rank in ranks.items():
             try:
-                self.whole[token.encode(BYTES).decode()] = [rank]
+                self.whole[token.encode(BYTES).decode()] = token_char(rank)
             except UnicodeDecodeError:
                 pass  # no word of a text
-        self.words = LiteralMap(self.whole, "array<int>")
+        self.words = LiteralMap(self.whole, "string")
 
-    def encoded(self, text: Column) -> Column:
-        """The ids of a text, an array of int; null for null."""
+    def token_string(self, text: Column) -> Column:
+        """The ids of a text, a character each; null for null."""
 
-        def ids(slots: Column) -> Column:
+        def chars(slots: Column) -> Column:
             look = lambda key: F.coalesce(self.pairs.get(key, slots), F.lit(NONE))
             parts = lambda w: F.when(F.length(w) <= WIDTH, merged(w, look)).otherwise(merged_in_blocks(w, look, self.lengths))
             start = lambda word: F.translate(as_bytes(word), "".join(map(chr, range(256))), self.byte_tokens)
-            folded = lambda word: F.transform(F.split(let(start(word), parts), ""), token_id)
-            return F.flatten(F.transform(words_of(text, self.pattern), lambda word: F.coalesce(self.words.get(word), folded(word))))
+            one = lambda word: F.coalesce(self.words.get(word), let(start(word), parts))
+            return F.array_join(F.transform(words_of(text, self.pattern), one), "")
 
         # One literal, bound to a variable that all look-ups share.
-        return let(self.pairs.slots, ids)
+        return let(self.pairs.slots, chars)
+
+    def encoded(self, text: Column) -> Column:
+        """The ids of a text, an array of int; null for null."""
+
+        ids = lambda chars: F.when(chars == "", F.array().cast("array<int>")).otherwise(F.transform(F.split(chars, ""), token_id))
+        return let(self.token_string(text), ids)
 
     def fit(self, texts: DataFrame, most: int = MOST_WORDS, rows: int = WORD_ROWS) -> ByteMerges:
         """Take over the ids of the frequent words of about ``rows`` rows' ``text``; at most ``most`` words come to the driver."""
         some = texts.sample(min(1.0, rows / max(texts.count(), 1)), 13)
         counts = frequent_words(some, self.pattern, most).coalesce(16)
-        found = counts.select("word", self.encoded(F.col("word")).alias("ids")).collect()
-        self.words = LiteralMap({**self.whole, **{row["word"]: row["ids"] for row in found}}, "array<int>")
+        found = counts.select("word", self.token_string(F.col("word")).alias("chars")).collect()
+        self.words = LiteralMap({**self.whole, **dict(map(tuple, found))}, "string")
         return self
 
     def decoded(self, ids: Column) -> Column:
