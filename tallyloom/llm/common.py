@@ -86,9 +86,10 @@ def read_range(uri: str, start: int = 0, length: int | None = None) -> bytes:
 
 
 def process_memo(name: str, make):
-    """An object kept for the life of a Python worker, whatever task made it."""
-    kept = sys.modules.setdefault("_process_memo", types.ModuleType("_process_memo")).__dict__
+    """An object that a Python worker keeps from task to task, until another operator keeps one there."""
+    kept = sys.modules.setdefault("_process_memo", types.ModuleType("_process_memo")).__dict__.setdefault("kept", {})
     if name not in kept:
+        kept.clear()
         kept[name] = make()
     return kept[name]
 

@@ -4,20 +4,24 @@ from __future__ import annotations
 
 import zlib
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import KEY, BoundedMemo, documents, mixed, slices, text_or_empty
-from tallyloom.llm.tokens import encoder
+from tallyloom.llm.tokens import Chunks, chunks, encoder
 from tallyloom.llm.toxicity import BUCKETS, likelihood_ratio, term_buckets
 from tallyloom.session import stage
 
 #: Labelled documents that are used for fitting, at most: those with the smallest hashes of their ids.
 MOST_LABELLED = 20_000
 FEATURES, LEAST_DOCUMENTS = 2048, 5
+#: Bytes of text that a task describes at a time.
+SLICE = 4_000_000
 EPOCHS, BATCH, RATE, DECAY = 30, 256, 0.2, 1e-4
 #: Tokens are the ids of a text in this tokenizer, which packing uses as well.
 TOKENIZER = "word_bpe_49k.json"
@@ -39,28 +43,72 @@ class Classifier:
     def __getstate__(self):
         return {"buckets": self.buckets, "weights": self.weights, "memo": None}
 
-    def describe(self, texts: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
-        """Term places and measures of each text."""
+    def describe(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The places of the terms of all texts, the text of each, and the measures of each text."""
         if self.memo is None:
             place = {int(b): i for i, b in enumerate(self.buckets)}
-            self.memo = BoundedMemo(lambda token: [place[b] for b in term_buckets(token) if b in place], 400_000)
-        terms, sizes, look = [], np.zeros((len(texts), 2)), self.memo.__getitem__
-        for i, text in enumerate(texts):
-            words = text.split()
-            different = set(words)
-            terms.append(np.array(sorted({k for found in map(look, different) for k in found}), np.int64))
-            sizes[i] = len(words), len(different)
-        return terms, measures(sizes)
-
-    def posteriors(self, terms: list[np.ndarray], measured: np.ndarray) -> np.ndarray:
-        flat, owner = np.concatenate([np.zeros(0, np.int64), *terms]), np.repeat(np.arange(len(terms)), [len(t) for t in terms])
+            self.memo = BoundedMemo(lambda token: tuple({place[b] for b in term_buckets(token) if b in place}), 200_000)
+        held = list(map(self.memo.__getitem__, words.words))
+        found, at = spread(held, words.places)
+        # A text has a term once, whichever of its words hold it.
+        width = max(len(self.buckets), 1)
+        keys = np.unique(words.owner[at] * width + found)
+        return keys % width, keys // width, measures(np.stack([words.totals, words.different()], 1).astype(float))
+
+    def posteriors(self, flat: np.ndarray, owner: np.ndarray, measured: np.ndarray) -> np.ndarray:
         n, classes = len(self.buckets), self.weights.shape[1]
-        margin = np.stack([np.bincount(owner, self.weights[flat, k], len(terms)) for k in range(classes)], 1)
+        margin = np.stack([np.bincount(owner, self.weights[flat, k], len(measured)) for k in range(classes)], 1)
         margin = margin + measured @ self.weights[n : n + 2] + self.weights[n + 2]
         margin = np.exp(margin - margin.max(axis=1, keepdims=True)) if len(margin) else margin
         return margin / margin.sum(axis=1, keepdims=True)
 
 
+def spread(held: list, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What is held at each of the places, one after another, and which of the places each is from."""
+    counts = np.fromiter(map(len, held), np.int64, len(held))
+    flat = np.fromiter(chain.from_iterable(held), np.int64, int(counts.sum()))
+    times = counts[places]
+    at = np.repeat(np.arange(len(places)), times)
+    inside = np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
+    return flat[np.repeat((np.cumsum(counts) - counts)[places], times) + inside], at
+
+
+@dataclass
+class Words:
+    """The different words (runs without white space) of each text of a batch.
+
+    ``places`` are numbers of ``words``, once for each text (``owner``) that has the word;
+    ``totals`` are the words of each text with repeats.
+    """
+
+    words: list[str]
+    owner: np.ndarray
+    places: np.ndarray
+    totals: np.ndarray
+
+    def different(self) -> np.ndarray:
+        return np.bincount(self.owner, minlength=len(self.totals))
+
+    @classmethod
+    def of(cls, cut: Chunks, alone: dict[int, str]) -> Words:
+        """From the batch's distinct chunks (none of which cuts a word), and the texts whose chunks don't count."""
+        distinct, at, starts = cut
+        numbers: dict[str, int] = {}
+        number = lambda word: numbers.setdefault(word, len(numbers))
+        owner = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+        if alone:
+            kept = ~np.isin(owner, list(alone))
+            owner, at = owner[kept], at[kept]
+        found, source = spread([list(map(number, chunk.split())) for chunk in distinct], at)
+        owner = owner[source]
+        for i, text in alone.items():
+            own = np.array(list(map(number, text.split())), np.int64)
+            owner, found = np.append(owner, np.full(len(own), i)), np.append(found, own)
+        width = max(len(numbers), 1)
+        keys = np.unique(owner * width + found)
+        return cls(list(numbers), keys // width, keys % width, np.bincount(owner, minlength=len(starts) - 1))
+
+
 def measures(sizes: np.ndarray) -> np.ndarray:
     words, different = sizes[:, 0], sizes[:, 1]
     return np.stack([np.log1p(words) / 5, different / np.maximum(words, 1)], 1)
@@ -91,8 +139,8 @@ def fit_classifier(rows: list[np.ndarray], sizes: np.ndarray, labels: np.ndarray
         for start in range(0, n, BATCH):
             some = order[start : start + BATCH]
             held = [rows[i] for i in some]
-            error = (model.posteriors(held, measured[some]) - truth[some]) / len(some)
             flat, owner = np.concatenate(held), np.repeat(np.arange(len(some)), [len(r) for r in held])
+            error = (model.posteriors(flat, owner, measured[some]) - truth[some]) / len(some)
             slope = DECAY * model.weights
             slope[-1] = error.sum(axis=0)
             slope[-3:-1] += measured[some].T @ error
@@ -226,9 +274,12 @@ def describe(
 
     def predict(batches):
         for whole in batches:
-            for batch in slices(whole, "text"):
-                tokens = encoder(tokenizer).count_all(batch.column("text"))
-                chances = model.posteriors(*model.describe(batch.column("text").to_pylist()))
+            for batch in slices(whole, "text", SLICE):
+                coder, texts = encoder(tokenizer), batch.column("text")
+                # Each distinct chunk is looked up once, for its tokens and for its words.
+                cut = chunks(coder.kind, texts)
+                tokens, alone = coder.count_chunks(texts, cut)
+                chances = model.posteriors(*model.describe(Words.of(cut, alone)))
                 yield pa.record_batch(
                     {"doc_id": batch.column("doc_id"), "n_tokens": pa.array(tokens, pa.int64())} | {f"p_{n}": pa.array(chances[:, i]) for i, n in enumerate(names)}
                 )
@@ -297,10 +348,13 @@ def mix(df: DataFrame, mixture: Mixture, id_column: str = "doc_id", text_column:
 
     def repeat(batches):
         for batch in batches:
-            described = model.describe([t or "" for t in batch.column(text_at).to_pylist()])
-            times = copies(rates.of(model.posteriors(*described)), batch.column(id_at).to_pylist())
-            for start in range(0, len(times), 500):
-                yield batch.take(pa.array(np.repeat(np.arange(start, min(start + 500, len(times))), times[start : start + 500])))
+            for part in slices(batch, text_column, SLICE):
+                texts = pc.fill_null(part.column(text_at).cast(pa.string()), "")
+                alone = {i: t for i, t in enumerate(texts.to_pylist()) if "\0" in t}
+                described = model.describe(Words.of(chunks("words", texts), alone))
+                times = copies(rates.of(model.posteriors(*described)), part.column(id_at).to_pylist())
+                for start in range(0, len(times), 500):
+                    yield part.take(pa.array(np.repeat(np.arange(start, min(start + 500, len(times))), times[start : start + 500])))
 
     return df.mapInArrow(repeat, df.schema)
 

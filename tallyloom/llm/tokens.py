@@ -13,7 +13,6 @@ import json
 import re
 from array import array
 from collections.abc import Iterator
-from itertools import chain
 from operator import sub
 from os.path import commonprefix
 
@@ -41,6 +40,7 @@ TWO_BLANKS = re.compile(r"\s\s").search
 #: Controls that count as white space here but not in every rule set.
 SEPARATORS = re.compile("[\x1c-\x1f]").search
 BLANKS_AND_WORD = re.compile(r"\s*\S+|\s+\Z")
+Chunks = tuple[list[str], np.ndarray, np.ndarray]
 RUNS = regex.compile(r"\s+|\S+")
 #: Contractions of more than two characters in the split rule below (fixed values).
 CONTRACTIONS = ("'ll", "'ve", "'re")
@@ -136,12 +136,16 @@ class TextEncoder:
 
     def count_all(self, texts: pa.Array) -> np.ndarray:
         """The number of ids of each text."""
-        alone, values, places, starts = looked_up(self.kind, texts, self.known, self.stays_whole)
+        return self.count_chunks(texts, chunks(self.kind, texts))[0]
+
+    def count_chunks(self, texts: pa.Array, cut: Chunks) -> tuple[np.ndarray, dict[int, str]]:
+        """The number of ids of each text, given their chunks, and the texts that stay uncut."""
+        alone, values, places, starts = looked_up(self.kind, texts, self.known, self.stays_whole, cut=cut)
         sums = np.concatenate([[0], np.cumsum(np.array([len(v) for v in values], np.int64)[places] // 4)])
         counts = sums[starts[1:]] - sums[starts[:-1]]
         for i, text in alone.items():
             counts[i] = len(self._library(text)) // 4
-        return counts
+        return counts, alone
 
 
 def by_chunk(kind: str, texts: pa.Array, known: BoundedMemo, stays_whole, whole, in_order: bool = False) -> Iterator[bytes]:
@@ -157,9 +161,22 @@ def by_chunk(kind: str, texts: pa.Array, known: BoundedMemo, stays_whole, whole,
             yield b"".join([values[k] for k in places[starts[i] : starts[i + 1]].tolist()])
 
 
-def looked_up(kind: str, texts: pa.Array, known: BoundedMemo, stays_whole, in_order: bool = False) -> tuple[dict[int, str], list[bytes], np.ndarray, np.ndarray]:
+def looked_up(kind: str, texts: pa.Array, known: BoundedMemo, stays_whole, in_order: bool = False, cut: Chunks | None = None) -> tuple[dict[int, str], list[bytes], np.ndarray, np.ndarray]:
     """The uncut texts by place, the distinct chunks' values, the value's place of every chunk, and where each text's chunks start."""
     alone = {i: t for i, t in enumerate(texts.to_pylist()) if stays_whole(t)}
+    distinct, places, starts = cut or chunks(kind, texts)
+    values: list[bytes] = [b""] * len(distinct)
+    if alone:  # chunks of uncut texts are not needed
+        wanted = {distinct[k] for i in range(len(texts)) if i not in alone for k in set(places[starts[i] : starts[i + 1]].tolist())}
+    order = sorted(range(len(distinct)), key=distinct.__getitem__) if in_order else range(len(distinct))
+    for i in order:
+        if not alone or distinct[i] in wanted:
+            values[i] = known[distinct[i]]
+    return alone, values, places, starts
+
+
+def chunks(kind: str, texts: pa.Array) -> Chunks:
+    """The distinct chunks of a batch, the place of every chunk among them, and where each text's chunks start."""
     if kind == "words":
         texts = pc.replace_substring(texts, "\n", "\0")
         marked = pc.replace_substring(texts, " ", "\0")
@@ -167,15 +184,7 @@ def looked_up(kind: str, texts: pa.Array, known: BoundedMemo, stays_whole, in_or
         marked = pc.replace_substring(pc.replace_substring(texts, " ", "\0 "), "\n", "\0\n")
     cut = pc.split_pattern(marked, "\0")
     coded = cut.flatten().dictionary_encode()
-    distinct = coded.dictionary.to_pylist()
-    values: list[bytes] = [b""] * len(distinct)
-    if alone:  # chunks of uncut texts are not needed
-        wanted = set(chain.from_iterable(cut[i].as_py() for i in range(len(cut)) if i not in alone))
-    order = sorted(range(len(distinct)), key=distinct.__getitem__) if in_order else range(len(distinct))
-    for i in order:
-        if not alone or distinct[i] in wanted:
-            values[i] = known[distinct[i]]
-    return alone, values, coded.indices.to_numpy(zero_copy_only=False), cut.offsets.to_numpy() - cut.offsets[0].as_py()
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False), cut.offsets.to_numpy() - cut.offsets[0].as_py()
 
 
 def encoder(path: str) -> TextEncoder:

@@ -1,6 +1,7 @@
 """Mixing meets its targets in the tokens that packing packs."""
 
 import corpus_pipeline
+import numpy as np
 import pyarrow as pa
 import pytest
 from llm.cases import BYTES, ODD, WORDS
@@ -8,6 +9,7 @@ from tokenizers import Tokenizer
 
 from tallyloom.llm import mixing, registry, tokens
 from tallyloom.llm.common import documents
+from tallyloom.llm.toxicity import term_buckets
 
 MIDDLE = "/root/testdata/sf0.01"
 
@@ -47,3 +49,18 @@ def test_a_long_text_without_spaces_weighs_by_its_tokens(spark, make_documents):
     mixture = mixing.fit_mixture(df, spark.createDataFrame([], "doc_id long, quality int, toxic int"))
     got = {r["doc_id"]: r["n_tokens"] for r in mixing.mixture_table(mixture).collect()}
     assert got[0] > 1000 and got[1] < 10
+
+
+def test_words_and_terms_equal_a_plain_loop():
+    texts = [*ODD, "a\tb a\x0bc\u2003d a", "one two\ttwo\nthree", "x\0y z", "", "Same same"]
+    model = mixing.Classifier(np.unique([b for w in ("a", "two", "one", "same", "été", "end") for b in term_buckets(w)]), np.zeros((9, 2)))
+    place = {int(b): i for i, b in enumerate(model.buckets)}
+    for kind in ("words", "bytes"):
+        alone = {i: t for i, t in enumerate(texts) if "\0" in t or i == 4}
+        words = mixing.Words.of(tokens.chunks(kind, pa.array(texts)), alone)
+        flat, owner, measured = model.describe(words)
+        for i, text in enumerate(texts):
+            expect = sorted({place[b] for w in text.split() for b in term_buckets(w) if b in place})
+            assert flat[owner == i].tolist() == expect
+            assert words.totals[i] == len(text.split()) and words.different()[i] == len(set(text.split()))
+        assert len(measured) == len(texts)

@@ -7,9 +7,10 @@ from collections import Counter, defaultdict
 import corpus_pipeline
 import numpy as np
 import pytest
-from llm.cases import ODD
+from llm.cases import ODD, WORDS
 from llm.test_copies import brute_classes, folded
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from tallyloom.llm import mixing, registry, scaled_sketch, toxicity, warc
 from tallyloom.llm.common import documents, shared_folder
@@ -64,12 +65,13 @@ def test_op9_totals(spark):
     docs = documents(spark, MIDDLE)
     rows = registry.QUERIES["op9_soft_membership_mixing"](spark, MIDDLE).collect()
     assert len(rows) == docs.count()
-    words = {r["doc_id"]: len((r["text"] or "").split()) for r in docs.collect()}
-    total = sum(words.values())
+    library = Tokenizer.from_file(WORDS)
+    tokens = {r["doc_id"]: len(library.encode(r["text"] or "", add_special_tokens=False).ids) for r in docs.collect()}
+    total = sum(tokens.values())
     for name, share in mixing.TARGETS.items():
         assert sum(r["rate"] * r["n_tokens"] * r[f"p_{name}"] for r in rows) / total == pytest.approx(share, rel=0.03)
     for r in rows:
-        assert r["n_tokens"] == words[r["doc_id"]] and r["rate"] >= 0 and r["copies"] in (int(r["rate"]), int(r["rate"]) + 1)
+        assert r["n_tokens"] == tokens[r["doc_id"]] and r["rate"] >= 0 and r["copies"] in (int(r["rate"]), int(r["rate"]) + 1)
         assert r["p_good"] + r["p_plain"] + r["p_toxic"] == pytest.approx(1)
 
 
