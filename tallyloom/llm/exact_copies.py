@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import KEY, MOST_BROADCAST_IDS, documents, shuffle_partitions, text_or_empty, without_ids
+from tallyloom.llm.common import KEY, MOST_BROADCAST_IDS, documents, shuffle_partitions, slices, text_or_empty, without_ids
 from tallyloom.session import checked_broadcast, stage
 
 #: ASCII capitals to small letters, nothing else.
@@ -61,9 +61,10 @@ def hashed(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
     rows = df.select(F.col(id_column).alias("doc_id"), text_or_empty(text_column).alias("text"))
 
     def digest(batches):
-        for batch in batches:
-            found = [hashlib.sha256(folded(t)).digest() for t in batch.column("text").to_pylist()]
-            yield pa.record_batch({"doc_id": batch.column("doc_id"), "digest": pa.array(found, pa.binary())})
+        for whole in batches:
+            for batch in slices(whole, "text", 4_000_000):
+                found = [hashlib.sha256(folded(t)).digest() for t in batch.column("text").to_pylist()]
+                yield pa.record_batch({"doc_id": batch.column("doc_id"), "digest": pa.array(found, pa.binary())})
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return stage(rows.mapInArrow(digest, f"doc_id {kind}, digest binary").withColumn("row", F.monotonically_increasing_id()))

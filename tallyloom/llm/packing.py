@@ -102,56 +102,67 @@ def best_fit_decreasing(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, n
     return bins, places, used
 
 
-def pack(pieces: DataFrame, capacity: int = 4096, slack: int = 8, most_rounds: int = 6) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = 4096, slack: int = 8) -> DataFrame:
     """``pieces`` (with a ``length`` of 1 to ``capacity``) with ``sequence_id``, ``offset`` and ``certified``.
 
     Pieces are dealt to groups of a bounded size, each packed by best-fit decreasing in a
-    task. A group is certified when its bins are as few as its lower bound. Bins that are
-    filled up to ``slack`` stay; the pieces of all others are a group's gap: they are
-    exchanged, that is, dealt anew among fewer groups together with those of other groups, until
-    they fit one group, the rounds are over, or a round saves no bin. Full pieces are
-    sequences by themselves. An empty input gives an empty result; repeated rows are packed each.
+    task. A group is certified when its bins are as few as its lower bound, and stays as it
+    is. Of the others, bins that are filled up to ``slack`` stay; the pieces of the rest are
+    exchanged, that is, dealt anew to fewer groups together with those of other groups, until
+    all groups are certified or a round saves no bin. Full pieces are sequences by themselves.
+    An empty input gives an empty result; repeated rows are packed each. Columns of any
+    name but those of the result stay.
     """
-    columns = pieces.columns
-    staged = stage(pieces.withColumn("_row", F.monotonically_increasing_id()))
-    whole = staged.where(F.col("length") >= capacity)
-    done = [
-        whole.select(*columns, (-1 - F.col("_row")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"), F.lit(True).alias("certified"))
-    ]
-    left = staged.where(F.col("length") < capacity)
-    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in left.schema)}, sequence_id long, offset long, certified boolean, loose boolean"
-
-    def packer(number: int):
-        def packed(key: tuple, items: pd.DataFrame) -> pd.DataFrame:
-            # In an order of their own, so that a task that is run again packs alike.
-            items = items.sort_values("_row", ignore_index=True)
-            sizes = items["length"].to_numpy()
-            bins, places, used = best_fit_decreasing(sizes, capacity)
-            filled = np.bincount(bins, weights=sizes, minlength=used)
-            return items.drop(columns="_group").assign(
-                sequence_id=(((number << 36) + int(key[0])) << 20) + bins, offset=places,
-                certified=used == bin_bound(sizes, capacity), loose=filled[bins] < capacity - slack,
-            )
-
-        return packed
-
-    count = left.count()
-    for number in range(most_rounds):
-        groups = max(1, math.ceil(count / ITEMS_PER_GROUP))
-        dealt = left.withColumn("_group", F.pmod(F.xxhash64("_row", F.lit(number)), F.lit(groups)))
-        tried = stage(dealt.groupBy("_group").applyInPandas(packer(number), schema))
-        before, count = count, tried.where("loose").count()
-        # With a gap in nearly all bins another deal finds no better partners.
-        last = groups == 1 or number == most_rounds - 1 or count > 0.9 * before
-        kept = tried if last else tried.where(~F.col("loose"))
-        done.append(kept.select(*columns, "sequence_id", "offset", "certified"))
-        if last or count == 0:
+    columns = [f"`{c}`" for c in pieces.columns if c not in ("sequence_id", "offset", "certified")]
+    whole = F.struct(*columns).alias("piece")
+    staged = stage(pieces.select(whole, F.col("length"), F.monotonically_increasing_id().alias("row")))
+    result = ["piece.*", "sequence_id", "offset", "certified"]
+    full = staged.where(F.col("length") >= capacity)
+    done = [full.select("piece", (-1 - F.col("row")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"), F.lit(True).alias("certified")).select(result)]
+    # Only rows' numbers and lengths go through the rounds.
+    left = staged.where(F.col("length") < capacity).select("row", "length")
+    held, bins, number = None, None, 0
+    placed = []
+    while True:
+        groups = max(1, math.ceil(left.count() / ITEMS_PER_GROUP))
+        dealt = left.withColumn("group", F.pmod(F.xxhash64("row", F.lit(number)), F.lit(groups)))
+        tried = stage(dealt.groupBy("group").applyInPandas(packer(number, capacity, slack), PACKED))
+        used = tried.where("offset = 0").count()
+        if bins is not None and used >= bins:
+            placed.append(held)
             break
-        left = tried.where("loose").select(*columns, "_row")
-    out = done[0]
-    for frame in done[1:]:
-        out = out.unionByName(frame)
-    return out
+        placed.append(tried.where("NOT loose"))
+        held = tried.where("loose")
+        bins = held.where("offset = 0").count()
+        if not bins:
+            break
+        left, number = held.select("row", "length"), number + 1
+    every = placed[0]
+    for frame in placed[1:]:
+        every = every.unionByName(frame)
+    packed = staged.join(every.select("row", "sequence_id", "offset", "certified"), "row").select(result)
+    return done[0].unionByName(packed)
+
+
+PACKED = "row long, length long, sequence_id long, offset long, certified boolean, loose boolean"
+
+
+def packer(number: int, capacity: int, slack: int):
+    """Packs a group; ``loose`` are the pieces of unfilled bins of a group that is not certified."""
+
+    def packed(key: tuple, items: pd.DataFrame) -> pd.DataFrame:
+        # In an order of their own, so that a task that is run again packs alike.
+        items = items.sort_values("row", ignore_index=True)
+        sizes = items["length"].to_numpy()
+        bins, places, used = best_fit_decreasing(sizes, capacity)
+        filled = np.bincount(bins, weights=sizes, minlength=used)
+        certified = bool(used == bin_bound(sizes, capacity))
+        return pd.DataFrame({
+            "row": items["row"], "length": sizes, "sequence_id": (((number << 36) + int(key[0])) << 20) + bins, "offset": places,
+            "certified": certified, "loose": (filled[bins] < capacity - slack) & (not certified),
+        })
+
+    return packed
 
 
 def sequences(packed: DataFrame) -> DataFrame:
@@ -170,13 +181,19 @@ def certificate(packed: DataFrame, capacity: int = 4096) -> DataFrame:
 
     Gathered from the counts of the at most ``capacity`` different lengths.
     """
-    counts = packed.groupBy("length").count()
+    counts = packed.groupBy("length").agg(F.count("*").alias("n"))
+    # One row, also of an empty packing.
+    one = counts.agg(F.sort_array(F.collect_list(F.struct("length", "n"))).alias("counts"))
+    sequences_ = packed.where("offset = 0").agg(F.count("*").alias("sequences")).first()["sequences"]
 
     def bound(batches):
-        rows = pd.concat([pd.DataFrame({"length": [], "count": []}), *batches])
-        yield pd.DataFrame({"bound": [bin_bound(rows["length"].to_numpy(np.int64), capacity, rows["count"].to_numpy(np.int64))]})
+        for rows in batches:
+            for held in rows["counts"]:
+                sizes, times = ([int(r[k]) for r in held] for k in ("length", "n"))
+                found = bin_bound(np.array(sizes, np.int64), capacity, np.array(times, np.int64)) if sizes else 0
+                yield pd.DataFrame({"sequences": [sequences_], "bound": [found]})
 
-    return packed.agg(F.countDistinct("sequence_id").alias("sequences")).crossJoin(counts.coalesce(1).mapInPandas(bound, "bound long"))
+    return one.mapInPandas(bound, "sequences long, bound long")
 
 
 def op3_bound_certified_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

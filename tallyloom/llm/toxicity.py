@@ -203,9 +203,10 @@ def drop_toxic(df: DataFrame, model: Machine, text_column: str = "text") -> Data
     at = df.columns.index(text_column)
 
     def keep(batches):
-        for batch in batches:
-            texts = [t or "" for t in batch.column(at).to_pylist()]
-            yield batch.filter(pa.array(model.score(texts) < THRESHOLD))
+        for whole in batches:
+            for batch in slices(whole, text_column, 4_000_000):
+                texts = [t or "" for t in batch.column(at).to_pylist()]
+                yield batch.filter(pa.array(model.score(texts) < THRESHOLD))
 
     return df.mapInArrow(keep, df.schema)
 

@@ -119,6 +119,24 @@ def test_groups_exchange_their_gaps(spark):
     assert over == 0
 
 
+def test_only_uncertified_groups_exchange(spark, monkeypatch):
+    monkeypatch.setattr(packing, "ITEMS_PER_GROUP", 40)
+    rnd = np.random.default_rng(9)
+    sizes = [int(s) for s in rnd.integers(20, 55, 800)]
+    clash = spark.createDataFrame([(s, i, "x", 1, 2, 3, 4) for i, s in enumerate(sizes)], "length long, row long, piece string, `group` int, loose int, certified int, _row int")
+    packed = packing.pack(clash, capacity=64).collect()
+    assert sorted((r["row"], r["length"]) for r in packed) == list(enumerate(sizes)) and {(r["piece"], r["group"], r["loose"], r["_row"]) for r in packed} == {("x", 1, 2, 4)}
+    held = {}
+    for r in packed:
+        held.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for places in held.values():
+        ends = np.cumsum([0, *[n for _, n in sorted(places)]])
+        assert [o for o, _ in sorted(places)] == ends[:-1].tolist() and ends[-1] <= 64
+    one = packing.best_fit_decreasing(np.array(sizes), 64)[2]
+    # A group that meets its bound is at most one bin above its share: 20 groups here.
+    assert len(held) <= one * 1.02 + 25 and any(r["certified"] for r in packed)
+
+
 @given(st.lists(st.integers(1, 30), min_size=1, max_size=7))
 @settings(max_examples=150, deadline=None)
 def test_bound_never_exceeds_the_optimum(sizes):
