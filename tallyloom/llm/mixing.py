@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from dataclasses import dataclass, field
 from itertools import chain
@@ -21,7 +22,9 @@ from tallyloom.session import stage
 MOST_LABELLED = 20_000
 FEATURES, LEAST_DOCUMENTS = 2048, 5
 #: Bytes of text that a task describes at a time.
-SLICE = 4_000_000
+SLICE = 16_000_000
+#: What ``str.split`` splits at; chunks are cut at blanks and line ends already.
+BLANK = re.compile(r"\s").search
 EPOCHS, BATCH, RATE, DECAY = 30, 256, 0.2, 1e-4
 #: Tokens are the ids of a text in this tokenizer, which packing uses as well.
 TOKENIZER = "word_bpe_49k.json"
@@ -47,7 +50,7 @@ class Classifier:
         """The places of the terms of all texts, the text of each, and the measures of each text."""
         if self.memo is None:
             place = {int(b): i for i, b in enumerate(self.buckets)}
-            self.memo = BoundedMemo(lambda token: tuple({place[b] for b in term_buckets(token) if b in place}), 200_000)
+            self.memo = BoundedMemo(lambda token: tuple({place[b] for b in term_buckets(token) if b in place}), 800_000)
         held = list(map(self.memo.__getitem__, words.words))
         found, at = spread(held, words.places)
         # A text has a term once, whichever of its words hold it.
@@ -93,20 +96,32 @@ class Words:
     def of(cls, cut: Chunks, alone: dict[int, str]) -> Words:
         """From the batch's distinct chunks (none of which cuts a word), and the texts whose chunks don't count."""
         distinct, at, starts = cut
-        numbers: dict[str, int] = {}
-        number = lambda word: numbers.setdefault(word, len(numbers))
+        # Nearly every chunk is a word; those that hold blanks of other kinds are split.
+        held: list = [(i,) if chunk else () for i, chunk in enumerate(distinct)]
+        odd = [i for i, chunk in enumerate(distinct) if BLANK(chunk)]
+        numbers = dict(zip(distinct, range(len(distinct)))) if odd or alone else {}
+        words = list(distinct)
+
+        def number(word: str) -> int:
+            if word not in numbers:
+                numbers[word] = len(words)
+                words.append(word)
+            return numbers[word]
+
+        for i in odd:
+            held[i] = tuple(map(number, distinct[i].split()))
         owner = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
         if alone:
             kept = ~np.isin(owner, list(alone))
             owner, at = owner[kept], at[kept]
-        found, source = spread([list(map(number, chunk.split())) for chunk in distinct], at)
+        found, source = spread(held, at)
         owner = owner[source]
         for i, text in alone.items():
             own = np.array(list(map(number, text.split())), np.int64)
             owner, found = np.append(owner, np.full(len(own), i)), np.append(found, own)
-        width = max(len(numbers), 1)
-        keys = np.unique(owner * width + found)
-        return cls(list(numbers), keys // width, keys % width, np.bincount(owner, minlength=len(starts) - 1))
+        width = max(len(words), 1)
+        keys = pc.unique(pa.array(owner * width + found)).to_numpy()
+        return cls(words, keys // width, keys % width, np.bincount(owner, minlength=len(starts) - 1))
 
 
 def measures(sizes: np.ndarray) -> np.ndarray:
