@@ -29,7 +29,7 @@ from tallyloom.session import stage
 #: Words whose ids go into the literal map, their longest length in characters, and the
 #: rows (about) they are learned from. They decide what is looked up and what is folded,
 #: never the ids.
-MOST_WORDS = 120_000
+MOST_WORDS = 80_000
 LONGEST_WORD = 48
 WORD_ROWS = 50_000
 #: Bytes of a block of a long word.
