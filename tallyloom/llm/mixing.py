@@ -22,7 +22,7 @@ from tallyloom.session import stage
 MOST_LABELLED = 20_000
 FEATURES, LEAST_DOCUMENTS = 2048, 5
 #: Bytes of text that a task describes at a time.
-SLICE = 16_000_000
+SLICE = 4_000_000
 #: What ``str.split`` splits at; chunks are cut at blanks and line ends already.
 BLANK = re.compile(r"\s").search
 EPOCHS, BATCH, RATE, DECAY = 30, 256, 0.2, 1e-4
@@ -50,7 +50,7 @@ class Classifier:
         """The places of the terms of all texts, the text of each, and the measures of each text."""
         if self.memo is None:
             place = {int(b): i for i, b in enumerate(self.buckets)}
-            self.memo = BoundedMemo(lambda token: tuple({place[b] for b in term_buckets(token) if b in place}), 800_000)
+            self.memo = BoundedMemo(lambda token: tuple({place[b] for b in term_buckets(token) if b in place}), 300_000)
         held = list(map(self.memo.__getitem__, words.words))
         found, at = spread(held, words.places)
         # A text has a term once, whichever of its words hold it.
