@@ -94,6 +94,12 @@ def process_memo(name: str, make):
     return kept[name]
 
 
+def forget_memos() -> None:
+    """Let go what other operators have kept in this worker."""
+    if "_process_memo" in sys.modules:
+        sys.modules["_process_memo"].__dict__.get("kept", {}).clear()
+
+
 class BoundedMemo(dict):
     """A dictionary that works out missing entries and forgets all when it is full."""
 

@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import KEY, BoundedMemo, documents, mixed, slices, text_or_empty
+from tallyloom.llm.common import KEY, BoundedMemo, documents, forget_memos, mixed, slices, text_or_empty
 from tallyloom.llm.tokens import Chunks, chunks, encoder
 from tallyloom.llm.toxicity import BUCKETS, likelihood_ratio, term_buckets
 from tallyloom.session import stage
@@ -362,6 +362,7 @@ def mix(df: DataFrame, mixture: Mixture, id_column: str = "doc_id", text_column:
     model, rates = mixture.model, mixture.rates
 
     def repeat(batches):
+        forget_memos()
         for batch in batches:
             for part in slices(batch, text_column, SLICE):
                 texts = pc.fill_null(part.column(text_at).cast(pa.string()), "")

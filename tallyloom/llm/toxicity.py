@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import KEY, BoundedMemo, documents, slices, text_or_empty
+from tallyloom.llm.common import KEY, BoundedMemo, documents, slices, text_or_empty, forget_memos
 
 BUCKETS = 1 << 20
 #: Labelled documents that are used for fitting, at most: those with the smallest hashes of their ids.
@@ -203,6 +203,7 @@ def drop_toxic(df: DataFrame, model: Machine, text_column: str = "text") -> Data
     at = df.columns.index(text_column)
 
     def keep(batches):
+        forget_memos()
         for whole in batches:
             for batch in slices(whole, text_column, 4_000_000):
                 texts = [t or "" for t in batch.column(at).to_pylist()]
