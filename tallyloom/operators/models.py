@@ -63,6 +63,13 @@ def boosted_classifier(
     return OneVsRest(classifier=binary, labelCol="label", featuresCol="features", parallelism=4)
 
 
+def category_codes(categories: Sequence[str]) -> Pipeline:
+    """Adds ``<category>_code``: the rank of the level by frequency; a level not seen at fit time comes after all others."""
+    return Pipeline(stages=[StringIndexer(
+        inputCols=list(categories), outputCols=[f"{c}_code" for c in categories], stringOrderType="frequencyDesc", handleInvalid="keep"
+    )])
+
+
 def coded_classifier(
     numbers: Sequence[str], categories: Sequence[str], label: str, learner: Estimator, classes: Sequence[str]
 ) -> Pipeline:
@@ -105,17 +112,18 @@ def importances(model: Transformer, features: DataFrame, names: Sequence[str] |
     values = last.featureImportances.toArray().tolist()
     if names is None:
         names = vector_names(features, "features", len(values))
-    return _importance_table(features, names, values)
+    return importance_table(features, names, values)
 
 
 def mean_importances(model: PipelineModel, df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Importances averaged over the binary models of a one-per-class pipeline."""
     binary = next(stage for stage in model.stages if hasattr(stage, "models")).models
     values = sum(m.featureImportances.toArray() for m in binary) / len(binary)
-    return _importance_table(df, names, values.tolist())
+    return importance_table(df, names, values.tolist())
 
 
-def _importance_table(df: DataFrame, names: Sequence[str], values: Sequence[float]) -> DataFrame:
+def importance_table(df: DataFrame, names: Sequence[str], values: Sequence[float]) -> DataFrame:
+    """``feature, importance, importance_percent``, largest first."""
     rows = [(str(n), float(v), 100.0 * float(v)) for n, v in zip(names, values)]
     table = df.sparkSession.createDataFrame(rows, "feature string, importance double, importance_percent double")
     return table.orderBy(F.desc("importance"), "feature")

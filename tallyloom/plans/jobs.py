@@ -6,19 +6,19 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Model, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.operators import aggregates as agg
 from tallyloom.operators import hypothesis as hyp
 from tallyloom.operators import models
 from tallyloom.operators.balancing import smote, smote_nc
+from tallyloom.operators.boosting import Boost, Booster, accuracy_and_f1, fit_runs
 from tallyloom.operators.clustering import add_clusters, assemble
 from tallyloom.operators.encoding import feature_pipeline, fit_levels
 from tallyloom.operators.metrics import accuracy_and_macro_f1, confusion_matrix, regression_table
+from tallyloom.operators.models import importance_table
 from tallyloom.operators.neighbours import knn_classify, nearest_neighbours
 from tallyloom.operators.order_statistics import exact_quantiles
 from tallyloom.operators.scaling import fit_log_minmax, fit_minmax, fit_robust, fit_standard
@@ -210,62 +210,56 @@ def profit_model(
     The sub-category means are those of the training rows.
     """
     frame = stage(frames.regression_frame(star, train_fraction=0.85))
-    learner = models.boosted_regressor("profit", rounds, depth, rate, subsample, columns)
-    return _fitted_profit(frame, learner)
+    run = Boost(rounds, depth, rate, subsample, columns, l1=0.05, l2=0.5, least_weight=2, seed=440)
+    return _fitted_profit(frame, run)
 
 
-def profit_model_early_stop(
-    star: Star, rounds: int = 1000, depth: int = 4, rate: float = 0.05, tolerance: float = 0.01
-) -> dict[str, DataFrame]:
-    """The earlier profit model on a random split; boosting stops on a validation part of the training rows."""
+def profit_model_early_stop(star: Star, rounds: int = 1000, depth: int = 4, rate: float = 0.05, patience: int = 50) -> dict[str, DataFrame]:
+    """The earlier profit model on a random split.
+
+    Boosting stops after ``patience`` rounds without a better fit of a validation part of the training
+    rows, and keeps the rounds up to the best; ``rounds`` tells how many there were.
+    """
     frame = frames.regression_frame_thresholds(star, train_percent=75)
     held = F.col("is_train") & (frames.row_hash_percent("validation") >= 80)
     frame = stage(frame.withColumn("is_validation", held))
-    learner = models.boosted_regressor(
-        "profit", rounds, depth, rate, 0.8, 0.8, seed=44, validation="is_validation", tolerance=tolerance
-    )
-    return _fitted_profit(frame, learner)
+    run = Boost(rounds, depth, rate, 0.8, 0.8, l1=0.1, l2=0.5, least_weight=2, seed=44, held=1, patience=patience)
+    return _fitted_profit(frame, run, F.col("is_validation"))
 
 
-def _fitted_profit(frame: DataFrame, learner) -> dict[str, DataFrame]:
+def _fitted_profit(frame: DataFrame, run: Boost, part: Column | None = None) -> dict[str, DataFrame]:
+    # Trees split at ranks of the values, so that scaling the columns would change nothing.
     features = profit_features(frame)
-    safe = {c: f"f{i}" for i, c in enumerate(features)}
-    kinds = dict(frame.dtypes)
-    plain = frame.withColumnsRenamed(safe)
-    # Dummies and flags are the integer columns, the month apart.
-    indicators = [safe[c] for c in features if kinds[c] == "int" and c not in ("order_month", "years_since_start")]
-    scaling = fit_robust(plain.filter("is_train"), list(safe.values()), indicators)
-    scaled = stage(
-        assemble(scaling.transform(plain), list(safe.values())).select(
-            "row_id", "profit", "is_train", *(["is_validation"] if "is_validation" in frame.columns else []), "features"
-        )
-    )
-    model = learner.fit(scaled.filter("is_train"))
-    scored = model.transform(scaled).withColumnRenamed("prediction", "predicted_profit")
+    model = fit_runs(frame.filter("is_train"), "row_id", features, "profit", [run], part=part)[0]
+    scored = stage(model.scored(frame, ["row_id", "profit", "is_train"], "predicted_profit"))
     return {
         "predictions": scored.select("row_id", "profit", "predicted_profit", "is_train"),
         "metrics": regression_table(scored, "profit", "predicted_profit", "is_train"),
-        "importances": models.importances(model, scaled, features),
+        "importances": importance_table(frame, features, model.importances()),
+        "rounds": rounds_table(frame, model),
     }
 
 
+def rounds_table(df: DataFrame, model: Booster) -> DataFrame:
+    """``metric, value``: the rounds run and the best one, up to which trees are kept."""
+    rows = [("rounds_run", float(model.rounds_run)), ("best_round", float(model.best_round))]
+    return df.sparkSession.createDataFrame(rows, "metric string, value double")
+
+
 def profit_grid(
     star: Star, depths: Sequence[int] = (2, 3, 4, 5), rates: Sequence[float] = (0.04, 0.05), rounds: int = 687,
     folds: int = 3,
 ) -> DataFrame:
-    """Cross-validated R2 of the boosted regressor over a parameter grid, on the training rows."""
+    """Cross-validated R2 of the boosted regressor over a parameter grid, on the training rows; all runs in one pass."""
     frame = stage(models.with_folds(frames.regression_frame(star, train_fraction=0.85).filter("is_train"), "row_id", folds))
     features = [c for c in profit_features(frame) if c != "fold"]
-    safe = {c: f"f{i}" for i, c in enumerate(features)}
-    vectors = stage(assemble(frame.withColumnsRenamed(safe), list(safe.values())).select("profit", "fold", "features"))
-    learner = models.boosted_regressor("profit", rounds)
-    grid = ParamGridBuilder().addGrid(learner.maxDepth, list(depths)).addGrid(learner.stepSize, list(rates)).build()
-    search = CrossValidator(
-        estimator=learner, estimatorParamMaps=grid, numFolds=folds, foldCol="fold", parallelism=2,
-        evaluator=RegressionEvaluator(labelCol="profit", metricName="r2"),
-    )
-    scores = search.fit(vectors).avgMetrics
-    rows = [(int(p[learner.maxDepth]), float(p[learner.stepSize]), float(s)) for p, s in zip(grid, scores)]
+    points = [(depth, rate) for depth in depths for rate in rates]
+    runs = [
+        Boost(rounds, depth, rate, 0.8, 0.7, l1=0.05, l2=0.5, least_weight=2, seed=440, held=fold) for depth, rate in points for fold in range(folds)
+    ]
+    fitted = fit_runs(frame, "row_id", features, "profit", runs, part=F.col("fold"))
+    scores = [model.score(model.sums[-1]) for model in fitted]
+    rows = [(d, float(r), sum(scores[i * folds : (i + 1) * folds]) / folds) for i, (d, r) in enumerate(points)]
     return star.lines.sparkSession.createDataFrame(rows, "max_depth int, learning_rate double, r2 double")
 
 
@@ -274,13 +268,14 @@ def profit_grid(
 
 def ship_mode_model(
     star: Star, rounds: int = 1000, depth: int = 2, rate: float = 0.06, folder: str | None = None,
-    balance: bool = False,
+    balance: bool = False, patience: int = 200,
 ) -> dict[str, DataFrame]:
     """Boosted classification of the ship mode on a stratified split.
 
     Returns train and test scores and confusion matrices, predictions,
-    importances and the metadata row; with ``folder`` also saves the model and the
-    metadata there. ``balance`` raises the smaller classes of the training rows
+    importances, the numbers of rounds and the metadata row; with ``folder`` also saves the
+    category codes, the trees (JSON) and the metadata there. Boosting stops after ``patience``
+    rounds without a better macro F1 of a validation part of the training rows, and keeps the rounds up to the best. ``balance`` raises the smaller classes of the training rows
     with synthetic rows, which are fitted on but not scored.
     """
     numbers, categories, label = frames.SHIP_MODE_NUMBERS, frames.SHIP_MODE_CATEGORIES, "ship_mode_name"
@@ -294,13 +289,16 @@ def ship_mode_model(
     if balance:
         train = smote_nc(train, "row_id", label, numbers, categories, fit_levels(train, categories))
     # Boosting stops on a part of the training rows, never on the test rows.
-    train = train.withColumn("is_validation", frames.row_hash_percent("validation") >= 80)
-    learner = models.boosted_classifier(rounds, depth, rate, validation="is_validation")
-    model = models.fit_on(
-        train, models.coded_classifier(numbers, categories, label, learner, classes),
-        [*numbers, *categories, label, "is_validation"],
-    )
-    scored = stage(model.transform(scaled).select("row_id", "is_train", label, f"predicted_{label}"))
+    train = stage(train.withColumn("is_validation", frames.row_hash_percent("validation") >= 80))
+    codes = models.category_codes(categories).fit(train)
+    features = [*numbers, *[f"{c}_code" for c in categories]]
+    run = Boost(rounds, depth, rate, l2=3.0, held=1, patience=patience)
+    model = fit_runs(
+        codes.transform(train).withColumn("_class", class_number(label, classes)), "row_id", features, "_class", [run], len(classes),
+        F.col("is_validation"),
+    )[0]
+    scored = model.scored(codes.transform(scaled), ["row_id", "is_train", label], "_class")
+    scored = stage(scored.withColumn(f"predicted_{label}", class_name("_class", classes)).drop("_class"))
     parts = {"train": scored.filter("is_train"), "test": scored.filter("NOT is_train")}
     predicted = f"predicted_{label}"
     scores = {part: accuracy_and_macro_f1(df, label, predicted, classes) for part, df in parts.items()}
@@ -313,28 +311,42 @@ def ship_mode_model(
     }
     metadata = run_metadata(star.lines.sparkSession, [*numbers, *categories], categories, classes, metrics, cells)
     if folder:
-        save_model(model, f"{folder}/model")
+        save_model(codes, f"{folder}/model")
+        save_metadata(model.described(star.lines.sparkSession), f"{folder}/trees")
         save_metadata(metadata, f"{folder}/metadata")
     return {
         "predictions": scored, "scores_train": scores["train"], "scores_test": scores["test"],
         "confusion_train": matrices["train"], "confusion_test": matrices["test"], "metadata": metadata,
-        "importances": models.mean_importances(model, scored, [*numbers, *categories]),
+        "importances": importance_table(scored, [*numbers, *categories], model.importances()), "rounds": rounds_table(scored, model),
     }
 
 
+def class_number(column: str, classes: Sequence[str]) -> Column:
+    """The place of a class in a bounded list."""
+    return F.array_position(F.array(*[F.lit(c) for c in classes]), F.col(column)) - 1
+
+
+def class_name(column: str, classes: Sequence[str]) -> Column:
+    return F.get(F.array(*[F.lit(c) for c in classes]), F.col(column).cast("int"))
+
+
 def ship_mode_rounds(star: Star, rounds: Sequence[int] = (500, 1000, 1900), folds: int = 3, depth: int = 7) -> DataFrame:
-    """Cross-validated accuracy and macro F1 per number of boosting rounds, folds drawn within each ship mode."""
+    """Cross-validated accuracy and macro F1 per number of boosting rounds, folds drawn within each ship mode.
+
+    Each fold is fitted once, with the most rounds; the others are read off on the way.
+    """
     numbers, categories, label = frames.SHIP_MODE_NUMBERS, frames.SHIP_MODE_CATEGORIES, "ship_mode_name"
     frame = frames.ship_mode_frame(star).withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("none")) for c in categories})
     frame = stage(models.with_folds(frame, "row_id", folds, by=label))
     classes = fit_levels(frame, [label])[label]
-
-    def candidate(n: int):
-        learner = models.boosted_classifier(n, depth, 0.04)
-        pipeline = models.coded_classifier(numbers, categories, label, learner, classes)
-        return lambda train, held: pipeline.fit(train).transform(held).withColumn("prediction", F.col(f"predicted_{label}"))
-
-    return models.cross_validate(frame, folds, {f"rounds={n}": candidate(n) for n in rounds}, label, classes)
+    coded = models.category_codes(categories).fit(frame).transform(frame).withColumn("_class", class_number(label, classes))
+    runs = [Boost(max(rounds), depth, 0.04, l2=3.0, held=fold) for fold in range(folds)]
+    fitted = fit_runs(coded, "row_id", [*numbers, *[f"{c}_code" for c in categories]], "_class", runs, len(classes), F.col("fold"))
+    rows = []
+    for n in rounds:
+        scores = [accuracy_and_f1(model.sums[n - 1].reshape(len(classes), -1)) for model in fitted]
+        rows.append((f"rounds={n}", sum(s[0] for s in scores) / folds, sum(s[1] for s in scores) / folds))
+    return frame.sparkSession.createDataFrame(rows, "candidate string, accuracy double, f1_macro double")
 
 
 # Customers

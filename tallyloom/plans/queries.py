@@ -797,7 +797,9 @@ def profit_importances(star: Star) -> DataFrame:
 
 @query
 def profit_early_stop_metrics(star: Star) -> DataFrame:
-    return jobs.profit_model_early_stop(star)["metrics"]
+    """Metrics of the model with patience, and how many rounds it ran and kept."""
+    results = jobs.profit_model_early_stop(star)
+    return results["metrics"].unionByName(results["rounds"])
 
 
 @query
@@ -807,8 +809,10 @@ def profit_grid(star: Star) -> DataFrame:
 
 @query
 def ship_mode_scores(star: Star) -> DataFrame:
+    """Train and test scores, with the rounds run and the best one, up to which trees are kept."""
     results = jobs.ship_mode_model(star)
-    part = lambda name: results[f"scores_{name}"].withColumn("part", F.lit(name))
+    rounds = {row["metric"]: F.lit(int(row["value"])) for row in results["rounds"].collect()}
+    part = lambda name: results[f"scores_{name}"].withColumn("part", F.lit(name)).withColumns(rounds)
     return part("train").unionByName(part("test"))
 
 
