@@ -85,7 +85,8 @@ def exact_quantiles(
         holds = (F.col(f"below_{i}") <= F.floor(position)) & (F.ceil(position) < F.col(f"below_{i}") + F.col(f"inside_{i}"))
         missed = missed | (~holds & (F.col(f"n_{i}") > 0))
     if margin < 1 and not below.where(missed).isEmpty():
-        return exact_quantiles(df, columns, probs, by, interpolation, accuracy, 8 * margin)
+        # From 0 on as well, so that a bracket that misses always grows.
+        return exact_quantiles(df, columns, probs, by, interpolation, accuracy, max(8 * margin, 2 / accuracy))
     any_inside = inside[0]
     for i in list(inside)[1:]:
         any_inside = any_inside | inside[i]
