@@ -6,12 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.operators import lloyd
 from tallyloom.operators.scaling import fit_standard
 from tallyloom.session import stage
 
@@ -55,26 +55,18 @@ def choose_k(
     df: DataFrame, columns: Sequence[str], ks: Sequence[int], max_iter: int = 1000, seed: int = 0,
     silhouettes: bool = True,
 ) -> DataFrame:
-    """Rows (k, wcss, silhouette) for each k, over features assembled and staged once.
+    """Rows (k, wcss, silhouette) for each k; each pass over the staged features serves all k.
 
     Silhouettes are on squared Euclidean distances, whose cluster sums have a closed
-    form, so that the work is linear in the rows. The silhouette is null for k = 1.
+    form, so that the work is linear in the rows. The silhouette is null for k = 1, and where
+    the rows have a single distinct value.
     """
-    features = stage(assemble(df, columns).select(*columns, "features"))
-    spark, rows = df.sparkSession, []
-    evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="prediction")
-    for k in ks:
-        if k == 1:
-            # One cluster: the sum of squares around the mean.
-            squares = features.agg(sum((F.var_pop(c) * F.count(F.lit(1)) for c in columns), F.lit(0.0))).first()[0]
-            rows.append((1, float(squares), None))
-            continue
-        model = KMeans(k=k, maxIter=max_iter, seed=seed).fit(features)
-        clustered, score = model.transform(features), None
-        if silhouettes:
-            score = evaluator.evaluate(clustered)
-        rows.append((int(k), float(model.summary.trainingCost), score))
-    return spark.createDataFrame(rows, "k int, wcss double, silhouette double")
+    points = lloyd.points_of(df, columns)
+    middle, centres, sums, _ = lloyd.fit_all(points, ks, max_iter, seed)
+    costs = sums.groupby("k")["cost"].sum().to_dict()
+    scores = lloyd.silhouettes(points, middle, centres, sums) if silhouettes else {}
+    rows = [(int(k), float(costs.get(k, 0.0)), scores.get(int(k))) for k in ks]
+    return df.sparkSession.createDataFrame(rows, "k int, wcss double, silhouette double")
 
 
 def silhouette_rows(df: DataFrame, row_id: str, columns: Sequence[str], cluster: str) -> DataFrame:

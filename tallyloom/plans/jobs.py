@@ -17,12 +17,14 @@ from tallyloom.operators.balancing import smote, smote_nc
 from tallyloom.operators.boosting import Boost, Booster, accuracy_and_f1, fit_runs
 from tallyloom.operators.clustering import add_clusters, assemble
 from tallyloom.operators.encoding import feature_pipeline, fit_levels
+from tallyloom.operators.kernels import map_for
 from tallyloom.operators.metrics import accuracy_and_macro_f1, confusion_matrix, regression_table
 from tallyloom.operators.models import importance_table
 from tallyloom.operators.neighbours import knn_classify, nearest_neighbours
 from tallyloom.operators.order_statistics import exact_quantiles
 from tallyloom.operators.scaling import fit_log_minmax, fit_minmax, fit_robust, fit_standard
 from tallyloom.operators.splits import hash_split, stratified_split
+from tallyloom.operators.support_vectors import fit_machines, with_margins
 from tallyloom.plans import frames
 from tallyloom.session import stage
 from tallyloom.sources.sinks import run_metadata, save_metadata, save_model
@@ -148,9 +150,14 @@ def returned_classifier(star: Star, trees: int = 10, depth: int = 15) -> tuple[M
 def grid_scores(
     star: Star, folds: int = 5, trees: Sequence[int] = (1, 5, 10), neighbours: Sequence[int] = (3, 5, 9),
     penalties: Sequence[float] = (1.0, 10.0), families: Sequence[str] = ("random_forest", "knn", "logistic_regression"),
-    depth: int = 10, svc_penalties: Sequence[float] = (1.0, 10.0, 20.0),
+    depth: int = 10, svc_penalties: Sequence[float] = (1.0, 10.0, 20.0), kernels: Sequence[str] = ("rbf", "linear"),
+    seed: int = 42,
 ) -> DataFrame:
-    """Cross-validated scores per family and parameter. Each fold balances its own training rows."""
+    """Cross-validated scores per family and parameter. Each fold balances its own training rows.
+
+    The family ``svm`` is linear with the plain hinge; ``kernel_svm`` has every penalty with every
+    kernel and the squared hinge, all penalties in one fit. Kernels other than the linear one are estimated by maps.
+    """
     train, _ = prepared_orders(star)
     folded = stage(models.with_folds(train, "row_id", folds))
     rows = []
@@ -168,6 +175,14 @@ def grid_scores(
         for name, learner in learners.items():
             scored = learner.fit(part).transform(held).withColumn("prediction", F.col("prediction").cast("int"))
             rows.append(_score(name, fold, scored))
+        if "kernel_svm" in families:
+            for kernel in kernels:
+                kernel_map = None if kernel == "linear" else map_for(kernel, len(part.first()["x"]), seed)
+                machines = fit_machines(part, "x", "is_returned", svc_penalties, kernel_map)
+                margins = stage(with_margins(held, "x", machines).select("is_returned", "margins"))
+                for i, c in enumerate(svc_penalties):
+                    scored = margins.withColumn("prediction", (F.col("margins")[i] > 0).cast("int"))
+                    rows.append(_score(f"svm|C={c:g},kernel={kernel}", fold, scored))
         if "knn" in families:
             # One join for the largest k; the smaller ones vote on its first neighbours.
             near = stage(nearest_neighbours(held, part, max(neighbours), "row_id", "x"))

@@ -23,7 +23,7 @@ from tallyloom.plans import frames, jobs
 from tallyloom.session import stage
 from tallyloom.sources.sinks import metric_table
 from tallyloom.sources.star import (
-    DIMENSIONS, MEASURES, Star, denormalise, fact_sales, load_star, star_integrity,
+    DIMENSIONS, MEASURES, Star, denormalise, fact_sales, load_star, star_integrity, with_order_lookup,
 )
 
 LABELS = ["Discounted", "No Discount"]
@@ -600,7 +600,7 @@ def timestamp_lag(star: Star) -> DataFrame:
 @query
 def order_lookup_join(star: Star) -> DataFrame:
     """Lines joined to the order table on the order key."""
-    return star.lines.join(star.headers, "order_key").select("row_id", "order_key", "customer_key", "order_date_key")
+    return with_order_lookup(star).select("row_id", "order_key", "customer_key", "order_date_key")
 
 
 def rule_predictions(star: Star) -> DataFrame:
@@ -777,6 +777,12 @@ def svc_scores(star: Star) -> DataFrame:
     return jobs.grid_scores(star, families=("svm",))
 
 
+@query
+def svc_kernel_scores(star: Star) -> DataFrame:
+    """Scores of support-vector machines over penalties and kernels."""
+    return jobs.grid_scores(star, families=("kernel_svm",))
+
+
 # Boosting, at the jobs' full settings
 
 

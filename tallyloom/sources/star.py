@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass, fields
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,6 +39,8 @@ CSV_SCHEMAS: dict[str, list[tuple[str, T.DataType]]] = {
         ("Month", T.IntegerType()), ("Day", T.IntegerType()), ("Day of Week", T.IntegerType()),
     ],
 }
+# The order table, which a sales model may leave out; only its key is known by name, other columns are text.
+ORDER_LOOKUP, ORDER_LOOKUP_COLUMNS = "Dim_Order_Lookup", [("Order Key", _INT)]
 # Columns used of the Parquet order tables.
 TABLE_SCHEMAS = {
     "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
@@ -57,7 +60,8 @@ class Star:
     ``lines`` holds one row per order line. Where the source keeps order-level
     keys in a table of their own, ``headers`` is that table (joined on
     ``order_key``) and ``locations`` gives a customer's geography and market
-    keys; both are None when ``lines`` already carries every key.
+    keys; both are None when ``lines`` already carries every key. ``order_lookup`` is
+    the order table of a source whose lines need nothing of it.
     """
 
     lines: DataFrame
@@ -72,9 +76,10 @@ class Star:
     locations: DataFrame | None = None
     #: The source has no date table, so date columns are worked out from the keys and no date is left out.
     dates_from_keys: bool = False
+    order_lookup: DataFrame | None = None
 
 
-NO_DIMENSIONS = ("lines", "headers", "locations", "dates_from_keys")
+NO_DIMENSIONS = ("lines", "headers", "locations", "dates_from_keys", "order_lookup")
 
 
 def snake(name: str) -> str:
@@ -89,23 +94,30 @@ def read_csv_table(spark: SparkSession, path: str, columns: list[tuple[str, T.Da
     never depend on the data.
     """
     types = dict(columns)
+    others = dict(ORDER_LOOKUP_COLUMNS)
     header = spark.read.option("header", True).option("inferSchema", False).csv(path).columns
     missing = [name for name in types if name not in header]
     if missing:
         raise ValueError(f"{path} lacks the columns {missing}")
-    schema = T.StructType([T.StructField(name, types.get(name, _STR)) for name in header])
+    schema = T.StructType([T.StructField(name, types.get(name, others.get(name, _STR))) for name in header])
     table = spark.read.option("header", True).option("mode", "FAILFAST").schema(schema).csv(path)
     return table.select(*[F.col(f"`{name}`").alias(snake(name)) for name in header])
 
 
 def star_from_csv(spark: SparkSession, folder: str) -> Star:
-    """The star from the eight CSV files ``Fact_Sales.csv``, ``Dim_*.csv`` in ``folder``."""
+    """The star from the eight CSV files ``Fact_Sales.csv``, ``Dim_*.csv`` in ``folder``, and ``Dim_Order_Lookup.csv`` if it is there."""
     tables = {
         name: read_csv_table(spark, f"{folder}/{name}.csv", columns) for name, columns in CSV_SCHEMAS.items()
     }
     dims = {snake(name.removeprefix("Dim_")): df for name, df in tables.items() if name.startswith("Dim_")}
     dims["date"] = dims["date"].withColumn("date", F.to_date(F.substring("date", 1, 10)))
-    return Star(lines=tables["Fact_Sales"], **dims)
+    try:
+        lookup = read_csv_table(spark, f"{folder}/{ORDER_LOOKUP}.csv", ORDER_LOOKUP_COLUMNS)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        lookup = None
+    return Star(lines=tables["Fact_Sales"], order_lookup=lookup, **dims)
 
 
 def star_from_views(spark: SparkSession) -> Star:
@@ -120,7 +132,7 @@ def register_views(star: Star) -> list[str]:
     """Register the star as temp views ``fact_sales`` and ``dim_*``; returns their names."""
     names = []
     for f in fields(Star):
-        if f.name in ("headers", "locations", "dates_from_keys"):
+        if f.name != "lines" and f.name in NO_DIMENSIONS:
             continue
         name = "fact_sales" if f.name == "lines" else f"dim_{f.name}"
         frame = fact_sales(star) if f.name == "lines" else getattr(star, f.name)
@@ -298,6 +310,15 @@ def fact_sales(star: Star) -> DataFrame:
     return star.lines.join(head, "order_key").drop("order_key")
 
 
+def with_order_lookup(star: Star) -> DataFrame:
+    """Lines joined to the order table on ``order_key``; of a column that both have, the lines' stays."""
+    lookup = star.headers if star.headers is not None else star.order_lookup
+    if lookup is None or "order_key" not in star.lines.columns:
+        raise ValueError("the source has no order table, or its lines have no order key")
+    added = [c for c in lookup.columns if c not in star.lines.columns]
+    return star.lines.join(lookup.select("order_key", *added), "order_key")
+
+
 def star_integrity(star: Star) -> DataFrame:
     """Per dimension: key values that occur more than once, and fact rows whose key is absent.
 
