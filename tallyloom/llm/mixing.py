@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import KEY, BoundedMemo, documents, forget_memos, mixed, slices, text_or_empty
+from tallyloom.llm.common import KEY, documents, forget_memos, mixed, slices, text_or_empty
 from tallyloom.llm.tokens import Chunks, chunks, encoder
 from tallyloom.llm.toxicity import BUCKETS, likelihood_ratio, term_buckets
 from tallyloom.session import stage
@@ -21,6 +21,8 @@ from tallyloom.session import stage
 #: Labelled documents that are used for fitting, at most: those with the smallest hashes of their ids.
 MOST_LABELLED = 20_000
 FEATURES, LEAST_DOCUMENTS = 2048, 5
+#: Marks that end a word, and the place of terms that are no feature.
+MARKS, NO_TERM = ".,;:!?", -1
 #: Bytes of text that a task describes at a time.
 SLICE = 4_000_000
 #: What ``str.split`` splits at; chunks are cut at blanks and line ends already.
@@ -41,18 +43,25 @@ class Classifier:
 
     buckets: np.ndarray
     weights: np.ndarray  # a row for each term, then for the two measures, then the bias
-    memo: BoundedMemo | None = field(default=None, repr=False)
-
-    def __getstate__(self):
-        return {"buckets": self.buckets, "weights": self.weights, "memo": None}
 
     def describe(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The places of the terms of all texts, the text of each, and the measures of each text."""
-        if self.memo is None:
-            place = {int(b): i for i, b in enumerate(self.buckets)}
-            self.memo = BoundedMemo(lambda token: tuple({place[b] for b in term_buckets(token) if b in place}), 300_000)
-        held = list(map(self.memo.__getitem__, words.words))
-        found, at = spread(held, words.places)
+        place = np.full(BUCKETS + 1, NO_TERM, np.int32)
+        place[self.buckets] = np.arange(len(self.buckets))
+        # Most words are a run of letters, and at most a mark: one term, whose hash costs less than remembering it.
+        bare = [w.lower().rstrip(MARKS) for w in words.words]
+        hashes = np.fromiter((zlib.crc32(w.encode()) % BUCKETS if w.isalpha() else BUCKETS for w in bare), np.int64, len(bare))
+        codes = place[hashes]
+        found = codes[words.places]
+        at = np.flatnonzero(found >= 0)
+        found = found[at].astype(np.int64)
+        odd = np.flatnonzero(hashes == BUCKETS)
+        if len(odd):
+            held: list = [()] * len(codes)
+            for i in odd.tolist():
+                held[i] = tuple({place[b] for b in term_buckets(words.words[i])} - {NO_TERM})
+            more, source = spread(held, words.places)
+            found, at = np.append(found, more), np.append(at, source)
         # A text has a term once, whichever of its words hold it.
         width = max(len(self.buckets), 1)
         keys = np.unique(words.owner[at] * width + found)
@@ -96,6 +105,15 @@ class Words:
     def of(cls, cut: Chunks, alone: dict[int, str]) -> Words:
         """From the batch's distinct chunks (none of which cuts a word), and the texts whose chunks don't count."""
         distinct, at, starts = cut
+        if not alone and not BLANK("".join(distinct)):
+            # Each chunk is a word, or empty.
+            owner = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+            if "" in distinct:
+                kept = at != distinct.index("")
+                owner, at = owner[kept], at[kept]
+            width = max(len(distinct), 1)
+            keys = pc.unique(pa.array(owner * width + at)).to_numpy()
+            return cls(distinct, keys // width, keys % width, np.bincount(owner, minlength=len(starts) - 1))
         # Nearly every chunk is a word; those that hold blanks of other kinds are split.
         held: list = [(i,) if chunk else () for i, chunk in enumerate(distinct)]
         odd = [i for i, chunk in enumerate(distinct) if BLANK(chunk)]
@@ -183,7 +201,7 @@ def fit(df: DataFrame, domains: DataFrame, classes: int, id_column: str = "doc_i
         for batch in batches:
             words = [t.split() for t in batch.column("text").to_pylist()]
             different = [set(w) for w in words]
-            terms = [np.unique(np.array([b for token in d for b in term_buckets(token)], "<u4")) for d in different]
+            terms = [np.unique(np.array(term_buckets(" ".join(d)), "<u4")) for d in different]
             yield pa.record_batch({
                 "mark": pa.array([zlib.crc32(" ".join(w).encode("utf-8", "surrogatepass")) for w in words], pa.int64()),
                 "words": pa.array([len(w) for w in words], pa.int64()), "different": pa.array([len(d) for d in different], pa.int64()),

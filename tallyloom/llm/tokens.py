@@ -76,6 +76,8 @@ class TextEncoder:
         self.kind = self._kind(self.told)
         self.tokenize, self.table = self.library.model.tokenize, byte_alphabet()
         self.known = BoundedMemo(self._word if self.kind == "words" else self._chunk, MEMO_ENTRIES)
+        #: Numbers of ids of lower-cased words of letters, and of the marks after them.
+        self.counted, self.marks = BoundedMemo(self._count_word, MEMO_ENTRIES), {}
 
     @staticmethod
     def _kind(told: dict) -> str:
@@ -138,10 +140,33 @@ class TextEncoder:
         """The number of ids of each text."""
         return self.count_chunks(texts, chunks(self.kind, texts))[0]
 
+    def _count_word(self, word: str) -> int:
+        return len(self.tokenize(word if word.isascii() else as_alphabet(word, self.table)))
+
+    def _sizes(self, distinct: list[str]) -> np.ndarray:
+        """The numbers of ids of chunks of a tokenizer by words: a word's, whatever its case and the mark after it."""
+        if not self.marks:
+            self.marks.update({m: len(self.known[m]) // 4 for m in ENDINGS})
+        marks, counted, known = self.marks, self.counted, self.known
+
+        def size(chunk: str) -> int:
+            word, mark = (chunk[:-1], marks[chunk[-1]]) if chunk[-1:] in marks else (chunk, 0)
+            if word.isalpha() if word.isascii() else LETTERS_ONLY(word):
+                return counted[word.lower()] + mark
+            return len(known[chunk]) // 4
+
+        return np.fromiter(map(size, distinct), np.int64, len(distinct))
+
     def count_chunks(self, texts: pa.Array, cut: Chunks) -> tuple[np.ndarray, dict[int, str]]:
         """The number of ids of each text, given their chunks, and the texts that stay uncut."""
-        alone, values, places, starts = looked_up(self.kind, texts, self.known, self.stays_whole, cut=cut)
-        sums = np.concatenate([[0], np.cumsum(np.array([len(v) for v in values], np.int64)[places] // 4)])
+        alone = {i: t for i, t in enumerate(texts.to_pylist()) if self.stays_whole(t)}
+        if alone or self.kind != "words":
+            alone, values, places, starts = looked_up(self.kind, texts, self.known, self.stays_whole, cut=cut)
+            sizes = np.array([len(v) for v in values], np.int64) // 4
+        else:
+            distinct, places, starts = cut
+            sizes = self._sizes(distinct)
+        sums = np.concatenate([[0], np.cumsum(sizes[places])])
         counts = sums[starts[1:]] - sums[starts[:-1]]
         for i, text in alone.items():
             counts[i] = len(self._library(text)) // 4

@@ -64,3 +64,13 @@ def test_words_and_terms_equal_a_plain_loop():
             assert flat[owner == i].tolist() == expect
             assert words.totals[i] == len(text.split()) and words.different()[i] == len(set(text.split()))
         assert len(measured) == len(texts)
+
+
+def test_words_are_counted_as_the_library_does():
+    library, coder = Tokenizer.from_file(WORDS), tokens.TextEncoder(WORDS)
+    stems = ["word", "Word", "WORD", "été", "ÉTÉ", "straße", "Übergröße", "ÿ", "a1b", "K", "Ångström", "İstanbul", "don't", "x_y", "½", "", "ΟΔΟΣ"]
+    texts = [s + m for s in stems for m in ("", ".", ",", "!?", "...", "'")]
+    texts += [" ".join(texts[i::7]) for i in range(7)] + ["\n".join(texts)]
+    expect = [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert coder.count_all(pa.array(texts)).tolist() == expect
+    assert coder.count_all(pa.array(texts)).tolist() == expect
