@@ -23,8 +23,8 @@ MOST_LABELLED = 20_000
 FEATURES, LEAST_DOCUMENTS = 2048, 5
 #: Marks that end a word, and the place of terms that are no feature.
 MARKS, NO_TERM = ".,;:!?", -1
-#: Bytes of text that a task describes at a time, and that it repeats at a time.
-SLICE, MIX_SLICE = 8_000_000, 4_000_000
+#: Bytes of text that a task describes at a time.
+SLICE = 4_000_000
 #: What ``str.split`` splits at; chunks are cut at blanks and line ends already.
 BLANK = re.compile(r"\s").search
 EPOCHS, BATCH, RATE, DECAY = 30, 256, 0.2, 1e-4
@@ -382,7 +382,7 @@ def mix(df: DataFrame, mixture: Mixture, id_column: str = "doc_id", text_column:
     def repeat(batches):
         forget_memos()
         for batch in batches:
-            for part in slices(batch, text_column, MIX_SLICE):
+            for part in slices(batch, text_column, SLICE):
                 texts = pc.fill_null(part.column(text_at).cast(pa.string()), "")
                 alone = {i: t for i, t in enumerate(texts.to_pylist()) if "\0" in t}
                 described = model.describe(Words.of(chunks("words", texts), alone))
