@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.session import checked_broadcast, shared_root
+from tallyloom.session import checked_broadcast, open_store, shared_root
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -49,16 +49,6 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def open_store(uri: str):
-    """The file system of a URI and the path in it."""
-    from pyarrow import fs
-
-    if "://" not in uri:
-        uri = uri.removeprefix("file:")
-        return fs.LocalFileSystem(), uri
-    return fs.FileSystem.from_uri(uri)
-
-
 def write_whole(folder: str, name: str, data) -> str:
     """Write a file under a name no other attempt of the task uses, and return its URI.
 

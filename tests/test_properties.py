@@ -15,6 +15,7 @@ from tallyloom.functions.normal import normal_quantile
 from tallyloom.operators import clustering, hypothesis, models, splits
 from tallyloom.operators import neighbours as near
 from tallyloom.operators.order_statistics import exact_quantiles
+from tallyloom.functions.columns import unit_hash
 from tallyloom.operators.balancing import smote, smote_nc
 from tallyloom.plans import frames, jobs
 from tallyloom.sources import sinks
@@ -138,6 +139,31 @@ def test_neighbours_equal_brute_force(spark, dimensions, n, copies):
     assert lists(near.nearest_neighbours(queries, df, 3, "id", "v")) == brute_force(asked, points, 3, False)
 
 
+def test_quick_distances_lose_no_neighbour(spark):
+    """Far more candidates than a group, values far from 0, equal and unusable ones: exactly the nearest, without a look at all pairs."""
+    rng = np.random.default_rng(8)
+    points = np.hstack([rng.normal(size=(3000, 3)) * [1, 100, 1e-3] + [1e4, -7, 3], rng.integers(0, 2, (3000, 5))])
+    points[:40] = points[0]
+    points[50, 1] = np.nan
+    known = near.Candidates(points)
+    asked = np.vstack([points[:30], points[100:130] + 1e-4, [[1e4, 1e30, 0, 0, 0, 0, 0, 0]]])
+    rows, columns = known.near(asked, 6)
+    exact = known.distances(asked, rows, columns)
+    whole = np.sqrt(((asked[:, None] - points[None]) ** 2).sum(axis=2))
+    for i in range(len(asked)):
+        mine = sorted(zip(exact[rows == i], columns[rows == i]))[:6]
+        true = sorted((d, j) for j, d in enumerate(whole[i]) if d == d)[:6]
+        assert mine == [(pytest.approx(d, rel=1e-12), j) for d, j in true]
+    assert len(rows) < 61 * 300 + 3000
+
+
+def test_candidates_are_those_of_the_least_hashes(spark):
+    df = spark.range(5000).select(F.col("id").cast("string").alias("id"), F.array(F.col("id").cast("double")).alias("v"))
+    ordered = [r["id"] for r in df.orderBy(unit_hash(F.col("id"), "candidate"), "id").collect()]
+    for most in (1, 700, 5000, 9000):
+        assert sorted(r["id"] for r in near.bounded_candidates(df, "id", "v", most).collect()) == sorted(ordered[:most])
+
+
 def test_neighbours_with_few_candidates(spark):
     df = spark.createDataFrame([("a", [0.0]), ("b", [1.0])], "id string, v array<double>")
     got = near.nearest_neighbours(df, df, 5, "id", "v", exclude_self=True).collect()
