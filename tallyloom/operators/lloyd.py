@@ -60,7 +60,8 @@ def assign(points: DataFrame, middle: np.ndarray, centres: Centres) -> pd.DataFr
             for k, c in centres.items():
                 nearest = _squares(x, c).argmin(axis=1)
                 cost = ((x - c[nearest]) ** 2).sum(axis=1)
-                np.add.at(total[k], nearest, np.column_stack([np.ones(len(x)), cost, square, x]))
+                for i, column in enumerate([None, cost, square, *x.T]):
+                    total[k][:, i] += np.bincount(nearest, column, len(c))
         for k, rows in total.items():
             used = np.flatnonzero(rows[:, 0])
             if not len(used):
