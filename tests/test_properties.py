@@ -322,3 +322,10 @@ def test_star_from_csv_equals_parquet(spark, tmp_path):
     assert spark.sql("SELECT count(*) FROM fact_sales JOIN dim_market USING (market_key)").first()[0] == 60_000
     paths = sinks.save_tables({"features": frames.customer_features(back, YEARS)}, str(tmp_path / "out"))
     assert spark.read.parquet(paths[0]).count() == 1500
+
+
+def test_neighbours_of_repeated_ids_stay_within_the_wanted(spark):
+    """A row that comes twice leaves out both of itself among the k + 1 nearest, however near the next ones are."""
+    df = spark.createDataFrame([("a", [0.0]), ("a", [0.0]), ("b", [1.0]), ("c", [1.0 + 1e-6])], "id string, v array<double>")
+    got = near.nearest_neighbours(df.filter("id = 'a'").limit(1), df, 2, "id", "v", exclude_self=True).collect()
+    assert [(r["neighbour_id"], r["rank"]) for r in got] == [("b", 1)]
