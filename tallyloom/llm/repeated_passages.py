@@ -8,11 +8,13 @@ can only repeat where the string at its anchor does.
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import documents, mixed, slices, text_or_empty
@@ -29,6 +31,8 @@ MOST_BROADCAST_ROWS, MOST_BROADCAST_BYTES = 1_000_000, 64_000_000
 CHUNK_BYTES = 200_000
 #: Bytes of text that a task holds at a time, and that Spark hands it at once.
 SLICE_BYTES, BATCH_BYTES = 4_000_000, 8_000_000
+#: Bytes of text whose passages a task counts at a time.
+COUNTED_BYTES = 1_000_000
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 
@@ -307,26 +311,71 @@ def by_sorting(rows: DataFrame) -> DataFrame:
 SPANS = pa.schema([("mark", pa.binary()), ("start", pa.int64()), ("stop", pa.int64())])
 
 
+def told_by_slice(texts: list[tuple[bytes, bytes, np.ndarray, int]]) -> pa.RecordBatch:
+    """What some texts (mark, bytes, starts of passages in ascending order, how often it is there) tell of their passages, as rows of ``COUNTED``.
+
+    Each different passage is one row, however often it occurs in them: with its place if
+    only others can tell that it is repeated. Repeats known here are rows with a ``stop``.
+    """
+    sizes = np.array([len(own) for _, _, own, _ in texts], np.int64)
+    digests = b"".join(b"".join([xxhash.xxh3_128_digest(data[i : i + LENGTH]) for i in own.tolist()]) for _, data, own, _ in texts)
+    halves = np.frombuffer(digests, "<u8").reshape(-1, 2)
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    start = np.concatenate([np.zeros(0, np.int64), *(own for _, _, own, _ in texts)])
+    order = np.lexsort((halves[:, 1], halves[:, 0]))
+    new = np.ones(len(order), bool)
+    new[1:] = (halves[order[1:]] != halves[order[:-1]]).any(axis=1)
+    group = np.cumsum(new) - 1
+    often = np.bincount(group, np.array([times for *_, times in texts], np.int64)[owner[order]]) > 1
+    first = order[new]
+    known = np.zeros(len(order), bool)
+    known[order] = often[group]
+    # Known repeats of a text that touch are one run.
+    at = np.flatnonzero(known)
+    begins = np.ones(len(at), bool)
+    begins[1:] = (owner[at[1:]] != owner[at[:-1]]) | (start[at[1:]] > start[at[:-1]] + LENGTH)
+    ends = np.append(begins[1:], True)[: len(at)]
+    marks = pa.array([mark for mark, *_ in texts], pa.binary())
+    runs = marks.take(pa.array(owner[at[begins]]))
+    passage = pa.array([digests[16 * i : 16 * i + 16] for i in first.tolist()], pa.binary())
+    asked = pa.array(owner[first], mask=often)
+    none = pa.nulls(len(first), pa.int64())
+    return pa.record_batch({
+        "passage": pa.concat_arrays([passage, runs]), "mark": pa.concat_arrays([marks.take(asked), runs]),
+        "start": pa.concat_arrays([pa.array(start[first], mask=often), pa.array(start[at[begins]])]),
+        "stop": pa.concat_arrays([none, pa.array(start[at[ends]] + LENGTH)]),
+    })
+
+
+COUNTED = "passage binary, mark binary, start long, stop long"
+
+
 def by_counting(rows: DataFrame) -> DataFrame:
-    """Repeats around anchors whose strings are too many for a task: every passage is counted by its bytes' hash, first within tasks."""
+    """Repeats around anchors whose strings are too many for a task: every passage is counted by its bytes' hash, first within slices of texts.
+
+    A slice sends a passage once, so the commonest one is no more rows than there are slices.
+    """
 
     def passages(batches):
         for whole in batches:
-            for batch in slices(whole, "text", 1_000_000):
-                found, marks, starts = [], [], []
-                for mark, data, numbers in zip(batch.column("mark").to_pylist(), bytes_of(batch), batch.column("places").to_pylist()):
-                    numbers = np.frombuffer(numbers, "<i8")
-                    # Every passage of the text once, however many anchors lie in it.
-                    ranges = [np.arange(max(0, p - SPAN), min(p, len(data) - LENGTH) + 1) for p in (numbers[numbers % 4 == 2] // 4).tolist()]
-                    own = np.unique(np.concatenate(ranges)).tolist() if ranges else []
-                    found += [xxhash.xxh3_128_digest(data[i : i + LENGTH]) for i in own]
-                    marks += [mark] * len(own)
-                    starts += own
-                yield pa.record_batch({"passage": pa.array(found, pa.binary()), "mark": pa.array(marks, pa.binary()), "start": pa.array(starts, pa.int64())})
-
-    found = rows.mapInArrow(passages, "passage binary, mark binary, start long")
-    repeated = found.groupBy("passage").agg(F.count("*").alias("n")).where("n > 1").select("passage")
-    return found.join(repeated, "passage").select("mark", "start", (F.col("start") + LENGTH).alias("stop")).distinct()
+            for batch in slices(whole, "text", COUNTED_BYTES):
+                marks, held, times = batch.column("mark").to_pylist(), {}, Counter()
+                for mark, data, numbers in zip(marks, bytes_of(batch), batch.column("places").to_pylist()):
+                    times[mark] += 1
+                    if times[mark] == 1:
+                        numbers = np.frombuffer(numbers, "<i8")
+                        # Every passage of the text once, however many anchors lie in it.
+                        ranges = [np.arange(max(0, p - SPAN), min(p, len(data) - LENGTH) + 1) for p in (numbers[numbers % 4 == 2] // 4).tolist()]
+                        if ranges:
+                            held[mark] = (data, np.unique(np.concatenate(ranges)))
+                if held:
+                    yield told_by_slice([(mark, data, own, times[mark]) for mark, (data, own) in held.items()])
+
+    told = rows.mapInArrow(passages, COUNTED)
+    alike = Window.partitionBy("passage")
+    told = told.withColumn("n", F.count(F.when(F.col("stop").isNull(), 1)).over(alike))
+    found = told.where(F.col("mark").isNotNull() & (F.col("stop").isNotNull() | (F.col("n") > 1)))
+    return found.select("mark", "start", F.coalesce("stop", F.col("start") + LENGTH).alias("stop"))
 
 
 # --- removal --------------------------------------------------------------------------------

@@ -60,6 +60,28 @@ def test_against_all_strings(spark, make_documents, monkeypatch, most, block):
     assert sorted(results(df)) == [(i, *e) for i, e in enumerate(expected(texts))]
 
 
+@pytest.mark.parametrize("size", [1, 3_000, 1_000_000])
+def test_counted_in_slices_of_any_size(spark, make_documents, monkeypatch, size):
+    monkeypatch.setattr(repeated_passages, "MOST_IN_BUCKET", 1)
+    monkeypatch.setattr(repeated_passages, "COUNTED_BYTES", size)
+    texts = made(size)
+    # A text of one passage has the passage's hash as its own.
+    once = "".join(np.random.default_rng(8).choice(list("xyz"), LENGTH))
+    texts += [once, "q" + texts[9][:260], *[texts[9]] * 9]
+    assert sorted(results(make_documents([*enumerate(texts)], 4))) == [(i, *e) for i, e in enumerate(expected(texts))]
+
+
+def test_a_common_passage_is_one_row_of_a_slice():
+    common = b"%0200d" % 7
+    texts = [(b"%016d" % i, b"%050d" % i + common, np.array([0, 50]), 1) for i in range(1000)]
+    found = repeated_passages.told_by_slice([*texts, (b"%016d" % 1000, b"x" * 200, np.array([0]), 2)]).to_pylist()
+    asked = [r for r in found if r["mark"] and r["stop"] is None]
+    spans = [r for r in found if r["stop"] is not None]
+    assert sorted(r["mark"] for r in asked) == [t[0] for t in texts] and {r["start"] for r in asked} == {0}
+    assert sorted((r["mark"], r["start"], r["stop"]) for r in spans) == [*((t[0], 50, 250) for t in texts), (b"%016d" % 1000, 0, 200)]
+    assert len(found) - len(asked) - len(spans) == 2
+
+
 def test_joins_by_shuffle(spark, make_documents, monkeypatch):
     monkeypatch.setattr(repeated_passages, "MOST_BROADCAST_ROWS", 0)
     texts = made(1)
