@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Iterable
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,8 @@ GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 #: A column name that no table is expected to have.
 KEY = "__corpus_key__"
+#: Bytes of rows that Spark hands a Python worker at once.
+BATCH_BYTES = 8_000_000
 #: Ids are broadcast up to this number (8 MB of ids), and joined by a shuffle beyond it.
 MOST_BROADCAST_IDS = 1_000_000
 
@@ -41,6 +44,11 @@ def without_ids(df: DataFrame, id_column: str, ids: DataFrame) -> DataFrame:
     return df.join(some, F.col(id_column).eqNullSafe(F.col(KEY)), "left_anti")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hand Python workers few bytes at once: a batch is there in Spark, in Arrow and in Python, for every task of an executor."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 # --- files in the shared folder -----------------------------------------------------------
 
 
@@ -88,6 +96,7 @@ def forget_memos() -> None:
     """Let go what other operators have kept in this worker."""
     if "_process_memo" in sys.modules:
         sys.modules["_process_memo"].__dict__.get("kept", {}).clear()
+        pa.default_memory_pool().release_unused()
 
 
 class BoundedMemo(dict):

@@ -35,7 +35,7 @@ def token_pieces(
 
     def cut(batches):
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", 2_000_000):
                 owner, piece, length, crc, kept = [], [], [], [], []
                 for row, ids in enumerate(encoder(tokenizer).encode_all(batch.column("text"))):
                     view = memoryview(ids + end)

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import documents, mixed, slices, text_or_empty
+from tallyloom.llm.common import documents, mixed, slices, small_batches, text_or_empty
 from tallyloom.session import stage
 
 LENGTH, GRAM = 200, 100
@@ -29,8 +29,8 @@ ROWS_PER_BLOCK = 8_000
 #: Frames are broadcast up to these sizes and joined by a shuffle beyond.
 MOST_BROADCAST_ROWS, MOST_BROADCAST_BYTES = 1_000_000, 64_000_000
 CHUNK_BYTES = 200_000
-#: Bytes of text that a task holds at a time, and that Spark hands it at once.
-SLICE_BYTES, BATCH_BYTES = 4_000_000, 8_000_000
+#: Bytes of text that a task holds at a time.
+SLICE_BYTES = 4_000_000
 #: Bytes of text whose passages a task counts at a time.
 COUNTED_BYTES = 1_000_000
 BASE = 0x9E3779B97F4A7C15
@@ -409,7 +409,7 @@ def repeated_passages(df: DataFrame, id_column: str = "doc_id", text_column: str
     A null text counts as empty; ids may be null or repeated.
     """
     # Each pass holds texts in Spark, in Arrow and in Python; smaller batches keep that low.
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    small_batches(df.sparkSession)
     texts = df.select(text_or_empty(text_column).alias("text"))
     repeated = stage(repeated_strings(texts))
     known = small_or_not(packed_places(places(texts, repeated)), "places")

@@ -134,6 +134,7 @@ class TextEncoder:
         return self.kind == "bytes" and UNSAFE_RUN(text) is not None
 
     def encode_all(self, texts: pa.Array) -> Iterator[bytes]:
+        self.counted.clear()  # whoever wants ids has counted before
         return by_chunk(self.kind, texts, self.known, self.stays_whole, self._library)
 
     def count_all(self, texts: pa.Array) -> np.ndarray:
