@@ -24,7 +24,7 @@ FEATURES, LEAST_DOCUMENTS = 2048, 5
 #: Marks that end a word, and the place of terms that are no feature.
 MARKS, NO_TERM = ".,;:!?", -1
 #: Bytes of text that a task describes at a time.
-SLICE = 2_000_000
+SLICE = 4_000_000
 #: What ``str.split`` splits at; chunks are cut at blanks and line ends already.
 BLANK = re.compile(r"\s").search
 EPOCHS, BATCH, RATE, DECAY = 30, 256, 0.2, 1e-4

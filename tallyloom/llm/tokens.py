@@ -63,6 +63,12 @@ def as_alphabet(piece: str, table: dict[int, str]) -> str:
     return piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(table)
 
 
+def read_told(path: str) -> dict:
+    """What a tokenizer file tells; not kept, as it takes as much as many thousand words."""
+    with open(path, encoding="utf-8") as file:
+        return json.load(file)
+
+
 class TextEncoder:
     """``encode(text)``: the ids that the library gives, as little-endian unsigned 32-bit integers."""
 
@@ -70,10 +76,9 @@ class TextEncoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        with open(path, encoding="utf-8") as file:
-            self.told = json.load(file)
-        self.special = [t["content"] for t in self.told["added_tokens"]]
-        self.kind = self._kind(self.told)
+        told = read_told(path)
+        self.special = [t["content"] for t in told["added_tokens"]]
+        self.kind = self._kind(told)
         self.tokenize, self.table = self.library.model.tokenize, byte_alphabet()
         self.known = BoundedMemo(self._word if self.kind == "words" else self._chunk, MEMO_ENTRIES)
         #: Numbers of ids of lower-cased words of letters, and of the marks after them.
@@ -233,7 +238,7 @@ class PrefixCounter:
             raise ValueError("prefix counts need a byte-level BPE tokenizer without a normalizer")
         self.vocabulary = self.text.library.get_vocab(with_added_tokens=False)
         self.longest = max(map(len, self.vocabulary))
-        pairs = [m if isinstance(m, list) else m.split(" ") for m in self.text.told["model"]["merges"]]
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in read_told(path)["model"]["merges"]]
         ids = self.vocabulary
         self.ranks = {(ids[a] << 32) + ids[b]: r for r, (a, b) in enumerate(pairs)}
         self.halves = {ids[a + b]: (ids[a], ids[b], r) for r, (a, b) in reversed(list(enumerate(pairs)))}
