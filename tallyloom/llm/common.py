@@ -20,7 +20,7 @@ GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 #: A column name that no table is expected to have.
 KEY = "__corpus_key__"
 #: Bytes of rows that Spark hands a Python worker at once.
-BATCH_BYTES = 8_000_000
+BATCH_BYTES = 4_000_000
 #: Ids are broadcast up to this number (8 MB of ids), and joined by a shuffle beyond it.
 MOST_BROADCAST_IDS = 1_000_000
 
@@ -100,19 +100,30 @@ def forget_memos() -> None:
 
 
 class BoundedMemo(dict):
-    """A dictionary that works out missing entries and forgets all when it is full."""
+    """A dictionary that works out missing entries and keeps at most ``most`` of them.
+
+    When half as many are held they become the older ones, which the next half replaces;
+    entries that are asked for meanwhile are taken over, so frequent ones stay.
+    """
 
     def __init__(self, work, most: int):
         super().__init__()
-        self.work, self.most = work, most
+        self.work, self.half, self.older = work, max(most // 2, 1), {}
 
     def __missing__(self, key):
-        value = self.work(key)
-        if len(self) >= self.most:
-            self.clear()
+        value = self.older.get(key)
+        if value is None:
+            value = self.work(key)
+        if len(self) >= self.half:
+            self.older = dict(self)
+            super().clear()
         self[key] = value
         return value
 
+    def clear(self) -> None:
+        super().clear()
+        self.older = {}
+
 
 def word_hash(word: str) -> int:
     return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
@@ -161,7 +172,10 @@ def shingle_hashes(words: np.ndarray, starts: np.ndarray, size: int) -> tuple[np
 
 
 def slices(batch, column: str, most_bytes: int = 16_000_000):
-    """An Arrow batch in runs of rows whose texts hold about ``most_bytes`` at most (one row at least)."""
+    """An Arrow batch in runs of rows whose texts hold about ``most_bytes`` at most (one row at least).
+
+    What Arrow took for a run is given back to the system before the next one.
+    """
     import pyarrow.compute as pc
 
     sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
@@ -170,4 +184,5 @@ def slices(batch, column: str, most_bytes: int = 16_000_000):
         before = sizes[start - 1] if start else 0
         stop = max(start + 1, int(np.searchsorted(sizes, before + most_bytes, "right")))
         yield batch.slice(start, stop - start)
+        pa.default_memory_pool().release_unused()
         start = stop

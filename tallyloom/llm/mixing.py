@@ -24,7 +24,7 @@ FEATURES, LEAST_DOCUMENTS = 2048, 5
 #: Marks that end a word, and the place of terms that are no feature.
 MARKS, NO_TERM = ".,;:!?", -1
 #: Bytes of text that a task describes at a time.
-SLICE = 4_000_000
+SLICE = 2_000_000
 #: What ``str.split`` splits at; chunks are cut at blanks and line ends already.
 BLANK = re.compile(r"\s").search
 EPOCHS, BATCH, RATE, DECAY = 30, 256, 0.2, 1e-4
@@ -198,6 +198,7 @@ def fit(df: DataFrame, domains: DataFrame, classes: int, id_column: str = "doc_i
     found = rows.join(F.broadcast(chosen), F.col("doc_id") == F.col(KEY)).select("text", "domain")
 
     def features(batches):
+        forget_memos()
         for batch in batches:
             words = [t.split() for t in batch.column("text").to_pylist()]
             different = [set(w) for w in words]

@@ -24,7 +24,8 @@ from tokenizers import Tokenizer
 
 from tallyloom.llm.common import BoundedMemo, process_memo
 
-MEMO_ENTRIES = 900_000
+#: Entries of a worker's memos; tokenizers by words have two, and stand beside the pipeline's other stages.
+MEMO_ENTRIES, WORD_ENTRIES = 900_000, 400_000
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 #: Characters whose class is the same in every Unicode version; the apostrophe has rules of its own.
 PLAIN = re.compile(rf"[\n !-&(-~{LETTERS}]*\Z").match
@@ -80,9 +81,10 @@ class TextEncoder:
         self.special = [t["content"] for t in told["added_tokens"]]
         self.kind = self._kind(told)
         self.tokenize, self.table = self.library.model.tokenize, byte_alphabet()
-        self.known = BoundedMemo(self._word if self.kind == "words" else self._chunk, MEMO_ENTRIES)
+        by_word = self.kind == "words"
+        self.known = BoundedMemo(self._word if by_word else self._chunk, WORD_ENTRIES if by_word else MEMO_ENTRIES)
         #: Numbers of ids of lower-cased words of letters, and of the marks after them.
-        self.counted, self.marks = BoundedMemo(self._count_word, MEMO_ENTRIES), {}
+        self.counted, self.marks = BoundedMemo(self._count_word, WORD_ENTRIES), {}
 
     @staticmethod
     def _kind(told: dict) -> str:

@@ -154,6 +154,7 @@ def fit(df: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column
     found = rows.join(F.broadcast(chosen), F.col("doc_id") == F.col(KEY)).select("text", "label")
 
     def features(batches):
+        forget_memos()
         for batch in batches:
             texts = batch.column("text").to_pylist()
             terms = [np.unique(np.array([b for token in text.split() for b in term_buckets(token)], "<u4")) for text in texts]
