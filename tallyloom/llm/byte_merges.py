@@ -1,55 +1,115 @@
-"""Byte-level BPE encoding and decoding by higher-order functions (operator 13).
+"""Byte-level BPE encoding and decoding (operator 13).
 
 Text is cut into words by a pattern; a word's bytes are merged pair by pair, the pair of
-least rank first and of equal ranks the leftmost, until no pair has a rank. The merges
-are one fold (``aggregate``) over the word's bytes, with the ranks in a literal map. A
-corpus repeats its words: the ids of frequent ones are worked out once, for a list of
-distinct words, and become a literal map as well; other words are folded where they
-stand. So no text is shuffled.
-
-Inside the fold a token is one character, of its id above U+0100, so that a word in parts
-is a string, and of two ranks the lesser is the lesser character. Bytes are the characters
-U+0000 to U+00FF.
+least rank first and of equal ranks the leftmost, until no pair has a rank. A corpus
+repeats its words: a worker keeps the ids of the words it has seen, and starts with those
+of the frequent ones, which Spark has counted and encoded once. So no text is shuffled.
+Decoding joins the tokens' pieces, which are a literal array.
 """
 
 from __future__ import annotations
 
 import base64
 import json
+import zlib
 from collections.abc import Callable
+from heapq import heapify, heappop, heappush
 
+import numpy as np
 import public_tokenizers
-import xxhash
+import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import documents, text_or_empty
+from tallyloom.llm.common import BoundedMemo, documents, process_memo, slices, small_batches, text_or_empty
 from tallyloom.session import stage
 
-#: Words whose ids go into the literal map, their longest length in characters, and the
-#: rows (about) they are learned from. They decide what is looked up and what is folded,
+#: Words whose ids every worker starts with, their longest length in characters, and the
+#: rows (about) they are learned from. They decide what is looked up and what is merged,
 #: never the ids.
 MOST_WORDS = 80_000
 LONGEST_WORD = 48
 WORD_ROWS = 50_000
-#: Bytes of a block of a long word.
-WIDTH = 256
+#: Other words whose ids a worker keeps, and bytes of text that a task encodes at a time.
+MEMO_ENTRIES, SLICE = 600_000, 4_000_000
+#: Bytes of a word from which pairs wait in a heap.
+LONG = 100
 BYTES = "ISO-8859-1"
-#: The character of id 0; the one of a pair that is no token; the one before and after a word.
-FIRST, NONE, EDGE = 0x100, "\U0010ffff", "\U0010fffe"
+#: The rank of a pair that is no token.
+NONE = 1 << 40
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is worked out once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+# --- one word -------------------------------------------------------------------------------
+
 
+class WordMerges:
+    """Ids of words by the ranks of a file, as little-endian unsigned 32-bit integers; ``frequent`` ones are known."""
 
-def as_bytes(text: Column) -> Column:
-    """The UTF-8 bytes of a string, one character each."""
-    return F.decode(F.encode(text, "UTF-8"), BYTES)
+    def __init__(self, ranks: dict[str, int], pattern: str, frequent: dict[str, bytes]):
+        self.ranks, self.split, self.frequent = ranks, regex.compile(pattern).findall, frequent
+        self.known = BoundedMemo(self._word, MEMO_ENTRIES)
 
+    def encode(self, text: str) -> bytes:
+        return b"".join(map(self.known.__getitem__, self.split(text)))
 
-# --- literal tables -------------------------------------------------------------------------
+    def _word(self, word: str) -> bytes:
+        found = self.frequent.get(word)
+        if found is not None:
+            return found
+        shown = word.encode().decode(BYTES)
+        # A word that is a token is that token, whatever the merges make of it.
+        rank = self.ranks.get(shown)
+        parts = [shown] if rank is not None else self.merged(shown) if len(shown) < LONG else self.merged_long(shown)
+        return np.array([self.ranks[part] for part in parts], "<u4").tobytes()
+
+    def merged(self, word: str) -> list[str]:
+        """What the merges leave of a word."""
+        rank = self.ranks.get
+        parts = list(word)
+        pairs = [rank(a + b, NONE) for a, b in zip(parts, parts[1:])]
+        while pairs:
+            least = min(pairs)
+            if least == NONE:
+                break
+            at = pairs.index(least)
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del pairs[at]
+            if at < len(pairs):
+                pairs[at] = rank(parts[at] + parts[at + 1], NONE)
+            if at:
+                pairs[at - 1] = rank(parts[at - 1] + parts[at], NONE)
+        return parts
+
+    def merged_long(self, word: str) -> list[str]:
+        """As :meth:`merged`, in little more than linear time: pairs wait in a heap, by rank and then by place.
+
+        A part is known by its start. Pairs whose parts were joined meanwhile are passed over.
+        """
+        n, rank = len(word), self.ranks.get
+        #: Where the part that starts at a place ends, and where the part before it starts; an end of 0 is no part.
+        end, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        waiting = [(r, i, i + 1, i + 2) for i in range(n - 1) if (r := rank(word[i : i + 2])) is not None]
+        heapify(waiting)
+
+        def wait(left: int, right: int) -> None:
+            if 0 <= left and right < n and (r := rank(word[left : end[right]])) is not None:
+                heappush(waiting, (r, left, right, end[right]))
+
+        while waiting:
+            _, left, right, stop = heappop(waiting)
+            if end[left] != right or end[right] != stop:
+                continue
+            end[left], end[right] = stop, 0
+            if stop < n:
+                before[stop] = left
+            wait(before[left], left)
+            wait(left, stop)
+        parts, at = [], 0
+        while at < n:
+            parts.append(word[at : end[at]])
+            at = end[at]
+        return parts
 
 
 def read_ranks(path: str) -> dict[str, int]:
@@ -58,127 +118,6 @@ def read_ranks(path: str) -> dict[str, int]:
         return {base64.b64decode(token).decode(BYTES): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-class LiteralMap:
-    """A map of strings as one literal: an array of small maps, found by a hash of the key."""
-
-    def __init__(self, entries: dict, value_type: str):
-        self.size = 1 << max(4, (len(entries) // 2).bit_length())
-        slots = [{} for _ in range(self.size)]
-        for key, value in entries.items():
-            slots[xxhash.xxh64_intdigest(key.encode(), seed=42) % self.size][key] = value
-        # The optimiser turns the parsed constant into a literal.
-        self.slots = F.from_json(F.lit(json.dumps(slots)), f"array<map<string,{value_type}>>")
-
-    def get(self, key: Column, slots: Column | None = None) -> Column:
-        """The value of a key, or null; ``slots`` is a variable that holds the literal."""
-        slot = F.xxhash64(key).bitwiseAND(F.lit(self.size - 1)).cast("int")
-        return F.try_element_at(F.get(self.slots if slots is None else slots, slot), key)
-
-
-def token_char(i: int) -> str:
-    code = i + FIRST
-    return chr(code if code < 0xD800 else code + 0x800)
-
-
-def token_id(char: Column) -> Column:
-    code = F.ascii(char)
-    return F.when(code < 0xD800, code - FIRST).otherwise(code - FIRST - 0x800)
-
-
-def pair_table(ranks: dict[str, int]) -> dict[str, str]:
-    """The characters of two tokens to the one of the token that they make together, for all cuts of all tokens."""
-    pairs = {}
-    for token, rank in ranks.items():
-        for cut in range(1, len(token)):
-            left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
-            if left is not None and right is not None:
-                pairs[token_char(left) + token_char(right)] = token_char(rank)
-    return pairs
-
-
-# --- one word -------------------------------------------------------------------------------
-
-
-def merged(parts: Column, look: Callable[[Column], Column]) -> Column:
-    """What the merges leave of a string of tokens.
-
-    The fold's state holds the parts, with an ``EDGE`` on both sides, and the token that each
-    pair of neighbours makes. A step joins the leftmost pair of least rank and looks up the
-    two new pairs; once no pair is a token, the steps left pass the state on.
-    """
-
-    def state(parts: Column, pairs: Column) -> Column:
-        return F.struct(parts.alias("parts"), pairs.alias("pairs"))
-
-    def join_at(s: Column, least: Column, at: Column) -> Column:
-        parts, pairs = s["parts"], s["pairs"]
-        around = F.transform(F.array(F.concat(F.substring(parts, at - 1, 1), least), F.concat(least, F.substring(parts, at + 2, 1))), look)
-        return state(
-            F.concat(F.substring(parts, 1, at - 1), least, F.substr(parts, at + 2)),
-            F.concat(F.substring(pairs, 1, at - 2), F.array_join(around, ""), F.substr(pairs, at + 2)),
-        )
-
-    def step(s: Column, _: Column) -> Column:
-        joined = lambda least: F.when(least < NONE, let(F.instr(s["pairs"], least), lambda at: join_at(s, least, at))).otherwise(s)
-        return let(F.array_min(F.split(s["pairs"], "")), joined)
-
-    def folded(chars: Column) -> Column:
-        after = lambda i: F.coalesce(F.get(chars, i + 1), F.lit(EDGE))
-        pairs = F.array_join(F.transform(chars, lambda char, i: look(F.concat(char, after(i)))), "")
-        start = state(F.concat(F.lit(EDGE), F.array_join(chars, ""), F.lit(EDGE)), F.concat(F.lit(NONE), pairs))
-        return F.aggregate(F.slice(chars, F.lit(2), F.size(chars)), start, step, lambda s: s["parts"])
-
-    return F.translate(let(F.split(parts, ""), folded), EDGE, "")
-
-
-def merged_in_blocks(word: Column, look: Callable[[Column], Column], lengths: Column) -> Column:
-    """What the merges leave of a long word, in time linear in its length.
-
-    A block starts with the last part kept and is left at a part's end well before its own:
-    parts are what the merges leave if any two neighbours are what they leave of these two,
-    and a block proves that for its neighbours if it gives back the part that it starts
-    with. If it does not, or gets no further, the word is merged as one block.
-    """
-    size = F.length(word)
-    first = lambda parts: F.substring(parts, 1, 1)
-
-    def state(parts: Column, done: Column, width: Column) -> Column:
-        return F.struct(parts.alias("parts"), done.alias("done"), width.alias("width"))
-
-    def kept(parts: Column, most: Column) -> Column:
-        """``n, end``: the parts from the first on that end within ``most`` bytes."""
-        count = lambda n, end, go: F.struct(n.alias("n"), end.alias("end"), go.alias("go"))
-
-        def add(a: Column, part: Column) -> Column:
-            end = a["end"] + F.get(lengths, token_id(part))
-            return F.when(a["go"] & (end <= most), count(a["n"] + 1, end, F.lit(True))).otherwise(count(a["n"], a["end"], F.lit(False)))
-
-        return F.aggregate(F.split(parts, ""), count(F.lit(0), F.lit(0), F.lit(True)), add)
-
-    def advance(s: Column, _: Column) -> Column:
-        last = F.substring(s["parts"], -1, 1)
-
-        def block(old: Column) -> Column:
-            start = s["done"] - old
-            at_end = s["done"] + s["width"] >= size
-            most = F.when(at_end, size - start).otherwise(old + F.floor(s["width"] * 3 / 4).cast("int"))
-
-            def take(parts: Column, k: Column) -> Column:
-                wrong = ((old > 0) & (first(parts) != last)) | (k["end"] <= old)
-                new = F.substring(parts, F.when(old > 0, 2).otherwise(1), F.when(old > 0, k["n"] - 1).otherwise(k["n"]))
-                return F.when(wrong, state(F.lit(""), F.lit(0), size)).otherwise(state(F.concat(s["parts"], new), start + k["end"], s["width"]))
-
-            found = merged(F.substring(word, start + 1, old + s["width"]), look)
-            return let(found, lambda parts: let(kept(parts, most), lambda k: take(parts, k)))
-
-        old = F.when(s["done"] > 0, F.get(lengths, token_id(last))).otherwise(0)
-        return F.when(s["done"] < size, let(old, block)).otherwise(s)
-
-    # Each step but one gets on by a byte at least; those after the end pass the state on.
-    start = state(F.lit(""), F.lit(0), F.lit(WIDTH))
-    return F.aggregate(F.sequence(F.lit(0), size + 1), start, advance, lambda s: s["parts"])
-
-
 # --- texts ----------------------------------------------------------------------------------
 
 
@@ -209,7 +148,7 @@ class ByteMerges:
     """Encoder and decoder of a rank file.
 
     ``fit`` learns which words are frequent: that makes encoding faster and changes no id; an
-    encoder that was not fitted folds every word that is no token.
+    encoder that was not fitted merges every word when it first meets it.
     """
 
     def __init__(self, ranks_file: str, pattern: str):
@@ -220,47 +159,31 @@ class ByteMerges:
         tokens = [""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             tokens[rank] = token
-        self.pattern = pattern
-        self.byte_tokens = "".join(token_char(ranks[chr(b)]) for b in range(256))
-        self.pairs = LiteralMap(pair_table(ranks), "string")
-        self.lengths = F.from_json(F.lit(json.dumps([len(token) for token in tokens])), "array<int>")
+        self.ranks_file, self.pattern = ranks_file, pattern
         self.tokens = F.from_json(F.lit(json.dumps(tokens)), "array<string>")
         packed = [i.to_bytes(4, "little").decode(BYTES) for i in range(len(tokens))]
         self.packed = F.from_json(F.lit(json.dumps(packed)), "array<string>")
-        # A word that is a token is that token, whatever the merges make of it.
-        self.whole = {}
-        for token, rank in ranks.items():
-            try:
-                self.whole[token.encode(BYTES).decode()] = token_char(rank)
-            except UnicodeDecodeError:
-                pass  # no word of a text
-        self.words = LiteralMap(self.whole, "string")
-
-    def token_string(self, text: Column) -> Column:
-        """The ids of a text, a character each; null for null."""
-
-        def chars(slots: Column) -> Column:
-            look = lambda key: F.coalesce(self.pairs.get(key, slots), F.lit(NONE))
-            parts = lambda w: F.when(F.length(w) <= WIDTH, merged(w, look)).otherwise(merged_in_blocks(w, look, self.lengths))
-            start = lambda word: F.translate(as_bytes(word), "".join(map(chr, range(256))), self.byte_tokens)
-            one = lambda word: F.coalesce(self.words.get(word), let(start(word), parts))
-            return F.array_join(F.transform(words_of(text, self.pattern), one), "")
+        self.frequent: dict[str, bytes] = {}
 
-        # One literal, bound to a variable that all look-ups share.
-        return let(self.pairs.slots, chars)
-
-    def encoded(self, text: Column) -> Column:
-        """The ids of a text, an array of int; null for null."""
-
-        ids = lambda chars: F.when(chars == "", F.array().cast("array<int>")).otherwise(F.transform(F.split(chars, ""), token_id))
-        return let(self.token_string(text), ids)
+    def worker(self) -> Callable[[], WordMerges]:
+        """Gives a task its worker's :class:`WordMerges`."""
+        path, pattern, frequent = self.ranks_file, self.pattern, self.frequent
+        name = f"merges {path} {pattern} {zlib.crc32(chr(0).join(sorted(frequent)).encode())}"
+        return lambda: process_memo(name, lambda: WordMerges(read_ranks(path), pattern, frequent))
 
     def fit(self, texts: DataFrame, most: int = MOST_WORDS, rows: int = WORD_ROWS) -> ByteMerges:
         """Take over the ids of the frequent words of about ``rows`` rows' ``text``; at most ``most`` words come to the driver."""
         some = texts.sample(min(1.0, rows / max(texts.count(), 1)), 13)
         counts = frequent_words(some, self.pattern, most).coalesce(16)
-        found = counts.select("word", self.token_string(F.col("word")).alias("chars")).collect()
-        self.words = LiteralMap({**self.whole, **dict(map(tuple, found))}, "string")
+        merges = self.worker()
+
+        def encode(batches):
+            for batch in batches:
+                words = batch.column("word")
+                yield pa.record_batch({"word": words, "ids": pa.array(map(merges()._word, words.to_pylist()), pa.binary())})
+
+        found = counts.select("word").mapInArrow(encode, "word string, ids binary").collect()
+        self.frequent = {word: bytes(ids) for word, ids in found}
         return self
 
     def decoded(self, ids: Column) -> Column:
@@ -278,12 +201,24 @@ def encode_documents(df: DataFrame, coder: ByteMerges, id_column: str = "doc_id"
 
     Rows are independent of each other: ids may be null or repeated, and other columns of
     ``df`` don't matter. An empty table gives no row. Letters and numbers are those of the
-    Unicode version that the JVM knows.
+    Unicode version that the pattern's library knows.
     """
-    return df.select(F.col(id_column).alias("doc_id"), coder.encoded(text_or_empty(text_column)).alias("ids"))
+    rows = df.select(F.col(id_column).alias("doc_id"), text_or_empty(text_column).alias("text"))
+    kind, merges = rows.schema["doc_id"].dataType.simpleString(), coder.worker()
+
+    def encode(batches):
+        for whole in batches:
+            for batch in slices(whole, "text", SLICE):
+                found = list(map(merges().encode, batch.column("text").to_pylist()))
+                starts = np.cumsum([0, *map(len, found)], dtype=np.int64) // 4
+                ids = pa.array(np.frombuffer(b"".join(found), "<i4"))
+                yield pa.record_batch({"doc_id": batch.column("doc_id"), "ids": pa.ListArray.from_arrays(pa.array(starts, pa.int32()), ids)})
+
+    return rows.mapInArrow(encode, f"doc_id {kind}, ids array<int>")
 
 
 def op13_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     docs = documents(spark, sf_dir)
     coder = ByteMerges(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     coder.fit(docs.select(text_or_empty("text").alias("text")))
