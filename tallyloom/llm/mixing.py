@@ -13,8 +13,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import KEY, documents, forget_memos, mixed, slices, text_or_empty
-from tallyloom.llm.tokens import Chunks, chunks, encoder
+from tallyloom.llm.common import KEY, documents, forget_memos, mixed, process_memo, slices, text_or_empty
+from tallyloom.llm.tokens import ENDINGS, LETTERS_ONLY, SLOTS, Chunks, TextEncoder, WordTable, coded_chunks, strings
 from tallyloom.llm.toxicity import BUCKETS, likelihood_ratio, term_buckets
 from tallyloom.session import stage
 
@@ -48,9 +48,11 @@ class Classifier:
         """The places of the terms of all texts, the text of each, and the measures of each text."""
         place = np.full(BUCKETS + 1, NO_TERM, np.int32)
         place[self.buckets] = np.arange(len(self.buckets))
-        # Most words are a run of letters, and at most a mark: one term, whose hash costs less than remembering it.
-        bare = [w.lower().rstrip(MARKS) for w in words.words]
-        hashes = np.fromiter((zlib.crc32(w.encode()) % BUCKETS if w.isalpha() else BUCKETS for w in bare), np.int64, len(bare))
+        hashes = words.hashes
+        if hashes is None:
+            # Most words are a run of letters, and at most a mark: one term.
+            bare = [w.lower().rstrip(MARKS) for w in words.words]
+            hashes = np.fromiter((zlib.crc32(w.encode()) % BUCKETS if w.isalpha() else BUCKETS for w in bare), np.int64, len(bare))
         codes = place[hashes]
         found = codes[words.places]
         at = np.flatnonzero(found >= 0)
@@ -64,8 +66,8 @@ class Classifier:
             found, at = np.append(found, more), np.append(at, source)
         # A text has a term once, whichever of its words hold it.
         width = max(len(self.buckets), 1)
-        keys = np.unique(words.owner[at] * width + found)
-        return keys % width, keys // width, measures(np.stack([words.totals, words.different()], 1).astype(float))
+        owner, found = once(words.owner[at], found, width)
+        return found, owner, measures(np.stack([words.totals, words.different()], 1).astype(float))
 
     def posteriors(self, flat: np.ndarray, owner: np.ndarray, measured: np.ndarray) -> np.ndarray:
         n, classes = len(self.buckets), self.weights.shape[1]
@@ -85,18 +87,28 @@ def spread(held: list, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return flat[np.repeat((np.cumsum(counts) - counts)[places], times) + inside], at
 
 
+def once(owner: np.ndarray, places: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different pairs in order, given that places are below ``width``. Sorting takes a tenth of the time of hashing."""
+    keys = np.sort(owner * width + places)
+    keys = keys[np.append(True, keys[1:] != keys[:-1])] if len(keys) else keys
+    first = keys // width
+    return first, keys - first * width
+
+
 @dataclass
 class Words:
     """The different words (runs without white space) of each text of a batch.
 
     ``places`` are numbers of ``words``, once for each text (``owner``) that has the word;
-    ``totals`` are the words of each text with repeats.
+    ``totals`` are the words of each text with repeats. ``hashes`` are the buckets of words
+    that are one term, ``BUCKETS`` for others; only these need be among ``words`` then.
     """
 
-    words: list[str]
+    words: list[str] | dict[int, str]
     owner: np.ndarray
     places: np.ndarray
     totals: np.ndarray
+    hashes: np.ndarray | None = None
 
     def different(self) -> np.ndarray:
         return np.bincount(self.owner, minlength=len(self.totals))
@@ -111,9 +123,7 @@ class Words:
             if "" in distinct:
                 kept = at != distinct.index("")
                 owner, at = owner[kept], at[kept]
-            width = max(len(distinct), 1)
-            keys = pc.unique(pa.array(owner * width + at)).to_numpy()
-            return cls(distinct, keys // width, keys % width, np.bincount(owner, minlength=len(starts) - 1))
+            return cls.among(distinct, len(distinct), owner, at, len(starts) - 1)
         # Nearly every chunk is a word; those that hold blanks of other kinds are split.
         held: list = [(i,) if chunk else () for i, chunk in enumerate(distinct)]
         odd = [i for i, chunk in enumerate(distinct) if BLANK(chunk)]
@@ -137,9 +147,68 @@ class Words:
         for i, text in alone.items():
             own = np.array(list(map(number, text.split())), np.int64)
             owner, found = np.append(owner, np.full(len(own), i)), np.append(found, own)
-        width = max(len(words), 1)
-        keys = pc.unique(pa.array(owner * width + found)).to_numpy()
-        return cls(words, keys // width, keys % width, np.bincount(owner, minlength=len(starts) - 1))
+        return cls.among(words, len(words), owner, found, len(starts) - 1)
+
+    @classmethod
+    def among(cls, words: list[str] | dict[int, str], n_words: int, owner: np.ndarray, places: np.ndarray, n_texts: int, hashes: np.ndarray | None = None) -> Words:
+        """From the word at every place, with repeats."""
+        return cls(words, *once(owner, places, max(n_words, 1)), np.bincount(owner, minlength=n_texts), hashes)
+
+
+class Reader:
+    """What a worker keeps of words: their ids in the tokenizer, if there is one, and their terms."""
+
+    def __init__(self, tokenizer: str | None = None):
+        self.coder = TextEncoder(tokenizer) if tokenizer else None
+        # Terms alone take little work, so 4 MB of them do.
+        self.table = WordTable(self._numbers, SLOTS if tokenizer else SLOTS // 8)
+        self.marks = np.zeros(256, np.int64)
+        if self.coder and self.coder.kind == "words":
+            self.marks[[ord(m) for m in ENDINGS]] = [len(self.coder.known[m]) // 4 for m in ENDINGS]
+
+    def _numbers(self, stem: str) -> tuple[int, int]:
+        """The number of ids and the bucket of a run of letters; of anything else -1 and ``BUCKETS``."""
+        if not (stem.isalpha() if stem.isascii() else LETTERS_ONLY(stem)):
+            return -1, BUCKETS
+        word = stem.lower()
+        return self.coder.count_word(word) if self.coder else 0, zlib.crc32(word.encode()) % BUCKETS
+
+    def read(self, texts: pa.Array) -> tuple[np.ndarray, Words]:
+        """The number of ids (0 without a tokenizer) and the words of each text."""
+        coder = self.coder
+        if coder and coder.kind != "words":
+            distinct, places, starts = coded_chunks(coder.kind, texts)
+            cut = strings(distinct), places, starts
+            tokens, alone = coder.count_chunks(texts, cut)
+            return tokens, Words.of(cut, alone)
+        alone = {i: t for i, t in enumerate(texts.to_pylist()) if (coder.stays_whole(t) if coder else "\0" in t)}
+        # Each distinct chunk is looked up once, for its tokens and for its words.
+        distinct, places, starts = coded_chunks("words", texts)
+        numbers, marks = self.table.look_up(distinct)
+        hashes, odd = numbers[:, 1], np.flatnonzero(numbers[:, 0] < 0)
+        others = dict(zip(odd.tolist(), strings(distinct.take(pa.array(odd)))))
+        owner = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+        tokens = np.zeros(len(starts) - 1, np.int64)
+        if coder:
+            sizes = numbers[:, 0] + self.marks[marks]
+            # Chunks of uncut texts are not needed.
+            wanted = odd if not alone else np.intersect1d(odd, places[~np.isin(owner, list(alone))])
+            sizes[wanted] = [len(coder.known[others[i]]) // 4 for i in wanted.tolist()]
+            sums = np.concatenate([[0], np.cumsum(sizes[places])])
+            tokens = sums[starts[1:]] - sums[starts[:-1]]
+            for i, text in alone.items():
+                tokens[i] = coder.count_whole(text)
+        if alone or any(map(BLANK, others.values())):
+            words = Words.of((strings(distinct), places, starts), alone)
+            words.hashes = np.append(hashes, np.full(len(words.words) - len(hashes), BUCKETS))
+            return tokens, words
+        kept = ~np.isin(places, [i for i, word in others.items() if not word])
+        return tokens, Words.among(others, len(distinct), owner[kept], places[kept], len(starts) - 1, hashes)
+
+
+def reader(tokenizer: str | None = None) -> Reader:
+    """The worker's reader for a tokenizer file, or for terms only."""
+    return process_memo(f"words {tokenizer}", lambda: Reader(tokenizer))
 
 
 def measures(sizes: np.ndarray) -> np.ndarray:
@@ -309,11 +378,8 @@ def describe(
     def predict(batches):
         for whole in batches:
             for batch in slices(whole, "text", SLICE):
-                coder, texts = encoder(tokenizer), batch.column("text")
-                # Each distinct chunk is looked up once, for its tokens and for its words.
-                cut = chunks(coder.kind, texts)
-                tokens, alone = coder.count_chunks(texts, cut)
-                chances = model.posteriors(*model.describe(Words.of(cut, alone)))
+                tokens, words = reader(tokenizer).read(batch.column("text"))
+                chances = model.posteriors(*model.describe(words))
                 yield pa.record_batch(
                     {"doc_id": batch.column("doc_id"), "n_tokens": pa.array(tokens, pa.int64())} | {f"p_{n}": pa.array(chances[:, i]) for i, n in enumerate(names)}
                 )
@@ -385,8 +451,7 @@ def mix(df: DataFrame, mixture: Mixture, id_column: str = "doc_id", text_column:
         for batch in batches:
             for part in slices(batch, text_column, SLICE):
                 texts = pc.fill_null(part.column(text_at).cast(pa.string()), "")
-                alone = {i: t for i, t in enumerate(texts.to_pylist()) if "\0" in t}
-                described = model.describe(Words.of(chunks("words", texts), alone))
+                described = model.describe(reader().read(texts)[1])
                 times = copies(rates.of(model.posteriors(*described)), part.column(id_at).to_pylist())
                 for start in range(0, len(times), 500):
                     yield part.take(pa.array(np.repeat(np.arange(start, min(start + 500, len(times))), times[start : start + 500])))

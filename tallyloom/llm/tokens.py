@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 import regex
 from tokenizers import Tokenizer
 
-from tallyloom.llm.common import BoundedMemo, process_memo
+from tallyloom.llm.common import GOLDEN, BoundedMemo, mixed, process_memo
 
 #: Entries of a worker's memos; tokenizers by words have two, and stand beside the pipeline's other stages.
 MEMO_ENTRIES, WORD_ENTRIES = 900_000, 400_000
@@ -32,6 +32,8 @@ PLAIN = re.compile(rf"[\n !-&(-~{LETTERS}]*\Z").match
 LETTERS_ONLY = re.compile(rf" ?[{LETTERS}]+\Z").match
 #: A mark at the end of a word is a piece of its own.
 ENDINGS = tuple(".,;:!?")
+#: Slots of a word table, and eights of bytes of a word that has one (32 MB in all).
+SLOTS, EIGHTS = 1 << 20, 3
 TWO_SPACES = re.compile(r"[ \n][ \n]").search
 BYTE_PIECES = re.compile(rf" ?[{LETTERS}]+| ?[0-9]+| ?[^\s{LETTERS}0-9]+|\s+(?!\S)|\s+")
 WORD_PIECES = re.compile(rf"[{LETTERS}]+|[0-9]|[^\s{LETTERS}0-9]+")
@@ -84,7 +86,7 @@ class TextEncoder:
         by_word = self.kind == "words"
         self.known = BoundedMemo(self._word if by_word else self._chunk, WORD_ENTRIES if by_word else MEMO_ENTRIES)
         #: Numbers of ids of lower-cased words of letters, and of the marks after them.
-        self.counted, self.marks = BoundedMemo(self._count_word, WORD_ENTRIES), {}
+        self.counted, self.marks = BoundedMemo(self.count_word, WORD_ENTRIES), {}
 
     @staticmethod
     def _kind(told: dict) -> str:
@@ -148,7 +150,12 @@ class TextEncoder:
         """The number of ids of each text."""
         return self.count_chunks(texts, chunks(self.kind, texts))[0]
 
-    def _count_word(self, word: str) -> int:
+    def count_whole(self, text: str) -> int:
+        """The number of ids of a text that is not cut."""
+        return len(self._library(text)) // 4
+
+    def count_word(self, word: str) -> int:
+        """The number of ids of a run of lower-case letters, for a tokenizer by words."""
         return len(self.tokenize(word if word.isascii() else as_alphabet(word, self.table)))
 
     def _sizes(self, distinct: list[str]) -> np.ndarray:
@@ -177,7 +184,7 @@ class TextEncoder:
         sums = np.concatenate([[0], np.cumsum(sizes[places])])
         counts = sums[starts[1:]] - sums[starts[:-1]]
         for i, text in alone.items():
-            counts[i] = len(self._library(text)) // 4
+            counts[i] = self.count_whole(text)
         return counts, alone
 
 
@@ -208,7 +215,7 @@ def looked_up(kind: str, texts: pa.Array, known: BoundedMemo, stays_whole, in_or
     return alone, values, places, starts
 
 
-def chunks(kind: str, texts: pa.Array) -> Chunks:
+def coded_chunks(kind: str, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """The distinct chunks of a batch, the place of every chunk among them, and where each text's chunks start."""
     if kind == "words":
         texts = pc.replace_substring(texts, "\n", "\0")
@@ -217,8 +224,64 @@ def chunks(kind: str, texts: pa.Array) -> Chunks:
         marked = pc.replace_substring(pc.replace_substring(texts, " ", "\0 "), "\n", "\0\n")
     cut = pc.split_pattern(marked, "\0")
     coded = cut.flatten().dictionary_encode()
-    # Strings are made ten times as fast through NumPy as by to_pylist().
-    return coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy(zero_copy_only=False), cut.offsets.to_numpy() - cut.offsets[0].as_py()
+    return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False), cut.offsets.to_numpy() - cut.offsets[0].as_py()
+
+
+def chunks(kind: str, texts: pa.Array) -> Chunks:
+    """As :func:`coded_chunks`, the chunks as a list."""
+    distinct, places, starts = coded_chunks(kind, texts)
+    return strings(distinct), places, starts
+
+
+def strings(texts: pa.Array) -> list[str]:
+    """Made ten times as fast through NumPy as by ``to_pylist()``."""
+    return texts.to_numpy(zero_copy_only=False).tolist()
+
+
+class WordTable:
+    """Two numbers of each word's stem (its ASCII letters in lower case, a mark at its end left out), kept from batch to batch.
+
+    A stem of at most ``8 * EIGHTS`` bytes stays in the slot that its bytes' hash gives,
+    beside the bytes themselves, until another one needs the slot. So a few array
+    operations look up a batch, and ``work`` is called for stems that are not there.
+    """
+
+    def __init__(self, work, slots: int):
+        self.work, self.mask = work, np.uint64(slots - 1)
+        # The bytes, then both numbers. A slot not yet used is that of the empty stem.
+        self.slots = np.zeros((slots, EIGHTS + 1), np.uint64)
+        self.slots[:, EIGHTS:] = np.array([work("")], np.int32).view(np.uint64)
+        self.ends = np.isin(np.arange(256), [ord(m) for m in ENDINGS])
+
+    def look_up(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of each word's stem, and the mark after it as a byte (0: none)."""
+        low = pc.ascii_lower(words.cast(pa.string()))
+        offsets = np.frombuffer(low.buffers()[1], np.int32, len(low) + 1, 4 * low.offset).astype(np.int64) if len(low) else np.zeros(1, np.int64)
+        data = np.zeros(offsets[-1] + 8 * EIGHTS, np.uint8)
+        if offsets[-1]:
+            data[: offsets[-1]] = np.frombuffer(low.buffers()[2], np.uint8, offsets[-1])
+        starts, sizes, last = offsets[:-1], np.diff(offsets), data[offsets[1:] - 1]
+        marks = np.where(self.ends[last] & (sizes > 0), last, 0)
+        sizes = sizes - (marks > 0)
+        # Eight bytes from any place on, of which those after the stem are cleared.
+        eights = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+        kept = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+        keys = np.stack([eights[starts + 8 * i] & kept[np.clip(sizes - 8 * i, 0, 8)] for i in range(EIGHTS)], 1)
+        slots = np.zeros(len(low), np.uint64)
+        for i in range(EIGHTS):
+            slots = mixed(slots * GOLDEN ^ keys[:, i])
+        slots = (slots & self.mask).astype(np.int64)
+        fits, held = sizes <= 8 * EIGHTS, self.slots.take(slots, axis=0)
+        numbers = held[:, EIGHTS:].copy().view(np.int32)
+        new = np.flatnonzero(~((held[:, :EIGHTS] == keys).all(axis=1) & fits))
+        if len(new):
+            stems = [w[:-1] if m else w for w, m in zip(strings(low.take(pa.array(new))), marks[new].tolist())]
+            found = {s: self.work(s) for s in set(stems)}
+            numbers[new] = [found[s] for s in stems]
+            new = new[fits[new]]
+            own, first = np.unique(slots[new], return_index=True)
+            self.slots[own] = np.concatenate([keys, numbers.view(np.uint64)], 1)[new[first]]
+        return numbers, marks
 
 
 def encoder(path: str) -> TextEncoder:
