@@ -15,7 +15,7 @@ from tallyloom.operators.aggregates import pivot_counts, sums_by
 from tallyloom.operators.encoding import dummies, fit_level_sums, fit_levels, group_statistic, level_values
 from tallyloom.operators.order_statistics import exact_quantiles, quantile_values
 from tallyloom.operators.splits import chronological_split, hash_split
-from tallyloom.session import checked_broadcast, stage
+from tallyloom.session import checked_broadcast, stage, stage_compact
 from tallyloom.sources.star import DIMENSIONS, MEASURES, Star, denormalise, with_dates
 
 ORDER_NUMBERS = ["sales", "quantity", "discount", "profit", "shipping_cost", "time_difference"]
@@ -203,9 +203,10 @@ def regression_frame_thresholds(star: Star, merge_first_level: bool = False, tra
     With ``train_percent`` rows are marked ``is_train`` by their hash, and everything is
     fitted on those.
     """
-    base = fitted = regression_base(star)
+    # Written once, so that the passes that fit and the one that makes the rows don't join the lines again.
+    base = fitted = stage_compact(regression_base(star).drop("region", "quarter", "day_of_week"))
     if train_percent is not None:
-        base = stage(hash_split(base, "row_id", train_percent))
+        base = hash_split(base, "row_id", train_percent)
         fitted = base.filter("is_train")
     sums = fit_level_sums(fitted, REGRESSION_CATEGORIES, "sales")
     per_level = _merged_first(sums["market"], merge_first_level)
@@ -224,8 +225,7 @@ def regression_frame_thresholds(star: Star, merge_first_level: bool = False, tra
         )
         .drop(
             "market_US", "market_EMEA", "smn_Second Class", "discount", "priority_name", "sub_category",
-            "ship_mode_name", "market", "segment", "country", "country_grouped", "region", "year", "quarter",
-            "day_of_week", "order_date_key", "ship_date_key",
+            "ship_mode_name", "market", "segment", "country", "country_grouped", "year", "order_date_key", "ship_date_key",
         )
     )
 

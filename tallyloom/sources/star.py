@@ -53,6 +53,23 @@ TABLE_SCHEMAS = {
 }
 
 
+@dataclass
+class BareLines:
+    """Lines with the columns that others are worked out from, and those others.
+
+    They are narrower, so joins move them, and the others are worked out behind the joins. ``lines`` are the lines that they give.
+    """
+
+    lines: DataFrame
+    bare: DataFrame
+    worked_out: dict[str, F.Column]
+
+    def whole(self, frame: DataFrame) -> DataFrame:
+        """``frame``, which bare lines were joined into, with all columns of the lines in place of the bare ones."""
+        others = [c for c in frame.columns if c not in set(self.bare.columns) | set(self.lines.columns)]
+        return frame.select(*[self.worked_out[c].alias(c) if c in self.worked_out else c for c in self.lines.columns], *others)
+
+
 @dataclass
 class Star:
     """Frames of the star schema.
@@ -77,9 +94,11 @@ class Star:
     #: The source has no date table, so date columns are worked out from the keys and no date is left out.
     dates_from_keys: bool = False
     order_lookup: DataFrame | None = None
+    #: The lines in fewer columns, for joins; heeded only while ``lines`` are those that they give.
+    narrow: BareLines | None = None
 
 
-NO_DIMENSIONS = ("lines", "headers", "locations", "dates_from_keys", "order_lookup")
+NO_DIMENSIONS = ("lines", "headers", "locations", "dates_from_keys", "order_lookup", "narrow")
 
 
 def snake(name: str) -> str:
@@ -173,8 +192,8 @@ def date_key(day) -> F.Column:
 
 def line_id() -> F.Column:
     """A line's id: its keys, its date and its price in cents, as the keys alone occur more than once."""
-    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-    return F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", date_key("l_shipdate"), cents)
+    cents = F.round(F.col("sales") * 100).cast("bigint")
+    return F.concat_ws("-", "order_key", "product_key", "l_suppkey", "l_linenumber", "ship_date_key", cents)
 
 
 def load_star(spark: SparkSession, folder: str) -> Star:
@@ -186,20 +205,27 @@ def load_star(spark: SparkSession, folder: str) -> Star:
     item, orders, customer = read("lineitem"), read("orders"), read("customer")
     nation, region, part = read("nation"), read("region"), read("part")
 
-    price, discount = F.col("l_extendedprice"), F.col("l_discount")
-    lines = item.select(
-        line_id().alias("row_id"),
+    bare = item.select(
         F.col("l_orderkey").alias("order_key"),
         F.col("l_partkey").alias("product_key"),
         (F.lit(1) + F.col("l_linenumber") % 4).cast("bigint").alias("ship_mode_key"),
         date_key("l_shipdate").alias("ship_date_key"),
-        price.alias("sales"),
+        F.col("l_extendedprice").alias("sales"),
         F.col("l_quantity").alias("quantity"),
-        discount.alias("discount"),
-        (price * (F.lit(0.25) - F.lit(3.0) * discount)).alias("profit"),
-        (price * F.col("l_tax")).alias("shipping_cost"),
+        F.col("l_discount").alias("discount"),
+        "l_suppkey", "l_linenumber", "l_tax",
         (F.col("l_returnflag") == "R").cast("int").alias("is_returned"),
     )
+    worked_out = {
+        "row_id": line_id(),
+        "profit": F.col("sales") * (F.lit(0.25) - F.lit(3.0) * F.col("discount")),
+        "shipping_cost": F.col("sales") * F.col("l_tax"),
+    }
+    columns = [
+        "row_id", "order_key", "product_key", "ship_mode_key", "ship_date_key", "sales", "quantity", "discount", "profit", "shipping_cost",
+        "is_returned",
+    ]
+    lines = bare.select(*[worked_out[c].alias(c) if c in worked_out else c for c in columns])
     headers = orders.select(
         F.col("o_orderkey").alias("order_key"),
         F.col("o_custkey").alias("customer_key"),
@@ -246,6 +272,7 @@ def load_star(spark: SparkSession, folder: str) -> Star:
         ship_mode=small_table(spark, SHIP_MODES, "ship_mode_name", "ship_mode_key"),
         date=calendar(orders.select("o_orderdate"), item.select("l_shipdate")),
         dates_from_keys=True,
+        narrow=BareLines(lines, bare, worked_out),
     )
 
 
@@ -278,12 +305,20 @@ def denormalise(
 
     Order-level dimensions are joined to the order headers first: those have
     fewer and narrower rows than the lines, which then move once, on the order
-    key. No broadcast is hinted; Spark broadcasts a dimension when its measured
+    key. The lines meet their own dimensions before that, so that the headers' columns
+    are moved with them no second time, and carry the columns of ``star.narrow`` until all joins are done.
+    No broadcast is hinted; Spark broadcasts a dimension when its measured
     size allows and otherwise shuffles both sides and splits skewed partitions.
     """
     wanted = [d for d in dims if d not in set(skip)]
     frame, head = star.lines, star.headers
+    narrow = star.narrow if star.narrow is not None and star.narrow.lines is star.lines else None
     if head is not None:
+        if narrow is not None:
+            frame = narrow.bare
+        for dim in wanted:
+            if dim in LINE_DIMENSIONS:
+                frame = frame.join(getattr(star, dim), _dimension_key(dim))
         if star.locations is not None and {"geography", "market"} & set(wanted):
             head = head.join(star.locations, "customer_key")
         for dim in wanted:
@@ -292,7 +327,9 @@ def denormalise(
         if order_dates:
             head = with_dates(star, head, "order")
         frame = frame.join(head, "order_key")
-        wanted = [d for d in wanted if d in LINE_DIMENSIONS]
+        if narrow is not None:
+            frame = narrow.whole(frame)
+        wanted = []
     for dim in wanted:
         frame = frame.join(getattr(star, dim), _dimension_key(dim))
     if order_dates and head is None:
